@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.functions.content import content_hash, object_name, size_reduction
+from folioflow.functions.content import content_hash, object_name
 from folioflow.operators.filters import matches
 from folioflow.operators.records import file_name, file_suffix
 
@@ -125,9 +125,3 @@ def html_audit_totals(audit: DataFrame) -> DataFrame:
         F.avg("size_reduction").alias("mean_reduction"),
     )
 
-
-__all__ = [
-    "count_where", "extension_counts", "group_counts", "hash_audit", "html_audit",
-    "html_audit_totals", "ingest_stats", "quality_gate", "results_per_task", "size_reduction",
-    "transform_stats", "zone_totals",
-]

@@ -81,33 +81,30 @@ def body_code(df: DataFrame, mapping: dict[str, str] | None = None, body: str =
 def search_tasks(
     partitions: DataFrame,
     bodies: str | list[str] | None,
-    start: str | date,
-    end: str | date,
+    start: str | date | Column,
+    end: str | date | Column,
     mapping: dict[str, str] | None = None,
 ) -> DataFrame:
     """One search per body and month, the period clamped to ``start`` .. ``end``.
 
     A period ends on the first day of the next month, so neighbouring periods share
-    a day; the double results are removed when new records are selected.
+    a day; the double results are removed when new records are selected. Further
+    columns of ``partitions`` are kept, and the limits may be columns of it.
     """
     bodies = DEFAULT_BODIES if bodies is None else [bodies] if isinstance(bodies, str) else bodies
+    start, end = [v if isinstance(v, Column) else F.lit(_day(v)) for v in (start, end)]
     part = F.col("partition_date")
-    tasks = partitions.select(
-        F.explode(F.array(*[F.lit(b) for b in bodies])).alias("body"),
-        part,
-        F.greatest(part, F.lit(_day(start))).alias("period_start"),
-        F.least(F.add_months(part, 1), F.lit(_day(end))).alias("period_end"),
+    tasks = partitions.withColumns(
+        {
+            "body": F.explode(F.array(*[F.lit(b) for b in bodies])),
+            "period_start": F.greatest(part, start),
+            "period_end": F.least(F.add_months(part, 1), end),
+        }
     )
     tasks = body_code(tasks, mapping)
-    return tasks.select(
-        "body",
-        "body_code",
-        F.date_format("partition_date", "yyyy-MM-dd").alias("partition_date"),
-        "period_start",
-        "period_end",
-        search_url(F.col("body_code"), F.col("period_start"), F.col("period_end")).alias(
-            "search_url"
-        ),
+    url = search_url(F.col("body_code"), F.col("period_start"), F.col("period_end"))
+    return tasks.withColumns(
+        {"partition_date": F.date_format(part, "yyyy-MM-dd"), "search_url": url}
     )
 
 
