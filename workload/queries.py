@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioflow import scale
 from folioflow.functions import content as fc
+from folioflow.functions.html_nodes import to_html
 from folioflow.functions.links import abs_link, search_url
 from folioflow.functions.times import iso_time
 from folioflow.operators import aggregates, filters, html, planning, ranking, records
@@ -38,17 +39,19 @@ def _order_spans(spark, sf_dir, key) -> DataFrame:
 
 
 def partition_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans = _order_spans(spark, sf_dir, "o_custkey")
-
-    def parts(interval, name):
+    def parts(key, interval, name):
+        spans = _order_spans(spark, sf_dir, key)
         return planning.partitions_of(spans, "first_day", "last_day", interval).select(
-            "o_custkey",
-            F.lit(name).alias("interval"),
+            F.col(key).cast("string").alias("key"),
+            F.lit(name).alias("step"),
             F.date_format("partition_date", "yyyy-MM-dd").alias("partition_date"),
         )
 
     return (
-        parts("monthly", "monthly").unionByName(parts("weekly", "weekly")).unionByName(parts(90, "90"))
+        parts("o_custkey", "monthly", "monthly")
+        .unionByName(parts("o_custkey", 90, "90 days"))
+        .unionByName(parts("o_orderpriority", "weekly", "weekly"))
+        .unionByName(parts("o_orderstatus", "daily", "daily"))
     )
 
 
@@ -423,15 +426,11 @@ def html_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from folioflow.functions.html_nodes import to_html
-
     kept = html.drop_boilerplate(html.parse_pages(fx.table(spark, sf_dir, "pages")))
     return kept.select("page_id", to_html(F.col("nodes")).alias("html"))
 
 
 def main_content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from folioflow.functions.html_nodes import to_html
-
     parsed = html.parse_pages(fx.variant_pages(spark, sf_dir))
     found = html.main_content(html.drop_boilerplate(parsed))
     return found.select("page_id", to_html(F.col("nodes")).alias("html"))
