@@ -55,11 +55,14 @@ MAIN_CONTENT_CHOICES = [
 
 
 def _parse_batch(pages: pa.Array) -> pa.Array:
-    """Parse one Arrow batch; a page that cannot be read yields its error, never a failed task."""
+    """Parse one Arrow batch; a page that cannot be read yields its error, never a failed task.
+
+    Missing and unreadable pages have NULL lists.
+    """
     reader = PageReader()
     node_columns: list[list] = [[] for _ in NODE_FIELDS]
     texts: list[str] = []
-    node_ends, text_ends, errors = [0], [0], []
+    node_starts, text_starts, errors = [], [], []
     for html in pages:
         rows, pieces, error = [], [], None
         if html.is_valid:
@@ -70,12 +73,15 @@ def _parse_batch(pages: pa.Array) -> pa.Array:
             except Exception as exc:  # one bad page must not stop the run
                 rows, pieces, error = [], [], f"{type(exc).__name__}: {exc}"[:500]
                 error = error.encode("utf-8", "replace").decode("utf-8")
+        read = html.is_valid and error is None
+        node_starts.append(len(node_columns[0]) if read else None)
+        text_starts.append(len(texts) if read else None)
+        errors.append(error)
         for column, values in zip(node_columns, zip(*rows)):
             column.extend(values)
         texts.extend(pieces)
-        node_ends.append(node_ends[-1] + len(rows))
-        text_ends.append(len(texts))
-        errors.append(error)
+    node_starts.append(len(node_columns[0]))
+    text_starts.append(len(texts))
     nodes = pa.StructArray.from_arrays(
         [
             pa.array(values, pa.int32() if name in _INT_FIELDS else pa.string())
@@ -85,8 +91,8 @@ def _parse_batch(pages: pa.Array) -> pa.Array:
     )
     return pa.StructArray.from_arrays(
         [
-            pa.ListArray.from_arrays(pa.array(node_ends, pa.int32()), nodes),
-            pa.ListArray.from_arrays(pa.array(text_ends, pa.int32()), pa.array(texts, pa.string())),
+            pa.ListArray.from_arrays(pa.array(node_starts, pa.int32()), nodes),
+            pa.ListArray.from_arrays(pa.array(text_starts, pa.int32()), pa.array(texts, pa.string())),
             pa.array(errors, pa.string()),
         ],
         names=["nodes", "texts", "error"],

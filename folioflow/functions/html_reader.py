@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from html.entities import html5
+from html import entities
 from html.parser import HTMLParser
 
 # Elements without content, printed as <br/>.
@@ -252,7 +252,7 @@ class PageReader(HTMLParser):
         self._pending.append(char or "\ufffd")
 
     def handle_entityref(self, name):
-        self._pending.append(html5.get(name + ";", "&" + name))
+        self._pending.append(entities.html5.get(name + ";", "&" + name))
 
     # -- other leaves --------------------------------------------------------
 

@@ -23,6 +23,7 @@ def local_session(cpus: str = "8", shuffle_partitions: str = "8") -> SparkSessio
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("folioflow")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
         .config("spark.sql.session.timeZone", "UTC")
