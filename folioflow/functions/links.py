@@ -54,27 +54,21 @@ def _without_dot_segments(path: Column) -> Column:
 def abs_link(href: Column, page_url: Column) -> Column:
     """``href`` as seen from ``page_url``; a missing or empty one is the page itself."""
     base = F.regexp_replace(page_url, "#.*$", "")
-    scheme = F.regexp_extract(base, _SCHEME, 0)
-    origin = F.regexp_extract(base, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?", 0)
     document = F.regexp_replace(base, r"\?.*$", "")
-    base_path = F.substring(document, F.length(origin) + 1, F.length(document))
-    folder = F.regexp_extract(base_path, r"^.*/", 0)
-    folder = F.when(folder == "", "/").otherwise(folder)
+    origin = F.regexp_extract(base, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?", 0)
+    # Folder of the page within its site, up to the last slash.
+    folder = F.regexp_extract(document, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/]*)?(.*/)?", 1)
 
-    target_path = F.regexp_extract(href, r"^[^?#]*", 0)
-    tail = F.substring(href, F.length(target_path) + 1, F.length(href))
-    tail = F.regexp_replace(tail, r"^\?(?=#|$)|#$", "")
+    path = F.regexp_extract(href, r"^[^?#]*", 0)
+    full_path = F.when(path.startswith("/"), path).otherwise(
+        F.concat(F.when(folder == "", "/").otherwise(folder), path)
+    )
+    tail = F.regexp_replace(F.regexp_extract(href, r"[?#].*$", 0), r"^\?(?=#|$)|#$", "")
     return (
         F.when(F.coalesce(href, F.lit("")) == "", page_url)
         .when(href.rlike(_SCHEME), href)
-        .when(href.startswith("//"), F.concat(scheme, href))
+        .when(href.startswith("//"), F.concat(F.regexp_extract(base, _SCHEME, 0), href))
         .when(href.startswith("?"), F.concat(document, tail))
         .when(href.startswith("#"), F.concat(base, tail))
-        .when(
-            href.startswith("/"),
-            F.concat(origin, _without_dot_segments(target_path), tail),
-        )
-        .otherwise(
-            F.concat(origin, _without_dot_segments(F.concat(folder, target_path)), tail)
-        )
+        .otherwise(F.concat(origin, _without_dot_segments(full_path), tail))
     )

@@ -223,36 +223,38 @@ def pagination_chain(links: DataFrame, seeds: DataFrame) -> DataFrame:
     """All pages reachable from the seeds by next links, each once, with its number of hops.
 
     ``links`` is ``(url, next_url)``, ``seeds`` is ``(url, ...)``; the other seed
-    columns are handed down the chain. Jumps double in every round, so a chain of
-    ``n`` pages takes about ``log2(n)`` rounds instead of ``n``. Circles end by
+    columns are handed down the chain. Jumps double twice in every round, so a chain
+    of ``n`` pages takes about ``log4(n)`` rounds instead of ``n``. Circles end by
     themselves: a round that reaches nothing new is the last.
     """
-    known = links.select("url", "next_url")
-    jumps = materialise(
-        known.where(F.col("next_url").isNotNull()).join(
-            known.select(F.col("url").alias("next_url")).distinct(), "next_url", "left_semi"
-        ).select("url", "next_url"),
-        "jumps",
-    )
     handed_down = [c for c in seeds.columns if c != "url"]
-    start = seeds.join(known.select("url").distinct(), "url", "left_semi").withColumn(
-        "hop", F.lit(0).cast("long")
-    )
     order = ["hop", *handed_down]
-    reached = materialise(first_wins(start, order, key="url"), "reached")
-    n_reached, step = reached.count(), 1
-    while True:
+
+    def advance(reached: DataFrame, jumps: DataFrame, step: int) -> DataFrame:
         ahead = reached.join(jumps, "url").select(
             F.col("next_url").alias("url"), *handed_down, (F.col("hop") + step).alias("hop")
         )
-        grown = materialise(
-            first_wins(reached.unionByName(ahead), order, key="url"), "reached"
-        )
-        n_grown = grown.count()
-        if n_grown == n_reached:
-            return grown
-        reached, n_reached, step = grown, n_grown, step * 2
+        return first_wins(reached.unionByName(ahead), order, key="url")
+
+    def doubled(jumps: DataFrame) -> DataFrame:
         second = jumps.select(F.col("url").alias("next_url"), F.col("next_url").alias("_target"))
-        jumps = materialise(
-            jumps.join(second, "next_url").select("url", F.col("_target").alias("next_url")), "jumps"
-        )
+        return jumps.join(second, "next_url").select("url", F.col("_target").alias("next_url"))
+
+    links = materialise(links.select("url", "next_url"), "links")
+    pages = links.select("url").distinct()
+    captured_next = pages.withColumnRenamed("url", "next_url")
+    jumps = materialise(
+        links.join(captured_next, "next_url", "left_semi").select("url", "next_url"), "jumps"
+    )
+    start = seeds.join(pages, "url", "left_semi").withColumn("hop", F.lit(0).cast("long"))
+    reached = materialise(first_wins(start, order, key="url"), "reached")
+    n_reached, step = reached.count(), 1
+    while not jumps.isEmpty():
+        twice = doubled(jumps)
+        grown = advance(advance(reached, jumps, step), twice, 2 * step)
+        reached = materialise(grown, "reached")
+        n_before, n_reached, step = n_reached, reached.count(), 4 * step
+        if n_reached == n_before:
+            break
+        jumps = materialise(doubled(twice), "jumps")
+    return reached

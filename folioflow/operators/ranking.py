@@ -29,14 +29,15 @@ def page_position(
     page_size: int = 10,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add the one-based ``page_no`` and ``position`` of each item of a listing."""
-    out = numbered(items, [listing], order, "_no", hot_rows=hot_rows)
+    """Add the one-based ``page_no`` and ``position`` of each item and its listing's ``last_page``."""
+    out = numbered(items, [listing], order, "_no", "_total", hot_rows)
     return out.withColumns(
         {
             "page_no": F.floor((F.col("_no") - 1) / page_size) + 1,
             "position": F.pmod(F.col("_no") - 1, F.lit(page_size)) + 1,
+            "last_page": F.ceil(F.col("_total") / page_size),
         }
-    ).drop("_no")
+    ).drop("_no", "_total")
 
 
 def group_members(

@@ -25,7 +25,8 @@ def tune(spark: SparkSession) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # Documents are large rows: small Arrow batches bound the Python workers' memory.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # Plans here have hundreds of expressions; do not record a call site for each.
+        "spark.sql.dataFrameQueryContext.enabled": "false",
     }
     for key, value in settings.items():
         spark.conf.set(key, value)
@@ -153,13 +154,13 @@ def numbered(
     count. All rows are shuffled once, by group and range. ``order`` must be unique
     within a group for the numbers to be the same in every run.
     """
-    hot = cut_lineage(hot_groups(df, keys, hot_rows))
+    hot = hot_groups(df, keys, hot_rows)
     if hot.isEmpty():
         group = W.partitionBy(*keys)
         out = df.withColumn(number, F.row_number().over(group.orderBy(order)).cast("long"))
         return out.withColumn(total, F.count(F.lit(1)).over(group)) if total else out
 
-    hot = broadcast_if_small(_renamed(hot, keys))
+    hot = broadcast_if_small(_renamed(cut_lineage(hot), keys))
     points = split_points(df.join(hot, _same_keys(keys), "left_semi"), order, n_splits)
     ranged = df.join(hot, _same_keys(keys), "left").withColumn(
         "_range", F.when(F.col("_group_rows").isNotNull(), split_number(order, points)).otherwise(-1)

@@ -128,12 +128,9 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<p class="description">'), F.col("n_chars").cast("string"),
         F.lit('</p><div class="bottom-ref"><span class="refNO">'), doc, F.lit("</span></div>\n"),
     )
-    sizes = items.groupBy("source").agg(F.max("page_no").alias("last_page"))
-    listed = items.select("source", "page_no", F.struct("position", block.alias("block")).alias("entry"))
-    pages = (
-        listed.groupBy("source", "page_no")
-        .agg(F.array_sort(F.collect_list("entry")).alias("entries"))  # ten at most
-        .join(sizes, "source")
+    entry = F.struct("position", block.alias("block"))
+    pages = items.groupBy("source", "page_no", "last_page").agg(
+        F.array_sort(F.collect_list(entry)).alias("entries")  # ten at most
     )
     following = F.when(
         F.col("page_no") < F.col("last_page"),
