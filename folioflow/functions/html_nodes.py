@@ -2,7 +2,8 @@
 
 A parsed page is a struct ``(nodes, texts, error)`` in the page's own row. All
 tree logic below consists of Spark array expressions over that row, so cleaning a
-page never moves it to another task.
+page never moves it to another task. They are written as SQL text, with ``nodes``
+naming the node list column.
 """
 
 from __future__ import annotations
@@ -108,117 +109,98 @@ def parse_html(html: Column) -> Column:
     return udf(html)
 
 
-def bind(value: Column, body) -> Column:
-    """Evaluate ``value`` once per row and pass it to ``body`` (also inside lambdas)."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is evaluated once per row."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-# -- predicates over one node ------------------------------------------------
+def quoted(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def has_class(node: Column, name: str) -> Column:
-    """Exact class token."""
-    return F.coalesce(
-        F.concat(F.lit(" "), node["classes"], F.lit(" ")).contains(f" {name} "), F.lit(False)
-    )
+# -- predicates over one node ------------------------------------------------
 
 
-def has_class_part(node: Column, part: str) -> Column:
-    """Case-insensitive substring of any class token."""
-    return F.coalesce(F.lower(node["classes"]).contains(part), F.lit(False))
+def is_element(node: str, tag: str, cls: str | None = None) -> str:
+    """Element of that name (and exact class token)."""
+    hit = f"{node}.tag = {quoted(tag)}"
+    if cls is not None:
+        hit += f" and contains(concat(' ', {node}.classes, ' '), {quoted(f' {cls} ')})"
+    return f"coalesce({hit}, false)"
 
 
-def is_boilerplate(node: Column) -> Column:
-    parts = "|".join(BOILERPLATE_CLASS_PARTS)
+def is_boilerplate(node: str) -> str:
+    tags = ", ".join(map(quoted, BOILERPLATE_TAGS))
+    parts = quoted("|".join(BOILERPLATE_CLASS_PARTS))
     return (
-        F.coalesce(node["tag"].isin(BOILERPLATE_TAGS), F.lit(False))
-        | F.coalesce(F.lower(node["classes"]).rlike(parts), F.lit(False))
-        | F.coalesce(node["role"] == "navigation", F.lit(False))
+        f"(coalesce({node}.tag in ({tags}), false)"
+        f" or coalesce(lower({node}.classes) rlike {parts}, false)"
+        f" or coalesce({node}.role = 'navigation', false))"
     )
 
 
-def main_rank(node: Column) -> Column:
+def main_rank(node: str) -> str:
     """Position in the list of main-content choices, NULL if the node is none of them."""
-    rank = None
-    for i, (tag, part) in enumerate(MAIN_CONTENT_CHOICES):
-        hit = node["tag"] == tag
+    cases = []
+    for rank, (tag, part) in enumerate(MAIN_CONTENT_CHOICES):
+        hit = f"{node}.tag = {quoted(tag)}"
         if part is not None:
-            hit = hit & has_class_part(node, part)
-        rank = F.when(hit, i) if rank is None else rank.when(hit, i)
-    return rank
+            hit += f" and contains(lower({node}.classes), {quoted(part)})"
+        cases.append(f"when {hit} then {rank}")
+    return f"case {' '.join(cases)} end"
 
 
 # -- whole node lists ----------------------------------------------------------
 
 
-def without_boilerplate(nodes: Column) -> Column:
-    """Nodes that are no boilerplate element and lie in none."""
-
-    def spans(ns):
-        return F.transform(
-            F.filter(ns, is_boilerplate),
-            lambda n: F.struct(n["pos"].alias("pos"), n["end_pos"].alias("end_pos")),
-        )
-
-    return bind(
-        F.struct(nodes.alias("nodes"), spans(nodes).alias("spans")),
-        lambda page: F.filter(
-            page["nodes"],
-            lambda n: ~F.exists(page["spans"], lambda s: n["pos"].between(s["pos"], s["end_pos"])),
-        ),
-    )
+def _without_boilerplate(nodes: str) -> str:
+    page = f"""named_struct(
+        'nodes', {nodes},
+        'spans', transform(filter({nodes}, n -> {is_boilerplate("n")}),
+                           n -> named_struct('pos', n.pos, 'end_pos', n.end_pos)))"""
+    kept = "filter(page.nodes, n -> not exists(page.spans, s -> n.pos between s.pos and s.end_pos))"
+    return _let("page", page, kept)
 
 
-def main_span(nodes: Column) -> Column:
-    """Span ``(rank, pos, end_pos)`` of the best main-content element, else the whole page."""
-    ranked = F.transform(
-        F.filter(nodes, lambda n: main_rank(n).isNotNull()),
-        lambda n: F.struct(
-            main_rank(n).alias("rank"), n["pos"].alias("pos"), n["end_pos"].alias("end_pos")
-        ),
-    )
-    whole = F.struct(
-        F.lit(len(MAIN_CONTENT_CHOICES)).alias("rank"),
-        F.lit(0).alias("pos"),
-        F.lit(2**31 - 1).alias("end_pos"),
-    )
-    return F.coalesce(F.array_min(ranked), whole)
+def _main_nodes(nodes: str) -> str:
+    best = f"""array_min(transform(
+        filter(kept, n -> {main_rank("n")} is not null),
+        n -> named_struct('rank', {main_rank("n")}, 'pos', n.pos, 'end_pos', n.end_pos)))"""
+    whole = f"""named_struct('rank', {len(MAIN_CONTENT_CHOICES)}, 'pos', 0, 'end_pos', {2**31 - 1})"""
+    inside = "filter(kept, n -> n.pos between main.pos and main.end_pos)"
+    return _let("kept", nodes, _let("main", f"coalesce({best}, {whole})", inside))
 
 
-def within(nodes: Column, span: Column) -> Column:
-    return F.filter(nodes, lambda n: n["pos"].between(span["pos"], span["end_pos"]))
+def _to_html(nodes: str) -> str:
+    opens = "transform(ns, n -> named_struct('at', n.pos, 'markup', n.open_str))"
+    closes = """transform(filter(ns, n -> n.close_str is not null),
+                          n -> named_struct('at', n.end_pos, 'markup', n.close_str))"""
+    in_order = f"transform(sort_array(concat({opens}, {closes})), e -> e.markup)"
+    return _let("ns", nodes, f"array_join({in_order}, '')")
 
 
-def main_nodes(nodes: Column) -> Column:
-    """Nodes of the main-content element, taken from an already cleaned list."""
-    return bind(nodes, lambda kept: bind(main_span(kept), lambda span: within(kept, span)))
+def without_boilerplate(nodes: str = "nodes") -> Column:
+    """Nodes that are no boilerplate element and lie in none."""
+    return F.expr(_without_boilerplate(nodes))
 
 
-def to_html(nodes: Column) -> Column:
-    """Write a node list back as markup; opening and closing strings are ordered by position."""
+def main_nodes(nodes: str = "nodes") -> Column:
+    """Nodes of the main-content element, else of the body, else all, of a cleaned list."""
+    return F.expr(_main_nodes(nodes))
 
-    def write(ns):
-        opens = F.transform(
-            ns, lambda n: F.struct(n["pos"].alias("at"), n["open_str"].alias("markup"))
-        )
-        closes = F.transform(
-            F.filter(ns, lambda n: n["close_str"].isNotNull()),
-            lambda n: F.struct(n["end_pos"].alias("at"), n["close_str"].alias("markup")),
-        )
-        return F.array_join(
-            F.transform(F.sort_array(F.concat(opens, closes)), lambda e: e["markup"]), ""
-        )
 
-    return bind(nodes, write)
+def to_html(nodes: str = "nodes") -> Column:
+    """A node list as markup: opening and closing strings in the order of their positions."""
+    return F.expr(_to_html(nodes))
 
 
-def clean_nodes(nodes: Column) -> Column:
+def clean_html(nodes: str = "nodes") -> Column:
     """Markup of the main content without boilerplate."""
-    return to_html(main_nodes(without_boilerplate(nodes)))
+    return F.expr(_to_html(_main_nodes(_without_boilerplate(nodes))))
 
 
-def node_text(texts: Column, node: Column) -> Column:
-    """Visible text below a node: stripped pieces joined without a separator."""
-    return F.array_join(
-        F.slice(texts, node["text_from"] + 1, node["text_to"] - node["text_from"]), ""
-    )
+def node_text(texts: str, node: str) -> str:
+    """SQL for the visible text below a node: its stripped pieces joined without a separator."""
+    pieces = f"slice({texts}, {node}.text_from + 1, {node}.text_to - {node}.text_from)"
+    return f"array_join({pieces}, '')"

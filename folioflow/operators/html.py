@@ -44,19 +44,19 @@ def html_nodes(pages: DataFrame) -> DataFrame:
 
 def drop_boilerplate(parsed: DataFrame) -> DataFrame:
     """Remove navigation, headers, footers, scripts, buttons and the like from the node lists."""
-    return parsed.withColumn("nodes", hn.without_boilerplate(F.col("nodes")))
+    return parsed.withColumn("nodes", hn.without_boilerplate())
 
 
 def main_content(parsed: DataFrame) -> DataFrame:
     """Keep the main-content element of cleaned node lists, else the body, else everything."""
-    return parsed.withColumn("nodes", hn.main_nodes(F.col("nodes")))
+    return parsed.withColumn("nodes", hn.main_nodes())
 
 
 def clean_html(pages: DataFrame) -> DataFrame:
     """Main content of every page as markup, with its hash; NULL and ``error`` if unreadable."""
     parsed = parse_pages(pages)
     kept = [c for c in parsed.columns if c not in ("nodes", "texts", "error")]
-    clean = F.when(F.col("error").isNull(), hn.clean_nodes(F.col("nodes")))
+    clean = F.when(F.col("error").isNull(), hn.clean_html())
     return parsed.select(*kept, clean.alias("clean_html"), "error").withColumn(
         "clean_hash", content_hash(F.col("clean_html").cast("binary"))
     )
@@ -66,7 +66,7 @@ def normalize_html(pages: DataFrame) -> DataFrame:
     """Every page re-serialised without removing anything, with its hash."""
     parsed = parse_pages(pages)
     kept = [c for c in parsed.columns if c not in ("nodes", "texts", "error")]
-    normal = F.when(F.col("error").isNull(), hn.to_html(F.col("nodes")))
+    normal = F.when(F.col("error").isNull(), hn.to_html())
     return parsed.select(*kept, normal.alias("normal_html"), "error").withColumn(
         "stored_hash", content_hash(F.col("normal_html").cast("binary"))
     )
@@ -76,56 +76,39 @@ def node_text(parsed: DataFrame, tag: str, cls: str | None = None) -> DataFrame:
     """Visible text of every element of that name (and exact class)."""
     kept = [c for c in parsed.columns if c not in ("nodes", "texts", "error")]
 
-    def wanted(node: Column) -> Column:
-        hit = F.coalesce(node["tag"] == tag, F.lit(False))
-        return hit & hn.has_class(node, cls) if cls else hit
-
-    found = F.transform(
-        F.filter("nodes", wanted),
-        lambda n: F.struct(n["pos"].alias("pos"), hn.node_text(F.col("texts"), n).alias("node_text")),
-    )
-    return parsed.select(*kept, F.inline(found))
+    found = f"""transform(
+        filter(nodes, n -> {hn.is_element("n", tag, cls)}),
+        n -> named_struct('pos', n.pos, 'node_text', {hn.node_text("texts", "n")}))"""
+    return parsed.select(*kept, F.inline(F.expr(found)))
 
 
 # -- result pages ------------------------------------------------------------------
 
 
-def _result_marks(nodes: Column, texts: Column) -> Column:
-    """The nodes result extraction needs, each with the parts it may play."""
+# The parts a node may play in a result: column, element and exact class.
+_RESULT_PARTS = {
+    "is_result": ("div", "bottom-ref"),
+    "is_title": ("div", "row"),
+    "is_ref": ("span", "refNO"),
+    "is_date": ("span", "date"),
+    "is_head": ("h2", "title"),
+    "is_link": ("a", None),
+    "is_description": ("p", "description"),
+}
 
-    def marks(n: Column) -> dict[str, Column]:
-        def element(tag: str, cls: str) -> Column:
-            return F.coalesce(n["tag"] == tag, F.lit(False)) & hn.has_class(n, cls)
-
-        return {
-            "is_result": element("div", "bottom-ref"),
-            "is_title": element("div", "row"),
-            "is_ref": element("span", "refNO"),
-            "is_date": element("span", "date"),
-            "is_head": element("h2", "title"),
-            "is_link": F.coalesce(n["tag"] == "a", F.lit(False)),
-            "is_description": element("p", "description"),
-        }
-
-    def any_mark(n: Column) -> Column:
-        hit = F.lit(False)
-        for mark in marks(n).values():
-            hit = hit | mark
-        return hit
-
-    def as_row(n: Column) -> Column:
-        flags = marks(n)
-        speaks = flags["is_ref"] | flags["is_date"] | flags["is_description"]
-        return F.struct(
-            n["pos"].alias("pos"),
-            n["end_pos"].alias("end_pos"),
-            n["parent_pos"].alias("parent_pos"),
-            n["href"].alias("href"),
-            F.when(speaks, hn.node_text(texts, n)).alias("text"),
-            *[flag.alias(name) for name, flag in flags.items()],
-        )
 
-    return F.transform(F.filter(nodes, any_mark), as_row)
+def _result_marks() -> Column:
+    """The nodes result extraction needs, each with the parts it may play."""
+    flags = {name: hn.is_element("n", *part) for name, part in _RESULT_PARTS.items()}
+    speaks = " or ".join(flags[name] for name in ("is_ref", "is_date", "is_description"))
+    flag_fields = ", ".join(f"'{name}', {flag}" for name, flag in flags.items())
+    return F.expr(
+        f"""transform(
+            filter(nodes, n -> {" or ".join(flags.values())}),
+            n -> named_struct(
+                'pos', n.pos, 'end_pos', n.end_pos, 'parent_pos', n.parent_pos, 'href', n.href,
+                'text', case when {speaks} then {hn.node_text("texts", "n")} end, {flag_fields}))"""
+    )
 
 
 def page_facts(parsed: DataFrame) -> DataFrame:
@@ -133,17 +116,16 @@ def page_facts(parsed: DataFrame) -> DataFrame:
 
     Pages captured more than once under one address count once, the lowest ``page_id``.
     """
-    nodes = F.col("nodes")
-    bases = F.filter(nodes, lambda n: (n["tag"] == "base") & n["href"].isNotNull())
-    following = F.filter(
-        nodes, lambda n: (n["tag"] == "a") & n["link_text"].contains(NEXT_PAGE_MARK)
+    base = "get(filter(nodes, n -> n.tag = 'base' and n.href is not null), 0).href"
+    following = (
+        f"get(filter(nodes, n -> n.tag = 'a' and contains(n.link_text, {hn.quoted(NEXT_PAGE_MARK)})), 0).href"
     )
     facts = parsed.select(
         "page_id",
         "url",
-        F.get(bases, F.lit(0))["href"].alias("_base"),
-        F.get(following, F.lit(0))["href"].alias("_next"),
-        _result_marks(nodes, F.col("texts")).alias("marks"),
+        F.expr(base).alias("_base"),
+        F.expr(following).alias("_next"),
+        _result_marks().alias("marks"),
     )
     facts = facts.withColumn("base_url", abs_link(F.col("_base"), F.col("url")))
     facts = facts.withColumn(

@@ -122,7 +122,7 @@ def ingest_attach(
         .withColumn("_parsed", parse_html(F.col("_text")))
     )
     # A page that cannot be re-serialised is stored as it was received.
-    page = F.when(F.col("_parsed.error").isNull(), to_html(F.col("_parsed.nodes"))).otherwise(
+    page = F.when(F.col("_parsed.error").isNull(), to_html("_parsed.nodes")).otherwise(
         F.col("_text")
     )
     stored = F.when(F.col("is_html"), page.cast("binary")).otherwise(F.col("content"))

@@ -12,7 +12,7 @@ from folioflow.functions.content import (
     ext_processed,
     object_path,
 )
-from folioflow.functions.html_nodes import clean_nodes, parse_html
+from folioflow.functions.html_nodes import clean_html, parse_html
 from folioflow.functions.times import as_of_literal
 from folioflow.operators.aggregates import transform_stats
 from folioflow.operators.filters import records_by_range, required_fields
@@ -33,7 +33,7 @@ def process_files(files: DataFrame) -> DataFrame:
     the parser, and all rows stay in their partition.
     """
     text = F.when(F.col("route") == "html", decode_ignore(F.col("content")))
-    cleaned = F.when(F.col("error").isNull(), clean_nodes(F.col("_parsed.nodes")))
+    cleaned = F.when(F.col("error").isNull(), clean_html("_parsed.nodes"))
     return (
         files.withColumn("route", doc_route(F.col("mime_type")))
         .withColumn("_parsed", parse_html(text))

@@ -1,7 +1,6 @@
 """Parsing, cleaning and result extraction on small pages."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from folioflow.functions import html_nodes as hn
 from folioflow.functions.html_reader import PageReader
@@ -159,7 +158,7 @@ def test_node_text_skips_comments_and_hidden_text(spark):
 
 def test_drop_boilerplate_keeps_the_rest_in_order(spark):
     parsed = html.drop_boilerplate(html.parse_pages(pages_of(spark, "<p>a</p><nav>n</nav><p>b</p>")))
-    assert parsed.select(hn.to_html(F.col("nodes")).alias("h")).collect()[0].h == "<p>a</p><p>b</p>"
+    assert parsed.select(hn.to_html().alias("h")).collect()[0].h == "<p>a</p><p>b</p>"
 
 
 RESULT = (

@@ -427,13 +427,13 @@ def html_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = html.drop_boilerplate(html.parse_pages(fx.table(spark, sf_dir, "pages")))
-    return kept.select("page_id", to_html(F.col("nodes")).alias("html"))
+    return kept.select("page_id", to_html().alias("html"))
 
 
 def main_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = html.parse_pages(fx.variant_pages(spark, sf_dir))
     found = html.main_content(html.drop_boilerplate(parsed))
-    return found.select("page_id", to_html(F.col("nodes")).alias("html"))
+    return found.select("page_id", to_html().alias("html"))
 
 
 def clean_html(spark: SparkSession, sf_dir: str) -> DataFrame:
