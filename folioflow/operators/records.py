@@ -59,11 +59,18 @@ def new_records(
     fresh = first_wins(
         items.join(stored_keys(store, retry_errors), "identifier", "left_anti"), order_cols
     )
-    # Joined on the order as well, so a much-repeated identifier spreads over all tasks.
+    return fresh, without(items, fresh, order_cols)
+
+
+def without(items: DataFrame, chosen: DataFrame, order_cols: list[str]) -> DataFrame:
+    """Items that are not among the chosen ones.
+
+    Joined on the order as well, so a much-repeated identifier spreads over all tasks.
+    """
     exact = ["identifier", *order_cols]
-    chosen = fresh.select(*[F.col(c).alias(f"_{c}") for c in exact])
+    names = chosen.select(*[F.col(c).alias(f"_{c}") for c in exact])
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in exact])
-    return fresh, items.join(chosen, same, "left_anti")
+    return items.join(names, same, "left_anti")
 
 
 def feed_rows(new: DataFrame, duplicates: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from folioflow.functions.times import as_of_literal
 from folioflow.operators.aggregates import ingest_stats
 from folioflow.operators.filters import accepted, body_filter, rejected, required_fields
 from folioflow.operators.html import page_facts, pagination_chain, parse_pages, result_records
-from folioflow.operators.records import feed_rows, ingest_attach, new_records
+from folioflow.operators.records import feed_rows, ingest_attach, new_records, without
 from folioflow.scale import materialise
 from folioflow.schema import LANDING_ZONE
 
@@ -69,7 +69,10 @@ def ingest_items(
     """Store the new ones among scraped items together with their documents."""
     checked = required_fields(items, ["identifier", "doc_link"])
     order_cols = order_cols or ORDER
-    new, duplicates = new_records(accepted(checked), store, retry_errors, order_cols)
+    fresh, _ = new_records(accepted(checked), store, retry_errors, order_cols)
+    # Read several times below, and much smaller than what was scraped.
+    new = materialise(fresh, "new")
+    duplicates = without(accepted(checked), new, order_cols)
     attached = materialise(ingest_attach(new, responses, as_of, zone), "attached")
 
     records = attached.drop(*STORAGE_ONLY)
@@ -80,10 +83,14 @@ def ingest_items(
         F.col("stored_type").alias("content_type"),
         F.octet_length("stored_content").cast("long").alias("length"),
     )
+
+    def counted(rows: DataFrame, outcome: str) -> DataFrame:
+        return rows.select(F.lit(outcome).alias("outcome"), F.lit(None).cast("string").alias("status"))
+
     outcomes = (
         attached.select(F.lit("stored").alias("outcome"), "status")
-        .unionByName(duplicates.select(F.lit("duplicate").alias("outcome"), F.lit(None).cast("string").alias("status")))
-        .unionByName(rejected(checked).select(F.lit("rejected").alias("outcome"), F.lit(None).cast("string").alias("status")))
+        .unionByName(counted(duplicates, "duplicate"))
+        .unionByName(counted(rejected(checked), "rejected"))
     )
     return IngestResult(records, objects, feed_rows(records, duplicates), ingest_stats(outcomes))
 

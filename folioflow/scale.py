@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 # A side is broadcast only if its measured text size stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Values fetched to choose split points; fixed, whatever the table size.
-SPLIT_SAMPLE = 4096
+SPLIT_SAMPLE = 16_384
 # Groups above this many rows are split over several tasks.
 HOT_ROWS = 1_000_000
 
@@ -109,14 +109,28 @@ def split_points(df: DataFrame, order: str, n_splits: int) -> list:
     return sorted({sample[i * len(sample) // n_splits] for i in range(1, n_splits)} if sample else set())
 
 
-def split_number(order: str, points: list, first: int = 0) -> Column:
-    """Range number of ``order``: a balanced tree of comparisons, evaluated in generated code."""
+def split_number(order: str, points: list) -> Column:
+    """Number of split points at or below ``order``, found by halving the list."""
     if not points:
-        return F.lit(first)
-    mid = len(points) // 2
-    return F.when(
-        F.col(order) >= F.lit(points[mid]), split_number(order, points[mid + 1 :], first + mid + 1)
-    ).otherwise(split_number(order, points[:mid], first))
+        return F.lit(0)
+    splits = F.array(*[F.lit(p) for p in points])
+
+    def state(low, high):
+        return F.struct(low.alias("low"), high.alias("high"))
+
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.shiftright(span["low"] + span["high"], 1)
+        above = F.get(splits, middle) <= F.col(order)
+        return (
+            F.when(span["low"] >= span["high"], span)
+            .when(above, state(middle + 1, span["high"]))
+            .otherwise(state(span["low"], middle))
+        )
+
+    steps = F.sequence(F.lit(0), F.lit(len(points).bit_length() - 1))
+    return F.aggregate(
+        steps, state(F.lit(0), F.lit(len(points))), halve, lambda span: span["low"]
+    )
 
 
 def hot_groups(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
@@ -144,7 +158,7 @@ def numbered(
     number: str = "row_no",
     total: str | None = None,
     hot_rows: int = HOT_ROWS,
-    n_splits: int = 512,
+    n_splits: int = 1024,
 ) -> DataFrame:
     """Row number within ``keys`` by ``order`` (and the group's size), safe for hot groups.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from folioflow.scale import broadcast_if_small
 from folioflow.schema import OBJECTS
 
 
@@ -44,14 +45,14 @@ def objects_upsert(
 
     Of several incoming objects of one name the first by ``newest_first`` is kept
     (give an order whenever names can repeat). Existing documents are filtered by
-    name only; their bytes are not ranked or regrouped.
+    name only; they stay in their partitions as long as the incoming names are few.
     """
     key = ["zone", "object_name"]
     columns = existing.columns
     if newest_first:
         newest = W.partitionBy(*key).orderBy(*newest_first)
         incoming = incoming.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1")
-    kept = existing.join(incoming.select(*key), key, "left_anti")
+    kept = existing.join(broadcast_if_small(incoming.select(*key)), key, "left_anti")
     return kept.select(*columns).unionByName(incoming.select(*columns))
 
 
