@@ -18,14 +18,16 @@ def form_encode(text: Column) -> Column:
     )
 
 
-def search_url(body_code: Column, start: Column, end: Column) -> Column:
+def search_url(
+    body_code: Column, start: Column, end: Column, address: str = SEARCH_ADDRESS
+) -> Column:
     """Search address of one body and period."""
 
     def day(date: Column) -> Column:
         return form_encode(F.date_format(date, "dd/MM/yyyy"))
 
     return F.concat(
-        F.lit(f"{SEARCH_ADDRESS}?decisions=1&body="),
+        F.lit(f"{address}?decisions=1&body="),
         form_encode(body_code),
         F.lit("&from="),
         day(start),

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.functions.links import search_url
+from folioflow.functions.links import SEARCH_ADDRESS, search_url
 from folioflow.schema import BODY_CODES, DEFAULT_BODIES
 
 _STEP_DAYS = {"daily": 1, "weekly": 7}
@@ -84,6 +84,7 @@ def search_tasks(
     start: str | date | Column,
     end: str | date | Column,
     mapping: dict[str, str] | None = None,
+    address: str = SEARCH_ADDRESS,
 ) -> DataFrame:
     """One search per body and month, the period clamped to ``start`` .. ``end``.
 
@@ -102,7 +103,7 @@ def search_tasks(
         }
     )
     tasks = body_code(tasks, mapping)
-    url = search_url(F.col("body_code"), F.col("period_start"), F.col("period_end"))
+    url = search_url(F.col("body_code"), F.col("period_start"), F.col("period_end"), address)
     return tasks.withColumns(
         {"partition_date": F.date_format(part, "yyyy-MM-dd"), "search_url": url}
     )

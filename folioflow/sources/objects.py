@@ -38,6 +38,21 @@ def objects_append(objects: DataFrame, path: str) -> None:
         objects.write.mode("append").partitionBy("zone").parquet(path)
 
 
+def objects_save_bucketed(objects: DataFrame, table: str, buckets: int, path: str) -> DataFrame:
+    """Save a content table bucketed by object name, for joins with many records.
+
+    Records are then shuffled to the buckets while the documents stay where they are.
+    """
+    (
+        objects.write.mode("overwrite")
+        .option("path", path)
+        .bucketBy(buckets, "object_name")
+        .sortBy("object_name")
+        .saveAsTable(table)
+    )
+    return objects.sparkSession.table(table)
+
+
 def objects_upsert(
     existing: DataFrame, incoming: DataFrame, newest_first: list | None = None
 ) -> DataFrame:

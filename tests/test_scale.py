@@ -120,6 +120,29 @@ def test_listing_does_not_read_content(spark):
     assert "content:binary" not in plan and "PartitionFilters: [isnotnull(zone" in plan
 
 
+def test_bucketed_documents_are_not_shuffled(spark, monkeypatch):
+    from folioflow.sources import objects
+
+    path = scale.scratch_path(spark, "objects")
+    documents = objects.objects_save_bucketed(fx.landing_objects(spark, SF), "documents_by_name", 4, path)
+    # As if there were too many records to broadcast.
+    monkeypatch.setattr(records, "broadcast_if_small", lambda df: df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        r = fx.landing_records(spark, SF).where("file_path is not null")
+        joined = records.records_with_content(r, documents)
+        plan = plan_of(joined)
+        n = joined.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop table documents_by_name")
+    assert n == r.count()
+    # One exchange per join, both of them of the records.
+    assert plan.count("Exchange hashpartitioning") == 2 and "Bucketed: true" in plan
+    for side in plan.split("Exchange hashpartitioning")[1:]:
+        assert "pages.parquet" in side.split("Scan parquet")[1]
+
+
 def test_hash_audit_shuffles_hashes_only(spark):
     from folioflow.operators import aggregates
 
