@@ -27,7 +27,7 @@ def record_lookup(records: DataFrame, identifier: str) -> DataFrame:
 def required_fields(df: DataFrame, cols: list[str]) -> DataFrame:
     """Add ``reject_reason``: the names of missing or empty required columns, else NULL."""
     missing = F.array_compact(
-        F.array(*[F.when(F.coalesce(F.col(c), F.lit("")) == "", c) for c in cols])
+        F.array(*[F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) == "", c) for c in cols])
     )
     return df.withColumn(
         "reject_reason",
