@@ -154,13 +154,38 @@ def main_rank(node: str) -> str:
 # -- whole node lists ----------------------------------------------------------
 
 
+# Pages with more removed elements than this are searched by halving.
+FEW_SPANS = 32
+
+
+def _count_below(numbers: str, cond: str) -> str:
+    """How many leading values of an ascending array satisfy ``cond`` (on ``value``)."""
+    middle = "shiftright(at.low + at.high, 1)"
+    hit = cond.replace("value", f"{numbers}[{middle}]")
+    return f"""aggregate(
+        page.steps, named_struct('low', 0, 'high', size({numbers})),
+        (at, step) -> case
+            when at.low >= at.high then at
+            when {hit} then named_struct('low', {middle} + 1, 'high', at.high)
+            else named_struct('low', at.low, 'high', {middle}) end,
+        at -> at.low)"""
+
+
 def _without_boilerplate(nodes: str) -> str:
+    spans = f"""transform(filter({nodes}, n -> {is_boilerplate("n")}),
+                          n -> named_struct('pos', n.pos, 'end_pos', n.end_pos))"""
+    many = f"size(spans) > {FEW_SPANS}"
     page = f"""named_struct(
-        'nodes', {nodes},
-        'spans', transform(filter({nodes}, n -> {is_boilerplate("n")}),
-                           n -> named_struct('pos', n.pos, 'end_pos', n.end_pos)))"""
-    kept = "filter(page.nodes, n -> not exists(page.spans, s -> n.pos between s.pos and s.end_pos))"
-    return _let("page", page, kept)
+        'nodes', {nodes}, 'spans', spans,
+        'starts', if({many}, transform(spans, s -> s.pos), null),
+        'ends', if({many}, sort_array(transform(spans, s -> s.end_pos)), null),
+        'steps', sequence(0, cast(log2(size(spans) + 1) as int)))"""
+    in_few = "exists(page.spans, s -> n.pos between s.pos and s.end_pos)"
+    # As many elements are open around a node as have begun up to it and not ended before it.
+    begun = _count_below("page.starts", "value <= n.pos")
+    ended = _count_below("page.ends", "value < n.pos")
+    removed = f"if(page.starts is null, {in_few}, {begun} > {ended})"
+    return _let("spans", spans, _let("page", page, f"filter(page.nodes, n -> not {removed})"))
 
 
 def _main_nodes(nodes: str) -> str:

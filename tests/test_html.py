@@ -129,6 +129,14 @@ def test_clean_html(spark):
         assert got[i] == expected, name
 
 
+def test_page_with_very_many_removed_elements(spark):
+    n = 3000
+    markup = "<main>" + "".join(
+        f'<p>{i}</p><div class="menu"><nav>n</nav><button>b</button>x</div>' for i in range(n)
+    )
+    assert clean(spark, markup) == "<main>" + "".join(f"<p>{i}</p>" for i in range(n)) + "</main>"
+
+
 def test_clean_html_is_idempotent(spark):
     once = [e for _, e in CLEANING.values()]
     got = {r.page_id: r.clean_html for r in html.clean_html(pages_of(spark, *once)).collect()}
