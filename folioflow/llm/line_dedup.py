@@ -145,12 +145,12 @@ def dedup_lines(
     kept = F.when(F.col(gone).isNull(), lines).otherwise(
         F.filter(lines, lambda l: ~F.coalesce(F.array_contains(F.col(gone), line_id(l, min_chars)), F.lit(False)))
     )
-    joined = docs.join(drops, F.col("doc_id").cast("long").eqNullSafe(F.col(doc)), "left")
+    # The same plan at every size: a shuffle of both sides by document.
+    joined = docs.join(drops.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col(doc)), "left")
     results = {
         "n_lines": F.size(lines).cast("long"),
         "n_dropped": (F.size(lines) - F.size(kept)).cast("long"),
         "kept_text": F.array_join(kept, "\n"),
     }
-    (row,) = free_names(joined, "line_row")
     old = without(docs, list(results)).columns
     return joined.select(*[F.col(f"`{c}`") for c in old], *[v.alias(k) for k, v in results.items()])
