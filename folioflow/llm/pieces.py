@@ -16,6 +16,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -90,7 +91,9 @@ _WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 def units_of(word: str, joined: frozenset[str]) -> list[str]:
     """A word in the units that pieces stay within."""
-    cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in joined]
+    if len(word) <= UNIT_CHARS and joined.issuperset(map(add, word, word[1:])):
+        return [word]
+    cuts = [i for i, pair in enumerate(map(add, word, word[1:]), 1) if pair not in joined]
     out = []
     for b, e in zip([0, *cuts], [*cuts, len(word)], strict=True):
         out += [word[k : min(k + UNIT_CHARS, e)] for k in range(b, e, UNIT_CHARS)]
@@ -205,13 +208,10 @@ def _edges(units: DataFrame, spark: SparkSession, model: Model) -> DataFrame:
     # The piece table is as large as the vocabulary, whatever the corpus.
     rows = [(p, i, s) for i, (p, s, ok) in enumerate(zip(model.pieces, model.scores, model.plain, strict=True)) if ok]
     table = F.broadcast(spark.createDataFrame(rows, "piece string, piece_id int, score double"))
-    spans = F.expr(
-        "flatten(transform(sequence(1, char_length(unit)), b -> transform("
-        f"sequence(1, least({model.longest}, char_length(unit) - b + 1)), "
-        "n -> named_struct('b', b, 'n', n, 's', substring(unit, b, n)))))"
-    )
-    exploded = units.select("unit", F.explode(spans).alias("x")).select(
-        "unit", F.col("x.b").alias("b"), F.col("x.n").alias("n"), F.col("x.s").alias("s")
+    begins = units.select("unit", F.explode(F.sequence(F.lit(1), F.char_length("unit"))).alias("b"))
+    sizes = F.sequence(F.lit(1), F.least(F.lit(model.longest), F.char_length("unit") - F.col("b") + 1))
+    exploded = begins.select("unit", "b", F.explode(sizes).alias("n")).select(
+        "unit", "b", "n", F.substring(F.col("unit"), F.col("b"), F.col("n")).alias("s")
     )
     octets = F.array(*[F.lit(i) for i in model.byte_ids])
     as_bytes = F.transform(
@@ -225,7 +225,7 @@ def _edges(units: DataFrame, spark: SparkSession, model: Model) -> DataFrame:
             (F.col("b") + F.col("n") - 1).alias("end"),
             (F.col("b") - 1).alias("begin"),
             F.when(known, F.col("score")).otherwise(F.lit(model.unknown_score)).alias("score"),
-            F.when(known, F.array("piece_id")).otherwise(as_bytes).alias("ids"),
+            F.when(known, F.array("piece_id")).otherwise(as_bytes).alias("ids"),  # never compared: places are unique
         ).alias("edge"),
     )
 

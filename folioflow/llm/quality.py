@@ -8,7 +8,6 @@ tail probabilities; selection looks at the last one.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -27,26 +26,19 @@ GRADES = 3
 #: A document is kept if its probability of the best grade is at least this.
 KEEP = 0.5
 #: Distinct tokens whose features a task remembers.
-MEMO = 200_000
+MEMO = 400_000
 
-_EDGE = re.compile(r"^\W+|\W+$")
+#: Marks that are no part of a word at its edges.
+_EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
 
 def _token_features(token: str) -> tuple[int, ...]:
-    """Buckets of a token: its word without case and edge marks, its shape, and its marks."""
-    word = _EDGE.sub("", token)
-    marks = token[len(token.rstrip("".join(set(token) - set(word)))) :] if word else token
-    letters = [c for c in word if c.isalpha()]
-    if not letters:
-        shape = "none"
-    elif len(letters) > 1 and word.upper() == word:
-        shape = "upper"
-    else:
-        shape = "title" if word[0].isupper() else "lower"
-    names = ["w " + word.lower(), "s " + shape]
-    if marks:
-        names.append("m " + marks[-4:])
-    return tuple(crc32(n.encode()) % BUCKETS for n in names)
+    """Buckets of a token: its word without case and edge marks, its shape, and the marks after it."""
+    front = token.rstrip(_EDGE)
+    word = front.lstrip(_EDGE)
+    shape = "upper" if word.isupper() and len(word) > 1 else "title" if word[:1].isupper() else "lower" if word else "none"
+    names = [word.lower(), "s " + shape, "m " + token[len(front) :][-4:]]
+    return tuple([crc32(n.encode()) % BUCKETS for n in names])
 
 
 def _share(name: str, part: int, whole: int) -> list[int]:
@@ -97,7 +89,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, penalty: float = 1e-3, rounds: int = 300) -> Model:
+def fit(rows: list[np.ndarray], grades: np.ndarray, penalty: float = 1e-3, rounds: int = 150) -> Model:
     """Maximum likelihood with a quadratic penalty, by full-batch Adam steps.
 
     Threshold k is the first plus the exponentials of the steps up to k, so the order always
