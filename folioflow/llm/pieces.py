@@ -32,7 +32,7 @@ from folioflow.scale import scratch_path
 
 SPACE = "▁"
 #: Text of a shard, in bytes.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 12 << 20
 #: A unit without any safe cut ends after so many code points; reading back is not affected.
 UNIT_CHARS = 512
 #: What a character without a piece costs more than the worst piece, as the library has it.
@@ -139,7 +139,7 @@ class _Shard:
         self.joined = joined
         self.units: dict[str, int] = {}
         self.memo: dict[str, tuple[int, ...]] = {}
-        self.codes: list[np.ndarray] = []
+        self.codes: list[bytes] = []
         self.kept: list[pa.RecordBatch] = []
         self.size = 0
 
@@ -149,16 +149,17 @@ class _Shard:
         return got
 
     def add(self, texts: list[str | None], kept: pa.RecordBatch) -> None:
-        sizes, digests, memo = [], [], self.memo
+        sizes, digests, memo, codes = [], [], self.memo, []
         for text in texts:
             out: list[int] = []
             if text:
                 for word in _WORD.findall(SPACE + text.replace(" ", SPACE)):
                     out += memo.get(word) or self._codes(word)
                 self.size += len(text)
-            self.codes.append(np.array(out, dtype=np.uint32))
+            codes.append(np.array(out, dtype=np.uint32))
             sizes.append(len(out))
             digests.append(xxhash.xxh64_intdigest((text or "").encode()) >> 1)
+        self.codes.append(_varint(np.concatenate(codes)))
         extra = [pa.array(sizes, pa.int64()), pa.array(digests, pa.int64())]
         self.kept.append(
             pa.RecordBatch.from_arrays([*kept.columns, *extra], names=[*kept.schema.names, "_n_codes", "_digest"])
@@ -166,7 +167,7 @@ class _Shard:
 
     def row(self, number: int) -> pa.RecordBatch:
         docs = pa.Table.from_batches(self.kept).combine_chunks().to_batches()[0]
-        codes = zstandard.compress(_varint(np.concatenate(self.codes)), 3)
+        codes = zstandard.compress(b"".join(self.codes), 3)
         columns = [
             pa.array([number], pa.int64()),
             pa.array([_ipc(docs)], pa.binary()),
@@ -184,8 +185,8 @@ def _packed(docs: DataFrame, carry: list[str], joined: frozenset[str], shard_byt
         number, shard = TaskContext.get().partitionId() << 32, _Shard(joined)
         for batch in batches:
             text = batch.schema.get_field_index("text")
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
                 shard.add(part.column(text).to_pylist(), part.select(carry))
                 if shard.size >= shard_bytes:
                     yield shard.row(number)
