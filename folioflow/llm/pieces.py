@@ -32,13 +32,13 @@ from folioflow.scale import scratch_path
 
 SPACE = "▁"
 #: Text of a shard, in bytes.
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 8 << 20
 #: A unit without any safe cut ends after so many code points; reading back is not affected.
 UNIT_CHARS = 512
 #: What a character without a piece costs more than the worst piece, as the library has it.
 UNKNOWN_PENALTY = 10.0
 #: Units that a task packs for their shards at a time.
-PACK_ROWS = 1 << 17
+PACK_ROWS = 1 << 15
 
 
 @dataclass(frozen=True)
@@ -205,7 +205,10 @@ def _packed(docs: DataFrame, carry: list[str], joined: frozenset[str], shard_byt
 
 
 def _edges(units: DataFrame, spark: SparkSession, model: Model) -> DataFrame:
-    """(unit, begin, end, score, ids) for each substring that is a piece, and for each character that is none."""
+    """(unit, edge) for each substring that is a piece, and for each character that is none.
+
+    An edge's ``place`` holds its end, begin and piece id in this order, as one number that sorts by them.
+    """
     # The piece table is as large as the vocabulary, whatever the corpus.
     rows = [(p, i, s) for i, (p, s, ok) in enumerate(zip(model.pieces, model.scores, model.plain, strict=True)) if ok]
     table = F.broadcast(spark.createDataFrame(rows, "piece string, piece_id int, score double"))
@@ -214,35 +217,37 @@ def _edges(units: DataFrame, spark: SparkSession, model: Model) -> DataFrame:
     exploded = begins.select("unit", "b", F.explode(sizes).alias("n")).select(
         "unit", "b", "n", F.substring(F.col("unit"), F.col("b"), F.col("n")).alias("s")
     )
-    octets = F.array(*[F.lit(i) for i in model.byte_ids])
-    as_bytes = F.transform(
-        F.sequence(F.lit(1), F.octet_length("s")),
-        lambda k: F.element_at(octets, F.conv(F.hex(F.substring(F.encode("s", "UTF-8"), k, F.lit(1))), 16, 10).cast("int") + 1),
-    )
     known = F.col("piece_id").isNotNull()
+    begin, end = (F.col("b") - 1).cast("long"), (F.col("b") + F.col("n") - 1).cast("long")
+    place = F.shiftleft(end, 48).bitwiseOR(F.shiftleft(begin, 32)).bitwiseOR(F.coalesce("piece_id", F.lit(_NO_PIECE)).cast("long"))
     return exploded.join(table, F.col("s") == F.col("piece"), "left").where(known | (F.col("n") == 1)).select(
         "unit",
-        F.struct(
-            (F.col("b") + F.col("n") - 1).alias("end"),
-            (F.col("b") - 1).alias("begin"),
-            F.when(known, F.col("score")).otherwise(F.lit(model.unknown_score)).alias("score"),
-            F.when(known, F.array("piece_id")).otherwise(as_bytes).alias("ids"),  # never compared: places are unique
-        ).alias("edge"),
+        F.struct(place.alias("place"), F.coalesce("score", F.lit(model.unknown_score)).alias("score")).alias("edge"),
     )
 
 
+#: Stands for the piece of a character that has none.
+_NO_PIECE = (1 << 31) - 1
+
+
 def _viterbi(edges: Column) -> Column:
-    """Ids of the best path over edges sorted by end and begin; of equal paths the one whose last piece is longest."""
+    """Piece ids of the best path over edges sorted by place; of equal paths the one whose last piece is longest.
+
+    A character without a piece is the negative of its place.
+    """
     path_type = "array<struct<score: double, ids: array<int>>>"
     start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids"))).cast(path_type)
 
     def step(paths: Column, edge: Column) -> Column:
-        before = F.get(paths, edge["begin"])
+        end = F.shiftright(edge["place"], 48).cast("int")
+        before = F.get(paths, F.shiftright(edge["place"], 32).cast("int").bitwiseAND(0xFFFF))
         score = before["score"] + edge["score"]
-        new = F.array(F.struct(score.alias("score"), F.concat(before["ids"], edge["ids"]).alias("ids"))).cast(path_type)
+        piece = edge["place"].bitwiseAND(0xFFFFFFFF).cast("int")
+        piece = F.when(piece == _NO_PIECE, -end).otherwise(piece)
+        new = F.array(F.struct(score.alias("score"), F.concat(before["ids"], F.array(piece)).alias("ids"))).cast(path_type)
         return (
-            F.when(F.size(paths) == edge["end"], F.concat(paths, new))
-            .when(score > F.get(paths, edge["end"])["score"], F.concat(F.slice(paths, 1, edge["end"]), new))
+            F.when(F.size(paths) == end, F.concat(paths, new))
+            .when(score > F.element_at(paths, -1)["score"], F.concat(F.slice(paths, 1, end), new))
             .otherwise(paths)
         )
 
@@ -250,10 +255,21 @@ def _viterbi(edges: Column) -> Column:
 
 
 def encode_units(units: DataFrame, model: Model) -> DataFrame:
-    """(unit, ids) for distinct units."""
+    """(unit, ids) for distinct units; characters without a piece become the pieces of their bytes."""
     edges = _edges(units, units.sparkSession, model)
     grouped = edges.groupBy("unit").agg(F.array_sort(F.collect_list("edge")).alias("edges"))
-    return grouped.select("unit", _viterbi(F.col("edges")).alias("ids"))
+    paths = grouped.select("unit", _viterbi(F.col("edges")).alias("ids"))
+    octets = F.array(*[F.lit(i) for i in model.byte_ids])
+
+    def in_bytes(place: Column) -> Column:
+        char = F.encode(F.substring(F.col("unit"), -place, F.lit(1)), "UTF-8")
+        return F.transform(
+            F.sequence(F.lit(1), F.octet_length(char)),
+            lambda k: F.element_at(octets, F.conv(F.hex(F.substring(char, k, F.lit(1))), 16, 10).cast("int") + 1),
+        )
+
+    spelled = F.flatten(F.transform("ids", lambda i: F.when(i < 0, in_bytes(i)).otherwise(F.array(i))))
+    return paths.select("unit", F.when(F.array_min("ids") < 0, spelled).otherwise(F.col("ids")).alias("ids"))
 
 
 # -- dictionaries back to their shards --------------------------------------------

@@ -26,7 +26,7 @@ GRADES = 3
 #: A document is kept if its probability of the best grade is at least this.
 KEEP = 0.5
 #: Distinct tokens whose features a task remembers.
-MEMO = 400_000
+MEMO = 100_000
 
 #: Marks that are no part of a word at its edges.
 _EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
