@@ -25,6 +25,8 @@ TRAIN_ROWS = 6000
 GRADES = 3
 #: A document is kept if its probability of the best grade is at least this.
 KEEP = 0.5
+#: A feature is fitted if it is in so many rows and goes with a grade by so many standard deviations.
+LEAST_ROWS, LEAST_Z = 4, 4.5
 #: Distinct tokens whose features a task remembers.
 MEMO = 100_000
 
@@ -89,53 +91,64 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, penalty: float = 1e-3, rounds: int = 150) -> Model:
-    """Maximum likelihood with a quadratic penalty, by full-batch Adam steps.
+def telling(rows: list[np.ndarray], grades: np.ndarray) -> np.ndarray:
+    """Buckets whose presence goes with some cut of the grades by more than chance (``LEAST_Z`` deviations)."""
+    n, flat = len(rows), np.concatenate(rows)
+    count, size = np.bincount(flat, minlength=BUCKETS), np.array([len(r) for r in rows])
+    strongest = np.zeros(BUCKETS)
+    for k in range(GRADES - 1):
+        low = (grades <= k).astype(float)
+        met = np.bincount(flat, weights=np.repeat(low, size), minlength=BUCKETS)
+        variance = count * (1 - count / n) * low.mean() * (1 - low.mean())
+        strongest = np.maximum(strongest, np.abs(met - count * low.mean()) / np.sqrt(variance + 1e-9))
+    return np.flatnonzero((count >= LEAST_ROWS) & (strongest > LEAST_Z))
+
+
+def fit(rows: list[np.ndarray], grades: np.ndarray, penalty: float = 1e-4, rounds: int = 150) -> Model:
+    """Maximum likelihood with a quadratic penalty over the telling features, by full-batch Adam steps.
 
     Threshold k is the first plus the exponentials of the steps up to k, so the order always
-    holds. Without rows, or with one grade only, the thresholds carry the (smoothed) shares.
+    holds. Features are centred while fitting. Without rows, or with one grade only, the thresholds carry the (smoothed) shares.
     """
     n = len(rows)
     shares = np.array([(np.sum(grades > k) + 0.5) / (n + 1) for k in range(GRADES - 1)])
     cuts = -np.log(shares / (1 - shares))
     steps = np.concatenate((cuts[:1], np.log(np.maximum(np.diff(cuts), 1e-3))))
     weights = np.zeros(BUCKETS)
-    if n == 0 or len(np.unique(grades)) < 2:
-        return Model(weights, np.concatenate((cuts[:1], cuts[:1] + np.cumsum(np.exp(steps[1:])))))
-    flat = np.concatenate(rows)
-    used, place = np.unique(flat, return_inverse=True)
-    size = np.array([len(r) for r in rows])
-    row = np.repeat(np.arange(n), size)
-    scale = 1 / np.sqrt(size.mean())
-    params = np.zeros(len(used) + len(steps))
-    params[len(used) :] = steps
+    used = telling(rows, grades) if n and len(np.unique(grades)) > 1 else np.zeros(0, dtype=np.int64)
+    if not len(used):
+        return Model(weights, steps[0] + np.concatenate(([0.0], np.cumsum(np.exp(steps[1:])))))
+    column = np.full(BUCKETS, -1)
+    column[used] = np.arange(len(used))
+    place = column[np.concatenate(rows)]
+    row = np.repeat(np.arange(n), [len(r) for r in rows])[place >= 0]
+    place = place[place >= 0]
+    share = np.bincount(place, minlength=len(used)) / n
+    params = np.concatenate((np.zeros(len(used)), steps))
     first, second = np.zeros_like(params), np.zeros_like(params)
     for t in range(1, rounds + 1):
         w, s = params[: len(used)], params[len(used) :]
         theta = s[0] + np.concatenate(([0.0], np.cumsum(np.exp(s[1:]))))
-        score = np.bincount(row, weights=w[place], minlength=n) * scale
+        score = np.bincount(row, weights=w[place], minlength=n) - w @ share
         # P(grade <= k) with bounds 0 and 1 at the ends; likelihood of a grade is a difference of two.
-        upper = np.concatenate((theta, [np.inf]))[grades] - score
-        lower = np.concatenate(([-np.inf], theta))[grades] - score
-        p_up, p_low = _sigmoid(upper), _sigmoid(lower)
+        p_up = _sigmoid(np.concatenate((theta, [np.inf]))[grades] - score)
+        p_low = _sigmoid(np.concatenate(([-np.inf], theta))[grades] - score)
         p = np.maximum(p_up - p_low, 1e-12)
         d_up, d_low = p_up * (1 - p_up) / p, p_low * (1 - p_low) / p
         by_score = d_up - d_low  # of the negative log likelihood
-        by_theta = np.array(
-            [np.sum(d_low[grades == k + 1]) - np.sum(d_up[grades == k]) for k in range(GRADES - 1)]
-        )
+        by_theta = np.array([np.sum(d_low[grades == k + 1]) - np.sum(d_up[grades == k]) for k in range(GRADES - 1)])
         gradient = np.empty_like(params)
-        gradient[: len(used)] = np.bincount(place, weights=by_score[row], minlength=len(used)) * scale / n + penalty * w
+        met = np.bincount(place, weights=by_score[row], minlength=len(used)) - share * by_score.sum()
+        gradient[: len(used)] = met / n + penalty * w
         gradient[len(used)] = by_theta.sum() / n
         for k in range(1, len(s)):
             gradient[len(used) + k] = by_theta[k:].sum() * np.exp(s[k]) / n
         first += 0.1 * (gradient - first)
         second += 0.01 * (gradient**2 - second)
-        rate = 0.2 * min(1.0, 4 * (1 - t / (rounds + 1)))
+        rate = 0.1 * min(1.0, 4 * (1 - t / (rounds + 1)))
         params -= rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
-    weights[used] = params[: len(used)] * scale
-    s = params[len(used) :]
-    return Model(weights, s[0] + np.concatenate(([0.0], np.cumsum(np.exp(s[1:])))))
+    weights[used], s = params[: len(used)], params[len(used) :]
+    return Model(weights, weights[used] @ share + s[0] + np.concatenate(([0.0], np.cumsum(np.exp(s[1:])))))
 
 
 def grade(quality: Column, toxic: Column) -> Column:

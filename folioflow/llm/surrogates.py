@@ -4,8 +4,7 @@ Every kind of entity is read as a shape and a number below the count of entities
 shape. A keyed permutation of those numbers (a Feistel network walked into range) gives the
 surrogate (the next one on a secret circle through all), so equal entities always get equal
 surrogates and different ones different surrogates, wherever they stand, without any lookup. What remains to be checked over all documents is that no
-surrogate is an entity that really occurs: such a one is permuted again until it is not,
-which keeps surrogates distinct.
+surrogate is an entity that really occurs: such a one goes on to the next free value, and no two to the same.
 """
 
 from __future__ import annotations
@@ -201,26 +200,33 @@ def _surrogates(entities: DataFrame, key: str, source: str) -> DataFrame:
 def clashing(entities: DataFrame, key: str) -> DataFrame:
     """(kind, value, surrogate) of the entities whose first surrogate is an entity as well.
 
-    Permuted again until the surrogate is free, or the way comes back to the entity itself:
-    then all values on it occur and the first surrogate stands. Either way different entities keep different surrogates.
+    Each of them goes on along its circle to the next value that is neither an entity nor anybody's
+    surrogate; of several that arrive at one value the smallest takes it and the others go on. Where the way comes back to the
+    entity itself there is no free value, and the first surrogate stands. So all surrogates stay distinct.
     """
-    known = entities.select(F.col("kind").alias("known_kind"), F.col("value").alias("known"))
+    known = entities.select(F.col("kind").alias("taken_kind"), F.col("value").alias("taken"))
     at = materialise(_surrogates(entities, key, "value"), "surrogates")
-    hit = lambda df: df.join(known, (df["kind"] == F.col("known_kind")) & (df["surrogate"] == F.col("known")), "left_semi")
-    open_ = materialise(hit(at).select("kind", "value", F.col("surrogate").alias("first"), "surrogate"), "clashes")
-    done = None
+    occurs = lambda df, other, how: df.join(
+        other, (df["kind"] == F.col("taken_kind")) & (df["surrogate"] == F.col("taken")), how
+    )
+    open_ = materialise(
+        occurs(at, known, "left_semi").select("kind", "value", F.col("surrogate").alias("first"), "surrogate"), "clashes"
+    )
+    taken = known.unionByName(at.select(F.col("kind").alias("taken_kind"), F.col("surrogate").alias("taken")))
+    done = at.limit(0).select("kind", "value", "surrogate")
     while not open_.isEmpty():
-        moved = open_.withColumnRenamed("surrogate", "before")
-        moved = materialise(_surrogates(moved, key, "before").drop("before"), "clashes")
+        moved = materialise(_surrogates(open_.withColumnRenamed("surrogate", "before"), key, "before").drop("before"), "clashes")
         closed = moved.where(F.col("surrogate") == F.col("value")).select("kind", "value", F.col("first").alias("surrogate"))
         going = moved.where(F.col("surrogate") != F.col("value"))
-        free = going.join(
-            known, (going["kind"] == F.col("known_kind")) & (going["surrogate"] == F.col("known")), "left_anti"
-        ).select("kind", "value", "surrogate")
-        out = closed.unionByName(free)
-        done = out if done is None else done.unionByName(out)
-        open_ = materialise(hit(going).select("kind", "value", "first", "surrogate"), "clashes")
-    return at.limit(0).select("kind", "value", "surrogate") if done is None else done
+        free = occurs(going, taken, "left_anti").groupBy("kind", "surrogate").agg(F.min("value").alias("value"))
+        free = materialise(free.select("kind", "value", "surrogate"), "clashes-solved")
+        done = done.unionByName(closed).unionByName(free)
+        taken = taken.unionByName(free.select(F.col("kind").alias("taken_kind"), F.col("surrogate").alias("taken")))
+        solved = free.select(F.col("kind").alias("solved_kind"), F.col("value").alias("solved"))
+        open_ = materialise(
+            going.join(solved, (going["kind"] == F.col("solved_kind")) & (going["value"] == F.col("solved")), "left_anti"), "clashes"
+        )
+    return done
 
 
 RESULTS = "surrogate_text string, entities array<struct<kind: string, start: bigint, end: bigint, surrogate: string>>"
