@@ -72,7 +72,7 @@ def _parse_batch(pages: pa.Array) -> pa.Array:
                 # A lone surrogate cannot be written back as UTF-8.
                 "".join(f"{r[6]}{r[7]}{r[8]}{r[10]}" for r in rows).encode("utf-8")
             except Exception as exc:  # one bad page must not stop the run
-                rows, pieces, error = [], [], f"{type(exc).__name__}: {exc}"[:500]
+                rows, pieces, error = [], [], f"{type(exc).__name__}: {exc}"
                 error = error.encode("utf-8", "replace").decode("utf-8")
         read = html.is_valid and error is None
         node_starts.append(len(node_columns[0]) if read else None)

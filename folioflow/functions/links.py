@@ -54,7 +54,12 @@ def _without_dot_segments(path: Column) -> Column:
 
 
 def abs_link(href: Column, page_url: Column) -> Column:
-    """``href`` as seen from ``page_url``; a missing or empty one is the page itself."""
+    """``href`` as seen from ``page_url``; a missing or empty one is the page itself.
+
+    Leading control characters and spaces are dropped, tabs and line ends within as well; empty
+    queries and fragments go, as do empty segments of a path that is joined to the page's folder.
+    """
+    href = F.regexp_replace(F.regexp_replace(href, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
     base = F.regexp_replace(page_url, "#.*$", "")
     document = F.regexp_replace(base, r"\?.*$", "")
     origin = F.regexp_extract(base, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?", 0)
@@ -62,14 +67,16 @@ def abs_link(href: Column, page_url: Column) -> Column:
     folder = F.regexp_extract(document, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/]*)?(.*/)?", 1)
 
     path = F.regexp_extract(href, r"^[^?#]*", 0)
-    full_path = F.when(path.startswith("/"), path).otherwise(
-        F.concat(F.when(folder == "", "/").otherwise(folder), path)
-    )
+    joined = F.concat(F.when(folder == "", "/").otherwise(folder), path)
+    full_path = F.when(path.startswith("/"), path).otherwise(F.regexp_replace(joined, "/{2,}", "/"))
     tail = F.regexp_replace(F.regexp_extract(href, r"[?#].*$", 0), r"^\?(?=#|$)|#$", "")
+    bare = F.regexp_replace(F.regexp_replace(href, r"^([^?#]*)\?(?=#|$)", "$1"), "#$", "")
+    scheme = F.regexp_extract(base, _SCHEME, 0)
     return (
         F.when(F.coalesce(href, F.lit("")) == "", page_url)
-        .when(href.rlike(_SCHEME), href)
-        .when(href.startswith("//"), F.concat(F.regexp_extract(base, _SCHEME, 0), href))
+        .when(href.rlike(_SCHEME), F.when(F.regexp_extract(href, _SCHEME, 0) == scheme, bare).otherwise(href))
+        .when(href.startswith("//"), F.concat(scheme, bare))
+        .when(href.rlike(r"^\?(#|$)"), F.concat(base, tail))
         .when(href.startswith("?"), F.concat(document, tail))
         .when(href.startswith("#"), F.concat(base, tail))
         .otherwise(F.concat(origin, _without_dot_segments(full_path), tail))

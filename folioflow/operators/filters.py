@@ -20,8 +20,10 @@ def records_by_range(
 
 
 def record_lookup(records: DataFrame, identifier: str) -> DataFrame:
-    """The record of that identifier, or no row."""
-    return records.where(F.col("identifier") == identifier).limit(1)
+    """The record of that identifier, or no row; of repeated ones the first by date, creation and link."""
+    order = [c for c in ("partition_date", "created_at", "body_type", "source_url", "doc_link") if c in records.columns]
+    found = records.where(F.col("identifier") == identifier)
+    return (found.orderBy(*order) if order else found).limit(1)
 
 
 def required_fields(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -53,24 +53,27 @@ def new_records(
     """Split items into new ones and duplicates.
 
     New is the first item of an identifier that is not stored, everything else is a
-    duplicate. The order columns must tell the items of one identifier apart.
+    duplicate. Items that tie on the order columns are interchangeable: one of them is new.
     """
     order_cols = order_cols or [c for c in ITEM_ORDER if c in items.columns]
-    fresh = first_wins(
-        items.join(stored_keys(store, retry_errors), "identifier", "left_anti"), order_cols
-    )
+    # First by identifier, so a task sends one row of each to the join however often it repeats.
+    fresh = first_wins(items, order_cols).join(stored_keys(store, retry_errors), "identifier", "left_anti")
     return fresh, without(items, fresh, order_cols)
 
 
 def without(items: DataFrame, chosen: DataFrame, order_cols: list[str]) -> DataFrame:
-    """Items that are not among the chosen ones.
+    """Items that are not among the chosen ones; each chosen row takes away one item.
 
-    Joined on the order as well, so a much-repeated identifier spreads over all tasks.
+    Joined on the order as well, so a much-repeated identifier spreads over all tasks; items that tie
+    on all of that are numbered, and the first one is the chosen one.
     """
     exact = ["identifier", *order_cols]
-    names = chosen.select(*[F.col(c).alias(f"_{c}") for c in exact])
+    tied = W.partitionBy(*exact).orderBy(F.lit(0))
+    numbered = items.withColumn("_tie", F.row_number().over(tied))
+    names = chosen.groupBy(*exact).agg(F.count(F.lit(1)).alias("_taken"))
+    names = names.select(*[F.col(c).alias(f"_{c}") for c in exact], "_taken")
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in exact])
-    return items.join(names, same, "left_anti")
+    return numbered.join(names, same & (F.col("_tie") <= F.col("_taken")), "left_anti").drop("_tie")
 
 
 def feed_rows(new: DataFrame, duplicates: DataFrame) -> DataFrame:
@@ -108,6 +111,24 @@ def records_with_content(records: DataFrame, objects: DataFrame) -> DataFrame:
     return joined.withColumn("failure", F.when(~F.col("has_document"), missing)).drop("has_document")
 
 
+def one_per_url(responses: DataFrame) -> DataFrame:
+    """One response of each URL: one with content before one without, then by type and hash.
+
+    Chosen on narrow columns; only URLs that repeat are looked at again.
+    """
+    narrow = responses.select(
+        "url", F.col("content").isNull().alias("_empty"), "content_type", F.xxhash64("content").alias("_hash")
+    )
+    key = F.struct("_empty", "content_type", "_hash")
+    best = narrow.groupBy("url").agg(F.min(key).alias("_best"), F.count(F.lit(1)).alias("_n"))
+    repeated = best.where("_n > 1").select(F.col("url").alias("_url"), "_best")
+    single = responses.join(repeated, F.col("url") == F.col("_url"), "left_anti")
+    several = responses.join(repeated, F.col("url") == F.col("_url")).where(
+        F.struct(F.col("content").isNull().alias("_empty"), "content_type", F.xxhash64("content").alias("_hash")).eqNullSafe(F.col("_best"))
+    )
+    return single.unionByName(several.dropDuplicates(["url"]).select(*responses.columns))
+
+
 def ingest_attach(
     items: DataFrame, pages: DataFrame, as_of, zone: str = LANDING_ZONE
 ) -> DataFrame:
@@ -118,7 +139,7 @@ def ingest_attach(
     re-serialised page, whose hash is ``stored_hash``. An item without a response is
     kept with status ``error``.
     """
-    responses = pages.select(F.col("url").alias("doc_link"), "content", "content_type")
+    responses = one_per_url(pages).select(F.col("url").alias("doc_link"), "content", "content_type")
     joined = _with_document(items, "doc_link", responses, "content", "content_type")
     ok = F.col("has_document") & F.col("content").isNotNull()
     joined = (

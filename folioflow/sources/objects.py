@@ -54,19 +54,17 @@ def objects_save_bucketed(objects: DataFrame, table: str, buckets: int, path: st
 
 
 def objects_upsert(
-    existing: DataFrame, incoming: DataFrame, newest_first: list | None = None
+    existing: DataFrame, incoming: DataFrame, newest_first: list
 ) -> DataFrame:
     """Existing objects with the incoming ones put in their place or added.
 
-    Of several incoming objects of one name the first by ``newest_first`` is kept
-    (give an order whenever names can repeat). Existing documents are filtered by
+    Of several incoming objects of one name the first by ``newest_first`` is kept. Existing documents are filtered by
     name only; they stay in their partitions as long as the incoming names are few.
     """
     key = ["zone", "object_name"]
     columns = existing.columns
-    if newest_first:
-        newest = W.partitionBy(*key).orderBy(*newest_first)
-        incoming = incoming.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1")
+    newest = W.partitionBy(*key).orderBy(*newest_first)
+    incoming = incoming.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1")
     kept = existing.join(broadcast_if_small(incoming.select(*key)), key, "left_anti")
     return kept.select(*columns).unionByName(incoming.select(*columns))
 

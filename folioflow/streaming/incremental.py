@@ -29,8 +29,10 @@ def _earlier_batches(spark: SparkSession, path: str, batch_id: int) -> DataFrame
     """Rows stored by earlier batches; a replay does not see its own first attempt."""
     try:
         stored = spark.read.parquet(path)
-    except AnalysisException:  # nothing has been written yet
-        return None
+    except AnalysisException as exc:
+        if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None  # nothing has been written yet
     return stored.where(F.col("batch_id") < batch_id)
 
 
