@@ -32,13 +32,13 @@ from folioflow.scale import scratch_path
 
 SPACE = "▁"
 #: Text of a shard, in bytes.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 8 << 20
 #: A unit without any safe cut ends after so many code points; reading back is not affected.
 UNIT_CHARS = 512
 #: What a character without a piece costs more than the worst piece, as the library has it.
 UNKNOWN_PENALTY = 10.0
 #: Units that a task packs for their shards at a time.
-PACK_ROWS = 1 << 14
+PACK_ROWS = 1 << 15
 
 
 @dataclass(frozen=True)
