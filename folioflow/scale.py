@@ -25,6 +25,7 @@ def tune(spark: SparkSession) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # Documents are large rows: small Arrow batches bound the Python workers' memory.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
         # Plans here have hundreds of expressions; do not record a call site for each.
         "spark.sql.dataFrameQueryContext.enabled": "false",
     }
