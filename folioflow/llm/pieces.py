@@ -16,6 +16,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 from operator import add
 
 import numpy as np
@@ -132,31 +133,35 @@ def _ipc(batch: pa.RecordBatch) -> bytes:
     return zstandard.compress(sink.getvalue(), 1)
 
 
-class _Shard:
-    """Documents as numbers of the units met, until it is full."""
+class _Codes(dict):
+    """Numbers of each word's units; a word not met before gives its units the next numbers."""
 
     def __init__(self, joined: frozenset[str]):
         self.joined = joined
         self.units: dict[str, int] = {}
-        self.memo: dict[str, tuple[int, ...]] = {}
-        self.codes: list[bytes] = []
-        self.kept: list[pa.RecordBatch] = []
-        self.size = 0
 
-    def _codes(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> tuple[int, ...]:
         units = self.units
-        got = self.memo[word] = tuple(units.setdefault(u, len(units)) for u in units_of(word, self.joined))
+        got = self[word] = tuple(units.setdefault(u, len(units)) for u in units_of(word, self.joined))
         return got
 
+
+class _Shard:
+    """Documents as numbers of the units met, until it is full."""
+
+    def __init__(self, joined: frozenset[str]):
+        self.of_word = _Codes(joined)
+        self.codes: list[bytes] = []
+        self.kept: list[pa.RecordBatch] = []
+        self.size = 0
+
     def add(self, texts: list[str | None], kept: pa.RecordBatch) -> None:
-        sizes, digests, memo, codes = [], [], self.memo, []
+        sizes, digests, codes = [], [], []
         for text in texts:
-            out: list[int] = []
-            if text:
-                for word in _WORD.findall(SPACE + text.replace(" ", SPACE)):
-                    out += memo.get(word) or self._codes(word)
-                self.size += len(text)
-            codes.append(np.array(out, dtype=np.uint32))
+            words = _WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
+            out = np.fromiter(chain.from_iterable(map(self.of_word.__getitem__, words)), dtype=np.uint32)
+            self.size += len(text or "")
+            codes.append(out)
             sizes.append(len(out))
             digests.append(xxhash.xxh64_intdigest((text or "").encode()) >> 1)
         self.codes.append(_varint(np.concatenate(codes)))
@@ -172,7 +177,7 @@ class _Shard:
             pa.array([number], pa.int64()),
             pa.array([_ipc(docs)], pa.binary()),
             pa.array([codes], pa.binary()),
-            pa.array([list(self.units)], pa.list_(pa.string())),
+            pa.array([list(self.of_word.units)], pa.list_(pa.string())),
         ]
         return pa.RecordBatch.from_arrays(columns, names=["shard", "docs", "codes", "units"])
 
@@ -257,7 +262,7 @@ def _viterbi(edges: Column) -> Column:
 def encode_units(units: DataFrame, model: Model) -> DataFrame:
     """(unit, ids) for distinct units; characters without a piece become the pieces of their bytes."""
     edges = _edges(units, units.sparkSession, model)
-    grouped = edges.groupBy("unit").agg(F.array_sort(F.collect_list("edge")).alias("edges"))
+    grouped = edges.groupBy("unit").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
     paths = grouped.select("unit", _viterbi(F.col("edges")).alias("ids"))
     octets = F.array(*[F.lit(i) for i in model.byte_ids])
 
@@ -329,8 +334,13 @@ def encode(docs: DataFrame, model: Model, carry: list[str] | None = None, shard_
     spark, carry = docs.sparkSession, carry or ["doc_id"]
     packed = _packed(docs, carry, model.joined, shard_bytes)
     entries = packed.select("shard", F.posexplode("units").alias("no", "unit"))
-    encoded = encode_units(entries.select("unit").distinct(), model)
-    parts = _dictionary_parts(entries.join(encoded, "unit"))
+    # One exchange by unit serves the lattice and the way back: both read the same columns of it.
+    entries = entries.withColumn("unit", F.coalesce("unit", F.lit(""))).repartition(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), "unit"
+    )
+    met = entries.groupBy("unit").agg(F.min("shard").alias("_shard"), F.min("no").alias("_no"))
+    encoded = encode_units(met.where("_shard >= 0 AND _no >= 0").select("unit"), model)
+    parts = _dictionary_parts(entries.join(encoded.hint("shuffle_hash"), "unit"))
     dictionary = parts.groupBy(F.col("shard").alias("its_shard")).agg(F.collect_list("part").alias("parts"))
     # Left: a shard of texts without any unit has no dictionary.
     shards = packed.select("shard", "docs", "codes").join(dictionary, F.col("shard") == F.col("its_shard"), "left")
