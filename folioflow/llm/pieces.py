@@ -12,15 +12,14 @@ move, and a shard's dictionary comes to the shard.
 from __future__ import annotations
 
 import io
-import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -32,8 +31,10 @@ from folioflow.llm.common import free_names, map_columns
 from folioflow.scale import scratch_path
 
 SPACE = "▁"
-#: Text of a shard, in bytes.
-SHARD_BYTES = 8 << 20
+#: Text of a shard, in code points.
+SHARD_BYTES = 24 << 20
+#: Text of the chunks that a shard is made of; what a task holds unpacked.
+CHUNK_BYTES = 2 << 20
 #: A unit without any safe cut ends after so many code points; reading back is not affected.
 UNIT_CHARS = 512
 #: What a character without a piece costs more than the worst piece, as the library has it.
@@ -87,9 +88,6 @@ def load_model(path: str) -> Model:
     )
 
 
-_WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
-
-
 def units_of(word: str, joined: frozenset[str]) -> list[str]:
     """A word in the units that pieces stay within."""
     if len(word) <= UNIT_CHARS and joined.issuperset(map(add, word, word[1:])):
@@ -133,53 +131,84 @@ def _ipc(batch: pa.RecordBatch) -> bytes:
     return zstandard.compress(sink.getvalue(), 1)
 
 
-class _Codes(dict):
-    """Numbers of each word's units; a word not met before gives its units the next numbers."""
-
-    def __init__(self, joined: frozenset[str]):
-        self.joined = joined
-        self.units: dict[str, int] = {}
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        units = self.units
-        got = self[word] = tuple(units.setdefault(u, len(units)) for u in units_of(word, self.joined))
-        return got
+def _words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, each with the spaces before it, and how many each text has."""
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    data = b"".join(texts)
+    space = np.frombuffer(data, dtype=np.uint8) == 32
+    begins = space.copy()
+    begins[1:] &= ~space[:-1]
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
+    begins[first] = True
+    at = np.flatnonzero(begins)
+    offsets = np.append(at, len(data)).astype(np.int64)
+    words = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data))
+    marks = np.searchsorted(at, np.concatenate(([0], np.cumsum(sizes))))
+    return words, np.diff(marks)
 
 
 class _Shard:
     """Documents as numbers of the units met, until it is full."""
 
     def __init__(self, joined: frozenset[str]):
-        self.of_word = _Codes(joined)
-        self.codes: list[bytes] = []
+        self.joined = joined
+        self.units: dict[str, int] = {}
+        self.of_word: dict[str, tuple[int, ...]] = {}
+        self.chunks: list[dict[str, bytes]] = []
+        self.size = self.open_size = 0
+        self.texts: list[bytes] = []
         self.kept: list[pa.RecordBatch] = []
-        self.size = 0
-
-    def add(self, texts: list[str | None], kept: pa.RecordBatch) -> None:
-        sizes, digests, codes = [], [], []
-        for text in texts:
-            words = _WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
-            out = np.fromiter(chain.from_iterable(map(self.of_word.__getitem__, words)), dtype=np.uint32)
-            self.size += len(text or "")
-            codes.append(out)
-            sizes.append(len(out))
-            digests.append(xxhash.xxh64_intdigest((text or "").encode()) >> 1)
-        self.codes.append(_varint(np.concatenate(codes)))
-        extra = [pa.array(sizes, pa.int64()), pa.array(digests, pa.int64())]
-        self.kept.append(
-            pa.RecordBatch.from_arrays([*kept.columns, *extra], names=[*kept.schema.names, "_n_codes", "_digest"])
-        )
+
+    def add(self, text: str | None, kept: pa.RecordBatch) -> None:
+        # Every text begins with a mark; an empty one has no words.
+        self.texts.append(b" " + text.replace(SPACE, " ").encode() if text else b"")
+        digest = pa.array([xxhash.xxh64_intdigest((text or "").encode()) >> 1], pa.int64())
+        self.kept.append(pa.RecordBatch.from_arrays([*kept.columns, digest], names=[*kept.schema.names, "_digest"]))
+        self.open_size += len(text or "")
+        if self.open_size >= CHUNK_BYTES:
+            self.close_chunk()
+
+    def _numbers(self, word: str) -> tuple[int, ...]:
+        got = self.of_word.get(word)
+        if got is None:
+            units = self.units
+            cut = units_of(word.replace(" ", SPACE), self.joined)
+            got = self.of_word[word] = tuple(units.setdefault(u, len(units)) for u in cut)
+        return got
+
+    def close_chunk(self) -> None:
+        if not self.texts:
+            return
+        words, per_text = _words(self.texts)
+        coded = words.dictionary_encode()
+        numbers = [self._numbers(w) for w in coded.dictionary.to_pylist()]
+        sizes = np.array([len(n) for n in numbers], dtype=np.int64)
+        flat = np.fromiter((x for n in numbers for x in n), dtype=np.uint32)
+        which = coded.indices.to_numpy()
+        codes = flat[_spans(np.cumsum(sizes) - sizes, sizes, which)]
+        ends = np.concatenate(([0], np.cumsum(sizes[which])))[np.concatenate(([0], np.cumsum(per_text)))]
+        docs = pa.Table.from_batches(self.kept).combine_chunks()
+        docs = docs.append_column("_n_codes", pa.array(np.diff(ends), pa.int64())).to_batches()[0]
+        self.chunks.append({"docs": _ipc(docs), "codes": zstandard.compress(_varint(codes), 3)})
+        self.size += self.open_size
+        self.open_size, self.texts, self.kept = 0, [], []
 
     def row(self, number: int) -> pa.RecordBatch:
-        docs = pa.Table.from_batches(self.kept).combine_chunks().to_batches()[0]
-        codes = zstandard.compress(b"".join(self.codes), 3)
+        self.close_chunk()
+        chunk = pa.struct([("docs", pa.binary()), ("codes", pa.binary())])
         columns = [
             pa.array([number], pa.int64()),
-            pa.array([_ipc(docs)], pa.binary()),
-            pa.array([codes], pa.binary()),
-            pa.array([list(self.of_word.units)], pa.list_(pa.string())),
+            pa.array([self.chunks], pa.list_(chunk)),
+            pa.array([list(self.units)], pa.list_(pa.string())),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["shard", "docs", "codes", "units"])
+        return pa.RecordBatch.from_arrays(columns, names=["shard", "chunks", "units"])
+
+
+def _spans(first: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Places of the members of the lists ``which``, one list after the other."""
+    n = sizes[which]
+    to = np.cumsum(n)
+    return np.arange(int(to[-1]) if len(to) else 0) + np.repeat(first[which] - (to - n), n)
 
 
 def _packed(docs: DataFrame, carry: list[str], joined: frozenset[str], shard_bytes: int) -> DataFrame:
@@ -189,20 +218,22 @@ def _packed(docs: DataFrame, carry: list[str], joined: frozenset[str], shard_byt
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, shard = TaskContext.get().partitionId() << 32, _Shard(joined)
         for batch in batches:
-            text = batch.schema.get_field_index("text")
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                shard.add(part.column(text).to_pylist(), part.select(carry))
+            texts = batch.column(batch.schema.get_field_index("text"))
+            kept = batch.select(carry)
+            for at in range(batch.num_rows):
+                shard.add(texts[at].as_py(), kept.slice(at, 1))
                 if shard.size >= shard_bytes:
                     yield shard.row(number)
                     number, shard = number + 1, _Shard(joined)
-        if shard.kept:
+        if shard.texts or shard.chunks:
             yield shard.row(number)
 
     columns = [F.col(f"`{c}`") for c in dict.fromkeys([*carry, "text"])]
-    packed = docs.select(*columns).mapInArrow(run, "shard bigint, docs binary, codes binary, units array<string>")
+    packed = docs.select(*columns).mapInArrow(
+        run, "shard bigint, chunks array<struct<docs: binary, codes: binary>>, units array<string>"
+    )
     name, buckets = f"packed_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed.write.bucketBy(buckets, "shard").option("path", scratch_path(spark, name)).saveAsTable(name)
+    packed.write.bucketBy(buckets, "shard").option("compression", "zstd").option("path", scratch_path(spark, name)).saveAsTable(name)
     return spark.table(name)
 
 
@@ -314,6 +345,19 @@ def _read_ipc(data: bytes) -> pa.RecordBatch:
     return pa.ipc.open_stream(pa.BufferReader(raw)).read_next_batch()
 
 
+def _dictionary(parts: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All ids of a shard's dictionary, and where those of each unit begin and how many they are."""
+    got = [_read_ipc(p.as_py()) for p in parts] if parts.is_valid else []
+    if not got:
+        return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    no = np.concatenate([g.column("no").to_numpy() for g in got])
+    sizes = np.concatenate([pc.list_value_length(g.column("ids")).to_numpy() for g in got]).astype(np.int64)
+    flat = np.concatenate([g.column("ids").flatten().to_numpy() for g in got])
+    size, first = np.empty(len(no), dtype=np.int64), np.empty(len(no), dtype=np.int64)
+    size[no], first[no] = sizes, np.cumsum(sizes) - sizes
+    return flat, first, size
+
+
 def _pieces_text(ids: list[int], pieces: list[str], byte_of: dict[int, int]) -> str:
     """The text of ids, less the mark that texts begin with; bytes that are no UTF-8 become replacement marks."""
     if byte_of.keys().isdisjoint(ids):
@@ -343,7 +387,7 @@ def encode(docs: DataFrame, model: Model, carry: list[str] | None = None, shard_
     parts = _dictionary_parts(entries.join(encoded.hint("shuffle_hash"), "unit"))
     dictionary = parts.groupBy(F.col("shard").alias("its_shard")).agg(F.collect_list("part").alias("parts"))
     # Left: a shard of texts without any unit has no dictionary.
-    shards = packed.select("shard", "docs", "codes").join(dictionary, F.col("shard") == F.col("its_shard"), "left")
+    shards = packed.select("shard", "chunks").join(dictionary, F.col("shard") == F.col("its_shard"), "left")
     pieces = spark.sparkContext.broadcast((model.pieces, {i: b for b, i in enumerate(model.byte_ids)}))
     fields = [docs.schema[c] for c in carry]
     added = T._parse_datatype_string("ids array<int>, n_ids bigint, round_trip boolean").fields
@@ -353,35 +397,27 @@ def encode(docs: DataFrame, model: Model, carry: list[str] | None = None, shard_
         texts, byte_of = pieces.value
         for batch in batches:
             for row in range(batch.num_rows):
-                own = _read_ipc(batch.column("docs")[row].as_py())
-                codes = _from_varint(zstandard.ZstdDecompressor().decompress(batch.column("codes")[row].as_py()))
-                got = [_read_ipc(p) for p in batch.column("parts")[row].as_py() or []]
-                no = np.concatenate([g.column("no").to_numpy() for g in got] or [np.zeros(0, np.int64)])
-                size = np.zeros(len(no), dtype=np.int64)
-                size[no] = np.concatenate([pa.compute.list_value_length(g.column("ids")).to_numpy() for g in got] or [size])
-                first = np.empty(len(no), dtype=np.int64)
-                order = np.concatenate([pa.compute.list_value_length(g.column("ids")).to_numpy() for g in got] or [size])
-                first[no] = np.cumsum(order) - order
-                flat = np.concatenate([g.column("ids").flatten().to_numpy() for g in got] or [np.zeros(0, np.int32)])
-                ends = np.cumsum(own.column("_n_codes").to_numpy())
-                digests = own.column("_digest").to_pylist()
-                for at in range(0, own.num_rows, 128):
-                    stop = min(at + 128, own.num_rows)
-                    low = int(ends[at - 1]) if at else 0
-                    mine = codes[low : int(ends[stop - 1])]
-                    sizes = size[mine]
-                    to = np.cumsum(sizes)
-                    place = np.arange(int(to[-1]) if len(to) else 0) + np.repeat(first[mine] - (to - sizes), sizes)
-                    ids = flat[place]
-                    marks = np.concatenate(([0], to))[np.concatenate(([0], ends[at:stop] - low))]
-                    lists = pa.ListArray.from_arrays(pa.array(marks, pa.int32()), pa.array(ids, pa.int32()))
-                    same = [
-                        xxhash.xxh64_intdigest(_pieces_text(ids[b:e].tolist(), texts, byte_of).encode()) >> 1 == d
-                        for b, e, d in zip(marks[:-1], marks[1:], digests[at:stop], strict=True)
-                    ]
-                    kept = own.slice(at, stop - at).columns[: len(carry)]
-                    counts = pa.array(np.diff(marks), pa.int64())
-                    yield pa.RecordBatch.from_arrays([*kept, lists, counts, pa.array(same, pa.bool_())], names=names)
+                flat, first, size = _dictionary(batch.column("parts")[row])
+                for chunk in batch.column("chunks")[row]:
+                    own = _read_ipc(chunk["docs"].as_py())
+                    codes = _from_varint(zstandard.ZstdDecompressor().decompress(chunk["codes"].as_py()))
+                    ends = np.cumsum(own.column("_n_codes").to_numpy())
+                    digests = own.column("_digest").to_pylist()
+                    for at in range(0, own.num_rows, 128):
+                        stop = min(at + 128, own.num_rows)
+                        low = int(ends[at - 1]) if at else 0
+                        mine = codes[low : int(ends[stop - 1])]
+                        ids = flat[_spans(first, size, mine)]
+                        to = np.concatenate(([0], np.cumsum(size[mine])))
+                        marks = to[np.concatenate(([0], ends[at:stop] - low))]
+                        lists = pa.ListArray.from_arrays(pa.array(marks, pa.int32()), pa.array(ids, pa.int32()))
+                        same = [
+                            xxhash.xxh64_intdigest(_pieces_text(ids[b:e].tolist(), texts, byte_of).encode()) >> 1 == d
+                            for b, e, d in zip(marks[:-1], marks[1:], digests[at:stop], strict=True)
+                        ]
+                        kept = own.slice(at, stop - at).columns[: len(carry)]
+                        counts = pa.array(np.diff(marks), pa.int64())
+                        yield pa.RecordBatch.from_arrays([*kept, lists, counts, pa.array(same, pa.bool_())], names=names)
 
     return shards.mapInArrow(run, T.StructType([*fields, *added]))
 
