@@ -15,7 +15,6 @@ import io
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -88,15 +87,42 @@ def load_model(path: str) -> Model:
     )
 
 
-def units_of(word: str, joined: frozenset[str]) -> list[str]:
-    """A word in the units that pieces stay within."""
-    if len(word) <= UNIT_CHARS and joined.issuperset(map(add, word, word[1:])):
-        return [word]
-    cuts = [i for i, pair in enumerate(map(add, word, word[1:]), 1) if pair not in joined]
-    out = []
-    for b, e in zip([0, *cuts], [*cuts, len(word)], strict=True):
-        out += [word[k : min(k + UNIT_CHARS, e)] for k in range(b, e, UNIT_CHARS)]
-    return out
+class Cuts:
+    """Finds the places that no piece crosses: between two characters that stand together in none."""
+
+    def __init__(self, joined: frozenset[str]):
+        chars = sorted({ord(c) for pair in joined for c in pair})
+        self.number = np.zeros(0x110000, dtype=np.int32)  # 0: a character of no pair
+        self.number[chars] = np.arange(1, len(chars) + 1)
+        self.base = len(chars) + 1
+        self.pairs = np.array([self._pair(self.number[ord(p[0])], self.number[ord(p[1])]) for p in joined], dtype=np.int64)
+
+    def _pair(self, a, b):
+        return np.int64(self.base) * a + b
+
+    def units(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The units of all texts in order, and how many each text has."""
+        text = "".join(texts)
+        points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+        number = self.number[points]
+        begins = np.ones(len(points), dtype=bool)
+        begins[1:] = ~np.isin(self._pair(number[:-1], number[1:]), self.pairs)
+        to = np.cumsum([len(t) for t in texts])
+        begins[np.append(0, to[:-1])[[len(t) > 0 for t in texts]]] = True
+        at = np.flatnonzero(begins)
+        sizes = np.diff(np.append(at, len(points)))
+        more = [np.arange(at[i] + UNIT_CHARS, at[i] + sizes[i], UNIT_CHARS) for i in np.flatnonzero(sizes > UNIT_CHARS)]
+        if more:
+            at = np.sort(np.concatenate([at, *more]))
+        widths = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+        octets = np.append(0, np.cumsum(widths))[np.append(at, len(points))]
+        units = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(octets.astype(np.int64)), pa.py_buffer(text.encode()))
+        return units, np.diff(np.searchsorted(at, np.append(0, to)))
+
+
+def units_of(text: str, joined: frozenset[str]) -> list[str]:
+    """A text in the units that pieces stay within."""
+    return Cuts(joined).units([text])[0].to_pylist()
 
 
 # -- packing ---------------------------------------------------------------------
@@ -131,64 +157,35 @@ def _ipc(batch: pa.RecordBatch) -> bytes:
     return zstandard.compress(sink.getvalue(), 1)
 
 
-def _words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
-    """The words of all texts, each with the spaces before it, and how many each text has."""
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    data = b"".join(texts)
-    space = np.frombuffer(data, dtype=np.uint8) == 32
-    begins = space.copy()
-    begins[1:] &= ~space[:-1]
-    first = (np.cumsum(sizes) - sizes)[sizes > 0]
-    begins[first] = True
-    at = np.flatnonzero(begins)
-    offsets = np.append(at, len(data)).astype(np.int64)
-    words = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data))
-    marks = np.searchsorted(at, np.concatenate(([0], np.cumsum(sizes))))
-    return words, np.diff(marks)
-
-
 class _Shard:
     """Documents as numbers of the units met, until it is full."""
 
-    def __init__(self, joined: frozenset[str]):
-        self.joined = joined
+    def __init__(self, cuts: Cuts):
+        self.cuts = cuts
         self.units: dict[str, int] = {}
-        self.of_word: dict[str, tuple[int, ...]] = {}
         self.chunks: list[dict[str, bytes]] = []
         self.size = self.open_size = 0
-        self.texts: list[bytes] = []
+        self.texts: list[str] = []
         self.kept: list[pa.RecordBatch] = []
 
     def add(self, text: str | None, kept: pa.RecordBatch) -> None:
-        # Every text begins with a mark; an empty one has no words.
-        self.texts.append(b" " + text.replace(SPACE, " ").encode() if text else b"")
+        # Every text begins with a mark; an empty one has no units.
+        self.texts.append(SPACE + text.replace(" ", SPACE) if text else "")
         digest = pa.array([xxhash.xxh64_intdigest((text or "").encode()) >> 1], pa.int64())
         self.kept.append(pa.RecordBatch.from_arrays([*kept.columns, digest], names=[*kept.schema.names, "_digest"]))
         self.open_size += len(text or "")
         if self.open_size >= CHUNK_BYTES:
             self.close_chunk()
 
-    def _numbers(self, word: str) -> tuple[int, ...]:
-        got = self.of_word.get(word)
-        if got is None:
-            units = self.units
-            cut = units_of(word.replace(" ", SPACE), self.joined)
-            got = self.of_word[word] = tuple(units.setdefault(u, len(units)) for u in cut)
-        return got
-
     def close_chunk(self) -> None:
         if not self.texts:
             return
-        words, per_text = _words(self.texts)
-        coded = words.dictionary_encode()
-        numbers = [self._numbers(w) for w in coded.dictionary.to_pylist()]
-        sizes = np.array([len(n) for n in numbers], dtype=np.int64)
-        flat = np.fromiter((x for n in numbers for x in n), dtype=np.uint32)
-        which = coded.indices.to_numpy()
-        codes = flat[_spans(np.cumsum(sizes) - sizes, sizes, which)]
-        ends = np.concatenate(([0], np.cumsum(sizes[which])))[np.concatenate(([0], np.cumsum(per_text)))]
+        met, sizes = self.cuts.units(self.texts)
+        coded, units = met.dictionary_encode(), self.units
+        numbers = [units.setdefault(u, len(units)) for u in coded.dictionary.to_pylist()]
+        codes = np.array(numbers, dtype=np.uint32)[coded.indices.to_numpy()]
         docs = pa.Table.from_batches(self.kept).combine_chunks()
-        docs = docs.append_column("_n_codes", pa.array(np.diff(ends), pa.int64())).to_batches()[0]
+        docs = docs.append_column("_n_codes", pa.array(sizes, pa.int64())).to_batches()[0]
         self.chunks.append({"docs": _ipc(docs), "codes": zstandard.compress(_varint(codes), 3)})
         self.size += self.open_size
         self.open_size, self.texts, self.kept = 0, [], []
@@ -216,7 +213,8 @@ def _packed(docs: DataFrame, carry: list[str], joined: frozenset[str], shard_byt
     spark = docs.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, shard = TaskContext.get().partitionId() << 32, _Shard(joined)
+        cuts = Cuts(joined)
+        number, shard = TaskContext.get().partitionId() << 32, _Shard(cuts)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
             kept = batch.select(carry)
@@ -224,7 +222,7 @@ def _packed(docs: DataFrame, carry: list[str], joined: frozenset[str], shard_byt
                 shard.add(texts[at].as_py(), kept.slice(at, 1))
                 if shard.size >= shard_bytes:
                     yield shard.row(number)
-                    number, shard = number + 1, _Shard(joined)
+                    number, shard = number + 1, _Shard(cuts)
         if shard.texts or shard.chunks:
             yield shard.row(number)
 
