@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.functions.content import content_hash, object_name
+from folioflow.functions.content import content_hash, object_path
 from folioflow.operators.filters import matches
 from folioflow.operators.records import file_name, file_suffix
 
@@ -60,13 +60,14 @@ def results_per_task(items: DataFrame) -> DataFrame:
 def hash_audit(records: DataFrame, objects: DataFrame) -> DataFrame:
     """Per MIME type: documents whose recomputed hash differs from the recorded one.
 
-    Hashes are computed where the bytes are; only names and hashes are shuffled.
+    Hashes are computed where the bytes are; only names and hashes are shuffled. A record's
+    document is the object of its own zone and name.
     """
-    actual = objects.select("object_name", content_hash(F.col("content")).alias("actual_hash"))
-    recorded = records.select(
-        object_name(F.col("file_path")).alias("object_name"), "mime_type", "file_hash"
+    actual = objects.select(
+        object_path(F.col("zone"), F.col("object_name")).alias("file_path"),
+        content_hash(F.col("content")).alias("actual_hash"),
     )
-    joined = recorded.join(actual, "object_name", "left")
+    joined = records.select("file_path", "mime_type", "file_hash").join(actual, "file_path", "left")
     return joined.groupBy("mime_type").agg(
         _count_if(F.col("actual_hash") == F.col("file_hash")).alias("unchanged"),
         _count_if(F.col("actual_hash") != F.col("file_hash")).alias("changed"),

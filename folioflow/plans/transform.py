@@ -19,7 +19,7 @@ from folioflow.operators.filters import records_by_range, required_fields
 from folioflow.operators.records import records_with_content
 from folioflow.scale import materialise, spread
 from folioflow.schema import LANDING_ZONE, PROCESSED_ZONE
-from folioflow.sources.objects import objects_append
+from folioflow.sources.objects import objects_store
 from folioflow.sources.tables import records_append
 
 REQUIRED = ["identifier", "file_path", "mime_type"]
@@ -75,8 +75,8 @@ def transform_job(
     usable = selected.where(F.col("reject_reason").isNull())
     unusable = selected.where(F.col("reject_reason").isNotNull())
 
-    documents = objects.where(F.col("zone") == zone)
-    done = process_files(spread(records_with_content(usable.drop("reject_reason"), documents)))
+    documents = spread(objects.where(F.col("zone") == zone))
+    done = process_files(records_with_content(usable.drop("reject_reason"), documents))
     ok = F.col("failure").isNull()
     reason = F.coalesce("failure", "error")
     now = as_of_literal(as_of)
@@ -127,9 +127,10 @@ def publish_transform(outcomes: DataFrame, records_path: str, objects_path: str)
     """Write records and objects of a run and return its statistics.
 
     The outcomes are computed once, into scratch space; the writes and the counts
-    read from there.
+    read from there. Objects replace those of the same zone and name, so a rerun leaves
+    one of each; records are appended.
     """
     outcomes = materialise(outcomes, "outcomes")
-    objects_append(processed_objects(outcomes), objects_path)
+    objects_store(processed_objects(outcomes), objects_path)
     records_append(processed_records(outcomes), records_path)
     return transform_stats(outcomes)

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 # A side is broadcast only if its measured text size stays below this.
@@ -35,13 +38,17 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a table held in fewer files than there are cores one partition per core.
+    """Give a table of less than one full split per core one partition per core.
 
-    A table of many files is returned as it is: its own splits already keep every
-    core busy and moving the raw documents would only cost a shuffle.
+    A larger table is returned as it is: its own splits already keep every core busy
+    and moving the raw documents would only cost a shuffle. What is moved is bounded by
+    cores times the size of a split, taken from the planner's statistics.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * split else df
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -49,7 +56,17 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
 
     Measuring is one aggregate over ``df``; pass narrow frames.
     """
-    size = df.select(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0
+
+    def octets(field: T.StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.StringType | T.BinaryType):
+            return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+        if isinstance(field.dataType, T.AtomicType):
+            return F.lit(16)
+        return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)) + 16
+
+    row = reduce(add, [octets(f) for f in df.schema.fields], F.lit(0))
+    size = df.select(F.sum(row.cast("long"))).first()[0] or 0
     return F.broadcast(df) if size <= max_bytes else df
 
 

@@ -82,6 +82,8 @@ def test_reruns_append_unless_existing_are_skipped(spark):
         assert tuple(stats) == (6, 2, 2, 2)
     done = tables.records_scan(spark, f"{path}/r", PROCESSED_RECORDS)
     assert sorted(x.identifier for x in done.collect()) == ["a", "a", "b", "b"]
+    stored = objects.objects_table(spark, f"{path}/o").select("zone", "object_name").collect()
+    assert len(stored) == len(set(stored)) == 2
     again = run(processed=done, skip_existing=True)
     assert {x.identifier for x in again.collect()} == {"gone", "broken", "x", ""}
     with pytest.raises(ValueError):

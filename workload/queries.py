@@ -649,6 +649,16 @@ def transform_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).join(listing.select("object_name", "length"), "object_name", "left")
 
 
+def transform_republished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects after publishing the same run twice: one of each name."""
+    out = scale.scratch_path(spark, "republished")
+    outcomes = scale.materialise(_transformed(spark, sf_dir), "outcomes")
+    for _ in range(2):
+        publish_transform(outcomes, f"{out}/records", f"{out}/objects")
+    stored = objects.objects_table(spark, f"{out}/objects")
+    return stored.select("zone", "object_name", "length", F.sha2("content", 256).alias("stored_hash"))
+
+
 def audit_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = fx.landing_records(spark, sf_dir)
     family = fx.family_records(spark, sf_dir)
@@ -730,5 +740,6 @@ QUERIES = {
     "ingest_job": ingest_run,
     "transform_job": transform_run,
     "transform_published": transform_published,
+    "transform_republished": transform_republished,
     "audit_job": audit_run,
 }
