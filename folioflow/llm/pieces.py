@@ -267,25 +267,40 @@ _NO_PIECE = (1 << 31) - 1
 def _viterbi(edges: Column) -> Column:
     """Piece ids of the best path over edges sorted by place; of equal paths the one whose last piece is longest.
 
-    A character without a piece is the negative of its place.
+    A character without a piece is the negative of its place. The fold keeps, for each place, the score and the
+    last edge of the best path to it, as ``back``: the edge's place negated, so that of equal scores the longest piece is greatest.
+    A second fold, from the end, follows the edges back.
     """
-    path_type = "array<struct<score: double, ids: array<int>>>"
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids"))).cast(path_type)
-
-    def step(paths: Column, edge: Column) -> Column:
-        end = F.shiftright(edge["place"], 48).cast("int")
-        before = F.get(paths, F.shiftright(edge["place"], 32).cast("int").bitwiseAND(0xFFFF))
-        score = before["score"] + edge["score"]
-        piece = edge["place"].bitwiseAND(0xFFFFFFFF).cast("int")
-        piece = F.when(piece == _NO_PIECE, -end).otherwise(piece)
-        new = F.array(F.struct(score.alias("score"), F.concat(before["ids"], F.array(piece)).alias("ids"))).cast(path_type)
-        return (
-            F.when(F.size(paths) == end, F.concat(paths, new))
-            .when(score > F.element_at(paths, -1)["score"], F.concat(F.slice(paths, 1, end), new))
-            .otherwise(paths)
+    nodes = "array<struct<score: double, back: bigint>>"
+    origin = F.struct(F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("back"))
+    start = F.struct(F.array().cast(nodes).alias("done"), origin.alias("best"))
+
+    def begin_of(place: Column) -> Column:
+        return F.shiftright(place, 32).cast("int").bitwiseAND(0xFFFF)
+
+    def step(state: Column, edge: Column) -> Column:
+        done, best, begin = state["done"], state["best"], begin_of(edge["place"])
+        # The first edge to a place settles the place before it.
+        first = F.size(done) < F.shiftright(edge["place"], 48)
+        before = F.when(begin == F.size(done), best["score"]).otherwise(F.get(done, begin)["score"])
+        path = F.struct((before + edge["score"]).alias("score"), F.negative(edge["place"]).alias("back"))
+        return F.struct(
+            F.when(first, F.array_append(done, best)).otherwise(done).alias("done"),
+            F.when(first, path).otherwise(F.greatest(best, path)).alias("best"),
         )
 
-    return F.element_at(F.aggregate(edges, start, step), -1)["ids"]
+    def follow(state: Column, node: Column) -> Column:
+        place = F.negative(node["back"])
+        end, piece = F.shiftright(place, 48).cast("int"), place.bitwiseAND(0xFFFFFFFF).cast("int")
+        taken = F.struct(
+            begin_of(place).alias("at"),
+            F.array_append(state["ids"], F.when(piece == _NO_PIECE, -end).otherwise(piece)).alias("ids"),
+        )
+        return F.when((end == state["at"]) & (end > 0), taken).otherwise(state)
+
+    settled = F.aggregate(edges, start, step, lambda s: F.reverse(F.array_append(s["done"], s["best"])))
+    last = F.struct(F.shiftright(F.element_at(edges, -1)["place"], 48).cast("int").alias("at"), F.array().cast("array<int>").alias("ids"))
+    return F.aggregate(settled, last, follow, lambda s: F.reverse(s["ids"]))
 
 
 def encode_units(units: DataFrame, model: Model) -> DataFrame:
