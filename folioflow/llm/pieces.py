@@ -33,7 +33,7 @@ SPACE = "▁"
 #: Text of a shard, in code points.
 SHARD_BYTES = 24 << 20
 #: Text of the chunks that a shard is made of; what a task holds unpacked.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: A unit without any safe cut ends after so many code points; reading back is not affected.
 UNIT_CHARS = 512
 #: What a character without a piece costs more than the worst piece, as the library has it.
@@ -95,7 +95,9 @@ class Cuts:
         self.number = np.zeros(0x110000, dtype=np.int32)  # 0: a character of no pair
         self.number[chars] = np.arange(1, len(chars) + 1)
         self.base = len(chars) + 1
-        self.pairs = np.array([self._pair(self.number[ord(p[0])], self.number[ord(p[1])]) for p in joined], dtype=np.int64)
+        pairs = np.array([self._pair(self.number[ord(p[0])], self.number[ord(p[1])]) for p in joined], dtype=np.int64)
+        self.bits = np.zeros((self.base * self.base + 7) // 8, dtype=np.uint8)  # one per pair of characters
+        np.bitwise_or.at(self.bits, pairs >> 3, (1 << (pairs & 7)).astype(np.uint8))
 
     def _pair(self, a, b):
         return np.int64(self.base) * a + b
@@ -106,7 +108,8 @@ class Cuts:
         points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
         number = self.number[points]
         begins = np.ones(len(points), dtype=bool)
-        begins[1:] = ~np.isin(self._pair(number[:-1], number[1:]), self.pairs)
+        pairs = self._pair(number[:-1], number[1:])
+        begins[1:] = (self.bits[pairs >> 3] >> (pairs & 7).astype(np.uint8)) & 1 == 0
         to = np.cumsum([len(t) for t in texts])
         begins[np.append(0, to[:-1])[[len(t) > 0 for t in texts]]] = True
         at = np.flatnonzero(begins)
