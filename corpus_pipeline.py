@@ -37,7 +37,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: five-word shingles, estimated similarity of 0.8 or more."""
+    """One document of each group: sets of five-word shingles with a Jaccard similarity of 0.8 or more."""
     tune(spark)
     return simhash.one_of_each(docs, simhash.wide_scheme(shingle=5, similarity=0.8))
 

@@ -12,7 +12,8 @@ everything below is linked already. Only links that join something new leave the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from folioflow.llm.common import free_names, map_columns, without
 from folioflow.llm.components import components
-from folioflow.scale import materialise
+from folioflow.scale import broadcast_if_small, materialise
 
 #: Shingles voted on at a time; bounds the memory a long text needs.
 BLOCK = 1 << 14
@@ -32,6 +33,8 @@ BLOCK = 1 << 14
 SEARCH_ROWS = 1 << 15
 #: Groups up to this size are compared neighbour by neighbour, larger ones through a tree.
 SMALL_GROUP = 32
+#: Pairs of a query and a node looked at together; bounds a search's memory.
+FRONTIER = 1 << 14
 #: Members of a node.
 FAN_OUT = 16
 
@@ -48,6 +51,7 @@ class Scheme:
     lanes: int
     radius: int
     tables: tuple[tuple[int, ...], ...]
+    compared: int | None = None  # lanes that the radius is held against (default: all)
 
     @property
     def bits(self) -> int:
@@ -90,28 +94,44 @@ def _lane(hashes: np.ndarray, lane: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprint(text: str | None, shingle: int, lanes: int = 1) -> bytes:
-    """Majority bits of the hashes of all word shingles; zero for a text without words."""
+def _shingle_hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """64-bit hashes of all word shingles, a block at a time."""
     words = text.encode().lower().split() if text else []
     if not words:
-        return bytes(8 * lanes)
+        return
     joined, digest = b" ".join(words), xxhash.xxh64_digest
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(words) - shingle + 1)
     first, last = starts[:n].tolist(), ends[len(words) - n :].tolist()
-    votes = np.zeros(64 * lanes, dtype=np.int64)
     for at in range(0, n, BLOCK):
         part = zip(first[at : at + BLOCK], last[at : at + BLOCK], strict=True)
         raw = b"".join([digest(joined[a:b], 42) for a, b in part])
-        hashes = np.frombuffer(raw, dtype=">u8").astype(np.uint64)
+        yield np.frombuffer(raw, dtype=">u8").astype(np.uint64)
+
+
+def _majority(blocks: Iterable[np.ndarray], lanes: int) -> bytes:
+    """Majority bits of hashes; zero if there are none."""
+    votes, n = np.zeros(64 * lanes, dtype=np.int64), 0
+    for hashes in blocks:
+        n += len(hashes)
         for lane in range(lanes):
             octets = _lane(hashes, lane).astype(">u8").view(np.uint8).reshape(-1, 8)
-            ones = np.unpackbits(octets, axis=1).sum(axis=0, dtype=np.uint32)
-            votes[64 * lane : 64 * lane + 64] += ones
+            votes[64 * lane : 64 * lane + 64] += np.unpackbits(octets, axis=1).sum(axis=0, dtype=np.uint32)
     return np.packbits(2 * votes > n).tobytes()
 
 
+def fingerprint(text: str | None, shingle: int, lanes: int = 1) -> bytes:
+    """Majority bits of the hashes of all word shingles; zero for a text without words."""
+    return _majority(_shingle_hashes(text, shingle), lanes)
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The hashes of a text's different shingles, in order."""
+    blocks = [np.unique(x) for x in _shingle_hashes(text, shingle)]
+    return np.unique(np.concatenate(blocks)) if blocks else np.zeros(0, dtype=np.uint64)
+
+
 def with_fingerprints(docs: DataFrame, scheme: Scheme, name: str = "fingerprint") -> DataFrame:
     """Add the fingerprint of ``text`` in hexadecimal digits, 16 per lane."""
 
@@ -223,22 +243,35 @@ def _tree(codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     return out
 
 
-def _search_group(codes: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links that join all members of a Gray-ordered group that are connected within it."""
+def _near(
+    codes: np.ndarray, radius: int, labels: np.ndarray, sizes: np.ndarray | None, least: float, merge: bool
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a Gray-ordered group within the radius whose labels differ, in pieces.
+
+    With ``merge`` labels are joined after each piece and only the pairs that join some come out.
+    """
     n, levels = len(codes), _tree(codes)
-    labels, links = np.arange(n), []
-    for begin in range(0, n, 256):
-        queries = np.arange(begin, min(begin + 256, n))
+    top = len(levels) - 1
+
+    def classes() -> tuple[list[np.ndarray], list[np.ndarray]]:
         low, high = [labels], [labels]  # classes below each node
         for _ in levels[1:]:
             at = np.arange(0, len(low[-1]), FAN_OUT)
             low.append(np.minimum.reduceat(low[-1], at))
             high.append(np.maximum.reduceat(high[-1], at))
-        top = len(levels) - 1
+        return low, high
+
+    low, high = classes()
+    for begin in range(0, n, 256):
+        queries = np.arange(begin, min(begin + 256, n))
         q = np.repeat(queries, len(levels[top][0]))
         node = np.tile(np.arange(len(levels[top][0])), len(queries))
-        gone = np.zeros(len(q), dtype=np.int64)
-        for k in range(top, -1, -1):
+        stack = [(top, q, node, np.zeros(len(q), dtype=np.int64))]
+        while stack:
+            k, q, node, gone = stack.pop()
+            if len(q) > FRONTIER:
+                stack += [(k, *(x[at : at + FRONTIER] for x in (q, node, gone))) for at in range(0, len(q), FRONTIER)][::-1]
+                continue
             pattern, mask = levels[k]
             linked = (low[k][node] == labels[q]) & (high[k][node] == labels[q])
             ahead = (node + 1) * FAN_OUT**k > q  # pairs are met from their first member
@@ -252,29 +285,65 @@ def _search_group(codes: np.ndarray, radius: int) -> list[tuple[int, int]]:
                 child = (node[:, None] * FAN_OUT + np.arange(FAN_OUT)).ravel()
                 q, gone = np.repeat(q, FAN_OUT), np.repeat(gone, FAN_OUT)
                 inside = child < size
-                q, node, gone = q[inside], child[inside], gone[inside]
-        if len(q):
+                stack.append((k - 1, q[inside], child[inside], gone[inside]))
+                continue
+            if sizes is not None:
+                keep = _alike(sizes[q], sizes[node], least)
+                q, node = q[keep], node[keep]
+            if not len(q):
+                continue
+            if not merge:
+                yield q, node
+                continue
             labels, used = _joined(labels, q, node)
-            links += used
-    return links
+            if used:
+                low, high = classes()
+                yield tuple(np.array(used).T)
+
+
+def _alike(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """Whether sets of these sizes can have so high a Jaccard similarity."""
+    return np.minimum(a, b) >= least * np.maximum(a, b) - 1e-9
+
+
+def _search_group(codes: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Links that join all members of a Gray-ordered group that are connected within it."""
+    pieces = _near(codes, radius, np.arange(len(codes)), None, 0.0, True)
+    return [pair for a, b in pieces for pair in zip(a.tolist(), b.tolist(), strict=True)]
 
 
-def _search(groups: np.ndarray, codes: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links within each group of consecutive rows of one number."""
+def _search(
+    groups: np.ndarray,
+    codes: np.ndarray,
+    radius: int,
+    labels: np.ndarray | None = None,
+    sizes: np.ndarray | None = None,
+    least: float = 0.0,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs within each group of consecutive rows of one number, in pieces: links that join all that are connected.
+
+    With ``labels`` all pairs within the radius whose labels differ; with ``sizes`` only pairs of like sizes.
+    """
     starts = np.concatenate(([0], np.flatnonzero(np.diff(groups)) + 1))
-    sizes = np.diff(np.concatenate((starts, [len(groups)])))
-    size, links = np.repeat(sizes, sizes), []
-    small = np.flatnonzero((size > 1) & (size <= SMALL_GROUP))
+    counts = np.diff(np.concatenate((starts, [len(groups)])))
+    count = np.repeat(counts, counts)
+    small = np.flatnonzero((count > 1) & (count <= SMALL_GROUP))
     for d in range(1, SMALL_GROUP):
         small = small[small + d < len(groups)]
         small = small[groups[small] == groups[small + d]]
         if not len(small):
             break
         near = small[_distance(codes[small], codes[small + d]) <= radius]
-        links += zip(near.tolist(), (near + d).tolist(), strict=True)
-    for s, m in zip(starts[sizes > SMALL_GROUP].tolist(), sizes[sizes > SMALL_GROUP].tolist(), strict=True):
-        links += [(s + a, s + b) for a, b in _search_group(codes[s : s + m], radius)]
-    return links
+        if labels is not None:
+            near = near[labels[near] != labels[near + d]]
+        if sizes is not None:
+            near = near[_alike(sizes[near], sizes[near + d], least)]
+        yield near, near + d
+    for s, m in zip(starts[counts > SMALL_GROUP].tolist(), counts[counts > SMALL_GROUP].tolist(), strict=True):
+        own = np.arange(m) if labels is None else labels[s : s + m]
+        own_sizes = None if sizes is None else sizes[s : s + m]
+        for a, b in _near(codes[s : s + m], radius, own, own_sizes, least, labels is None):
+            yield s + a, s + b
 
 
 def links(prints: DataFrame, scheme: Scheme) -> DataFrame:
@@ -292,7 +361,8 @@ def links(prints: DataFrame, scheme: Scheme) -> DataFrame:
             octets = np.packbits(codes, axis=1)
             words = np.ascontiguousarray(octets).view(np.uint64).reshape(len(codes), scheme.lanes)
             new = np.concatenate(([True], (np.diff(table) != 0) | (np.diff(lead) != 0)))
-            found = _search(np.cumsum(new), words, scheme.radius)
+            pieces = _search(np.cumsum(new), words, scheme.radius)
+            found = [pair for a, b in pieces for pair in zip(a.tolist(), b.tolist(), strict=True)]
             ends = sorted({i for pair in found for i in pair})
             names = {}
             for i in ends:
@@ -341,6 +411,8 @@ def near_duplicates(docs: DataFrame, scheme: Scheme | None = None, carry: list[s
     component. An empty table gives an empty table.
     """
     scheme = scheme or exact_scheme()
+    if scheme.compared:
+        raise ValueError("hits of this scheme are candidates only: use one_of_each")
     docs = without(docs, ["fingerprint", "component_id"])
     own, key, low = free_names(docs, "own_id", "class_key", "class_lowest")
     columns = [F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]
@@ -364,17 +436,149 @@ def near_duplicates(docs: DataFrame, scheme: Scheme | None = None, carry: list[s
     )
 
 
-def one_of_each(docs: DataFrame, scheme: Scheme | None = None) -> DataFrame:
+# -- candidates and their similarity ------------------------------------------------
+
+
+def with_sets(docs: DataFrame, scheme: Scheme, row: str) -> DataFrame:
+    """(row, doc_id, set_key, n_shingles, print, shingles) of each document's set of shingles.
+
+    The fingerprint is that of the set, each shingle counted once, as the Jaccard similarity does.
+    """
+
+    def start():
+        def step(texts):
+            sets = [shingle_set(t, scheme.shingle) for t in texts]
+            raw = [x.astype(">u8").tobytes() for x in sets]
+            prints = [_majority((x[i : i + BLOCK] for i in range(0, len(x), BLOCK)), scheme.lanes) for x in sets]
+            return [
+                pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in raw], pa.binary()),
+                pa.array([len(x) for x in sets], pa.int64()),
+                pa.array(prints, pa.binary()),
+                pa.array(raw, pa.binary()),
+            ]
+
+        return step
+
+    own = docs.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    schema = "set_key binary, n_shingles bigint, print binary, shingles binary"
+    return map_columns(own, ["text"], schema, start).drop("text")
+
+
+def candidates(sets: DataFrame, scheme: Scheme, least: float, label: str | None = None) -> DataFrame:
+    """Pairs (src, dst) of rows (node, n_shingles, print) that agree in a table and within the radius.
+
+    Without ``label`` some of them, which connect all such pairs; with it all whose labels differ.
+    """
+    bits, octets = 64 * (scheme.compared or scheme.lanes), 8 * (scheme.compared or scheme.lanes)
+    columns = ["node", "n_shingles", *([label] if label else [])]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            raw = b"".join(batch.column(0).to_pylist())
+            ones = np.unpackbits(np.frombuffer(raw, dtype=np.uint8).reshape(-1, scheme.bits // 8), axis=1)
+            gray = pa.array([x.tobytes() for x in np.packbits(gray_ranks(ones[:, :bits]), axis=1)], pa.binary())
+            for t, chosen in enumerate(scheme.tables):
+                lead = ones[:, list(chosen)].astype(np.int64) @ (1 << np.arange(len(chosen), dtype=np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(ones), t, dtype=np.int32)), pa.array(lead), gray, *batch.columns[1:]],
+                    names=["table_no", "lead", "gray", "node", "n_shingles", "label"][: 3 + len(columns)],
+                )
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def searched(held: pa.Table) -> Iterator[pa.RecordBatch]:
+            table, lead, node, size = (held[c].to_numpy() for c in ("table_no", "lead", "node", "n_shingles"))
+            gray = np.frombuffer(b"".join(held["gray"].to_pylist()), dtype=np.uint8).reshape(-1, octets)
+            codes = np.packbits(gray_codes(np.unpackbits(gray, axis=1)), axis=1).view(np.uint64)
+            groups = np.cumsum(np.concatenate(([True], (np.diff(table) != 0) | (np.diff(lead) != 0))))
+            labels = held["label"].to_numpy() if label else None
+            for a, b in _search(groups, codes, scheme.radius, labels, size, least):
+                low, high = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
+                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["src", "dst"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if sum(x.num_rows for x in held) >= SEARCH_ROWS:
+                whole = pa.Table.from_batches(held).combine_chunks()
+                table, lead = whole["table_no"].to_numpy(), whole["lead"].to_numpy()
+                begin = np.flatnonzero((table != table[-1]) | (lead != lead[-1]))
+                cut = int(begin[-1]) + 1 if len(begin) else 0  # the last group may go on
+                held = whole.slice(cut).to_batches()
+                if cut:
+                    yield from searched(whole.slice(0, cut))
+        if held:
+            yield from searched(pa.Table.from_batches(held))
+
+    more = ", label bigint" if label else ""
+    dealt = sets.select("print", *columns).mapInArrow(
+        deal, f"table_no int, lead bigint, gray binary, node bigint, n_shingles bigint{more}"
+    )
+    placed = dealt.repartition("table_no", "lead").sortWithinPartitions("table_no", "lead", "gray")
+    return placed.mapInArrow(search, "src bigint, dst bigint").distinct()
+
+
+def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Those of the pairs (src, dst) whose whole shingle sets have a Jaccard similarity of at least ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                a, b = (np.frombuffer(v.as_py(), dtype=">u8").astype(np.uint64) for v in (x, y))
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                # Two empty sets are equal.
+                keep.append(both >= least * (len(a) + len(b) - both) - 1e-9)
+            yield batch.select(["src", "dst"]).filter(pa.array(keep, pa.bool_()))
+
+    nodes = materialise(pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct(), "candidate-nodes")
+    own = sets.join(broadcast_if_small(nodes), sets["row"] == nodes["node"], "left_semi")
+    own = materialise(own.select("row", "shingles"), "candidate-sets")
+    left, right = (own.select(F.col("row").alias(f"row_{k}"), F.col("shingles").alias(f"set_{k}")) for k in "ab")
+    met = pairs.join(left, F.col("src") == F.col("row_a")).join(right, F.col("dst") == F.col("row_b"))
+    return met.select("src", "dst", "set_a", "set_b").mapInArrow(run, "src bigint, dst bigint")
+
+
+def similarity_links(sets: DataFrame, distinct: DataFrame, scheme: Scheme, least: float) -> DataFrame:
+    """Links (src, dst) between sets of at least this similarity that connect all such candidates.
+
+    First some candidates, which connect them all, are compared, and classes made of those that are similar;
+    then every further candidate pair of different classes. So members of one class are not compared all with all.
+    """
+    some = materialise(candidates(distinct, scheme, least), "some-candidates")
+    sure = materialise(similar(some, sets, least), "some-links")
+    classes = components(sure)
+    labelled = distinct.join(classes.withColumnRenamed("node", "class_node"), F.col("node") == F.col("class_node"), "left")
+    labelled = materialise(
+        labelled.select("node", "n_shingles", "print", F.coalesce("root", "node").alias("label")), "labelled-sets"
+    )
+    rest = candidates(labelled, scheme, least, "label").join(some, ["src", "dst"], "left_anti")
+    return sure.unionByName(materialise(similar(materialise(rest, "other-candidates"), sets, least), "other-links"))
+
+
+def one_of_each(docs: DataFrame, scheme: Scheme | None = None, similarity: float = 0.8) -> DataFrame:
     """One row of each group of near-duplicates: that of the smallest ``doc_id``.
 
+    Two documents are linked if their fingerprints meet and the Jaccard similarity of their whole
+    sets of word shingles is at least ``similarity``; a group is all that links connect.
     Rows without an id stand behind all others; of rows that repeat the smallest id one stays.
     """
-    row, group = free_names(docs, "row_no", "group_key")
+    scheme = scheme or wide_scheme()
+    (row,) = free_names(docs, "row_no")
     # The row number is stored with the row before anything refers to it.
     marked = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-documents")
-    grouped = near_duplicates(marked, scheme or wide_scheme(), carry=["doc_id", row])
-    first = grouped.groupBy(F.coalesce(F.col("component_id").cast("string"), "fingerprint").alias(group)).agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row))[row].alias(row)
+    sets = materialise(with_sets(marked, scheme, row), "shingle-sets")
+    distinct = sets.groupBy("set_key").agg(
+        F.min("row").alias("node"), F.min("n_shingles").alias("n_shingles"), F.min("print").alias("print"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"),
     )
-    kept = materialise(first.select(row), "kept-rows")
+    distinct = materialise(distinct, "distinct-sets")
+    linked = similarity_links(sets, distinct.select("node", "n_shingles", "print"), scheme, similarity)
+    classes = components(linked).withColumnRenamed("node", "class_node")
+    grouped = distinct.join(classes, F.col("node") == F.col("class_node"), "left")
+    first = grouped.groupBy(F.coalesce("root", "node").alias("group")).agg(F.min("first")["row"].alias("kept_row"))
+    kept = materialise(first.select(F.col("kept_row").alias(row)), "kept-rows")
     return marked.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

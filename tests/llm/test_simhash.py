@@ -134,3 +134,18 @@ def test_wide_fingerprints_find_similar_texts(docs_frame):
     kept = {r["doc_id"] for r in simhash.one_of_each(docs_frame(rows)).collect()}
     assert {10 * g for g in range(60)} <= kept
     assert len(kept) - 60 <= 0.02 * pairs
+
+
+def test_only_texts_of_the_similarity_go(docs_frame):
+    rng, rows, groups = random.Random(4), [], 40
+    for g in range(groups):
+        words = [f"{rng.randrange(10**6)}" for _ in range(204)]
+        close, far = list(words), list(words)
+        for k in range(4):  # 20 of 200 shingles change: similarity 180 / 220
+            close[20 + 40 * k] = "x"
+        for k in range(6):  # 30 of 200 shingles change: similarity 170 / 230
+            far[20 + 30 * k] = "y"
+        rows += [(3 * g, " ".join(words)), (3 * g + 1, " ".join(close)), (3 * g + 2, " ".join(far))]
+    kept = {r["doc_id"] for r in simhash.one_of_each(docs_frame(rows)).collect()}
+    assert {3 * g for g in range(groups)} | {3 * g + 2 for g in range(groups)} <= kept
+    assert len(kept) <= 2 * groups + 1
