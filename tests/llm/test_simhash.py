@@ -136,6 +136,26 @@ def test_wide_fingerprints_find_similar_texts(docs_frame):
     assert len(kept) - 60 <= 0.02 * pairs
 
 
+def jaccard_pair(rng, size, target):
+    """Shingle sets of ``size`` numbers each with about this Jaccard similarity."""
+    shared = -(-2 * size * target // (1 + target))
+    draw = rng.integers(0, 2**63, int(2 * size - shared), dtype=np.uint64)
+    return draw[:size], np.concatenate([draw[: int(shared)], draw[size:]]), shared / (2 * size - shared)
+
+
+def test_tables_and_radius_find_nearly_all_pairs_at_the_threshold():
+    rng, scheme, met = np.random.default_rng(2), simhash.wide_scheme(), 0
+    assert len({b for t in scheme.tables for b in t}) == sum(map(len, scheme.tables))
+    for _ in range(1000):
+        a, b, found = jaccard_pair(rng, 100, 0.8)
+        assert 0.8 <= found < 0.81
+        x, y = (np.unpackbits(np.frombuffer(simhash._majority([s], scheme.lanes), np.uint8)) for s in (a, b))
+        compared = 64 * scheme.compared
+        near = (x[:compared] != y[:compared]).sum() <= scheme.radius
+        met += near and any((x[list(t)] == y[list(t)]).all() for t in scheme.tables)
+    assert met >= 990
+
+
 def test_only_texts_of_the_similarity_go(docs_frame):
     rng, rows, groups = random.Random(4), [], 40
     for g in range(groups):
