@@ -50,6 +50,7 @@ _PATTERN = re.compile(
 )
 _NAME = re.compile(r"(?<!\w)(" + "|".join(sorted(_OF_NAME, key=len, reverse=True)) + r") ([^\W\d_]{2,})(?!\w)")
 _DIGIT = re.compile(r"[0-9]")
+_WORD = re.compile(r"\w+")
 
 
 def find_entities(text: str | None) -> list[tuple[str, int, int]]:
@@ -59,7 +60,7 @@ def find_entities(text: str | None) -> list[tuple[str, int, int]]:
     out = []
     if "@" in text or _DIGIT.search(text):
         out = [(m.lastgroup, *m.span()) for m in _PATTERN.finditer(text)]
-    if not _OF_NAME.keys().isdisjoint(text.split()):
+    if not _OF_NAME.keys().isdisjoint(_WORD.findall(text)):
         taken = [(b, e) for _, b, e in out]
         for m in _NAME.finditer(text):
             if m[2][0].isupper() and not any(b < m.end() and m.start() < e for b, e in taken):

@@ -46,3 +46,9 @@ def test_edge_rows(docs_frame):
     got = sorted((r["doc_id"] or 0, len(r["entities"])) for r in df.collect())
     assert got == [(0, 1), (1, 0), (2, 0), (2, 0), (3, 1)]
     assert s.replace_entities(docs_frame([]), "k").collect() == []
+
+
+def test_names_after_any_mark_are_found():
+    for before in ("(", '"', "name:", "<b>", "-"):
+        text = f"see {before}Anna Smith) there"
+        assert [(k, text[b:e]) for k, b, e in s.find_entities(text)] == [("name", "Anna Smith")]
