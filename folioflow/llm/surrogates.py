@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from math import prod
 
 import pyarrow as pa
@@ -49,7 +50,8 @@ _PATTERN = re.compile(
     r"|(?<![\w])(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![\w])"
 )
 _NAME = re.compile(r"(?<!\w)(" + "|".join(sorted(_OF_NAME, key=len, reverse=True)) + r") ([^\W\d_]{2,})(?!\w)")
-_DIGIT = re.compile(r"[0-9]")
+_DIGIT, _OTHER_DIGIT = re.compile(r"\d"), re.compile(r"[^\D0-9]")
+_PLAIN_DIGITS = {n: str(unicodedata.decimal(chr(n))) for n in range(128, 0x110000) if chr(n).isdecimal()}
 _WORD = re.compile(r"\w+")
 
 
@@ -59,7 +61,9 @@ def find_entities(text: str | None) -> list[tuple[str, int, int]]:
         return []
     out = []
     if "@" in text or _DIGIT.search(text):
-        out = [(m.lastgroup, *m.span()) for m in _PATTERN.finditer(text)]
+        # Digits of any script are found alike; each is one code point, so the spans hold for the text.
+        plain = text if text.isascii() or not _OTHER_DIGIT.search(text) else text.translate(_PLAIN_DIGITS)
+        out = [(m.lastgroup, *m.span()) for m in _PATTERN.finditer(plain)]
     if not _OF_NAME.keys().isdisjoint(_WORD.findall(text)):
         taken = [(b, e) for _, b, e in out]
         for m in _NAME.finditer(text):
@@ -129,8 +133,14 @@ def _by_letters(permute: Permutation, tweak: str, text: str, alphabets: list[str
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def _digits_like(c: str) -> str:
+    """The ten digits of a digit's script; Unicode has them in a row."""
+    zero = ord(c) - unicodedata.decimal(c)
+    return "".join(map(chr, range(zero, zero + 10)))
+
+
 def _alphabets(text: str) -> list[str | None]:
-    return [next((a for a in (_DIGITS, _LOWER, _UPPER) if c in a), None) for c in text]
+    return [_digits_like(c) if c.isdecimal() else next((a for a in (_LOWER, _UPPER) if c in a), None) for c in text]
 
 
 def _luhn(digits: list[int]) -> int:
@@ -138,6 +148,21 @@ def _luhn(digits: list[int]) -> int:
     return -sum(d if i % 2 else d * 2 - 9 * (d > 4) for i, d in enumerate(reversed(digits))) % 10
 
 
+def _mixed_ip(permute: Permutation, value: str) -> str:
+    """An address in digits of several scripts: each number of as many digits, each place in its script."""
+    parts = value.split(".")
+    ranges = [((0, 10), (10, 90), (100, 156))[len(x) - 1] for x in parts]
+    number = 0
+    for x, (low, size) in zip(parts, ranges, strict=True):
+        number = number * size + int(x) - low
+    shape = "".join(c if c == "." else _digits_like(c) for c in value)
+    number, out = permute("mixed ip" + shape, number, prod(size for _, size in ranges)), []
+    for x, (low, size) in zip(reversed(parts), reversed(ranges), strict=True):
+        number, k = divmod(number, size)
+        out.append("".join(_digits_like(c)[int(d)] for c, d in zip(x, str(low + k), strict=True)))
+    return ".".join(reversed(out))
+
+
 def surrogate(permute: Permutation, kind: str, value: str) -> str:
     """The surrogate of an entity: same kind, shape, script and gender; one-to-one for each kind."""
     if kind == "email":
@@ -146,6 +171,10 @@ def surrogate(permute: Permutation, kind: str, value: str) -> str:
         hosts = [None if c in ".-" else a for c, a in zip(name, _alphabets(name), strict=True)]
         return f"{_by_letters(permute, 'local', local, _alphabets(local))}@{_by_letters(permute, 'host', name, hosts)}.{top}"
     if kind == "ip":
+        scripts = {_digits_like(c) for c in value if c != "."}
+        if len(scripts) > 1:
+            return _mixed_ip(permute, value)
+        own = str.maketrans(_DIGITS, *scripts)
         parts = [int(x) for x in value.split(".")]
         number = int.from_bytes(bytes(parts), "big")
         usual = lambda n: 1 <= n >> 24 <= 223 and n >> 24 not in (10, 127)
@@ -153,7 +182,7 @@ def surrogate(permute: Permutation, kind: str, value: str) -> str:
         while True:
             number = permute("ip", number, 1 << 32)
             if usual(number) == wanted:
-                return ".".join(str(x) for x in number.to_bytes(4, "big"))
+                return ".".join(str(x) for x in number.to_bytes(4, "big")).translate(own)
     if kind == "name":
         given, last = value.split(" ")
         script, gender = _OF_NAME[given]
@@ -165,14 +194,15 @@ def surrogate(permute: Permutation, kind: str, value: str) -> str:
             alphabets.append(fit.upper() if fit and c.isupper() else fit)
         return f"{given} {_by_letters(permute, 'last ' + script, last, alphabets)}"
     alphabets = _alphabets(value)
-    places = [i for i, c in enumerate(value) if c in _DIGITS]
+    places = [i for i, c in enumerate(value) if c.isdecimal()]
     if kind == "card":
         alphabets[places[0]] = None  # the issuer's digit
         digits = [int(value[i]) for i in places]
         if _luhn(digits[:-1]) == digits[-1]:
             body = value[: places[-1]]
             body = _by_letters(permute, "card with check digit", body, alphabets[: places[-1]])
-            return body + str(_luhn([int(c) for c in body if c in _DIGITS])) + value[places[-1] + 1 :]
+            check = _digits_like(value[places[-1]])[_luhn([int(c) for c in body if c.isdecimal()])]
+            return body + check + value[places[-1] + 1 :]
     if kind == "phone" and value[0] == "+":
         end = re.match(r"\+\d{1,3}(?=\D)|\+\d", value).end()
         alphabets[:end] = [None] * end  # the country

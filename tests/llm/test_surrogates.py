@@ -52,3 +52,23 @@ def test_names_after_any_mark_are_found():
     for before in ("(", '"', "name:", "<b>", "-"):
         text = f"see {before}Anna Smith) there"
         assert [(k, text[b:e]) for k, b, e in s.find_entities(text)] == [("name", "Anna Smith")]
+
+
+def test_digits_of_any_script_keep_their_script(docs_frame):
+    permute, plain = s.Permutation("k"), [("card", "4111 1111 1111 1111"), ("ssn", "123-45-6789"), ("phone", "+1 (988) 555-2485"), ("ip", "192.168.10.1")]
+    for zero in (0x660, 0x6F0, 0x966, 0x1D7CE):
+        script = str.maketrans("0123456789", "".join(chr(zero + k) for k in range(10)))
+        for kind, value in plain:
+            text = value.translate(script)
+            assert s.find_entities(text) == [(kind, 0, len(text))]
+            new = s.surrogate(permute, kind, text)
+            assert new != text and all(zero <= ord(c) < zero + 10 for c in new if c.isdecimal())
+            if kind == "card":
+                digits = [int(c) for c in new if c.isdecimal()]
+                assert len(digits) == 16 and s._luhn(digits[:-1]) == digits[-1]
+    mixed = "1٢.1٩٢.٣.255"
+    assert s.find_entities(mixed) == [("ip", 0, len(mixed))] and s.surrogate(permute, "ip", mixed) != mixed
+    image = {s.surrogate(permute, "ip", f"1{chr(0x660 + k)}.0.0.{n}") for k in range(10) for n in range(256)}
+    assert len(image) == 2560 and all(s.find_entities(x) == [("ip", 0, len(x))] for x in image)
+    rows = s.replace_entities(docs_frame([(1, "٤١١١١١١١١١١١١١١١")]), "k").collect()
+    assert len(rows) == 1 and rows[0]["surrogate_text"] != "٤١١١١١١١١١١١١١١١"
