@@ -29,8 +29,10 @@ from folioflow.scale import broadcast_if_small, materialise
 
 #: Shingles voted on at a time; bounds the memory a long text needs.
 BLOCK = 1 << 14
-#: Rows a task holds at least before it searches; groups are never cut.
+#: Rows a task holds at least before it searches; groups, or pairs of a large group's blocks, are never cut.
 SEARCH_ROWS = 1 << 15
+#: Groups of more rows are dealt out as pairs of blocks of about so many.
+BLOCK_ROWS = 1 << 15
 #: Groups up to this size are compared neighbour by neighbour, larger ones through a tree.
 SMALL_GROUP = 32
 #: Pairs of a query and a node looked at together; bounds a search's memory.
@@ -194,6 +196,38 @@ def _dealt(prints: DataFrame, scheme: Scheme) -> DataFrame:
     return prints.mapInArrow(run, "table_no int, lead bigint, gray binary")
 
 
+def _placed(dealt: DataFrame, keys: DataFrame, block_rows: int | None = None) -> DataFrame:
+    """Rows (table_no, lead, gray, ...) with a ``part``, dealt out by table, lead and part and sorted by Gray rank.
+
+    A group of more than ``block_rows`` rows, counted over ``keys``, is cut into blocks by hash, and each two blocks
+    are a part of their own: any two rows of the group meet in one. Other groups are one part.
+    """
+    rows = block_rows or BLOCK_ROWS
+    counts = keys.groupBy(F.col("table_no").alias("hot_table"), F.col("lead").alias("hot_lead")).count()
+    hot = materialise(counts.where(F.col("count") > rows).withColumn("blocks", F.ceil(F.col("count") / rows)), "large-groups")
+    if hot.isEmpty():
+        split = dealt.withColumn("part", F.lit(0).cast("long"))
+    else:
+        own = F.pmod(F.xxhash64(*[F.col(c) for c in dealt.columns if c != "label"]), F.col("blocks"))
+        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+        met = dealt.join(
+            broadcast_if_small(hot.drop("count")), (F.col("table_no") == F.col("hot_table")) & (F.col("lead") == F.col("hot_lead")), "left"
+        )
+        single = met.where("blocks IS NULL").select(*dealt.columns, F.lit(0).cast("long").alias("part"))
+        parts = met.where("blocks IS NOT NULL").withColumn("own", own).select("*", other.alias("other"))
+        # A block alone is met within any of its pairs.
+        parts = parts.where("own <> other").select(
+            *dealt.columns, (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).alias("part")
+        )
+        split = single.unionByName(parts)
+    return split.repartition("table_no", "lead", "part").sortWithinPartitions("table_no", "lead", "part", "gray")
+
+
+def _begins(table: np.ndarray, lead: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Whether a row begins a part."""
+    return np.concatenate(([True], (np.diff(table) != 0) | (np.diff(lead) != 0) | (np.diff(part) != 0)))
+
+
 # -- search ----------------------------------------------------------------------
 
 
@@ -348,22 +382,21 @@ def _search(
             yield s + a, s + b
 
 
-def links(prints: DataFrame, scheme: Scheme) -> DataFrame:
+def links(prints: DataFrame, scheme: Scheme, block_rows: int | None = None) -> DataFrame:
     """Links (src, dst) between distinct fingerprints (hexadecimal digits) that connect all within the radius.
 
     Not every such pair is a row, but any two of them are connected by rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
 
-        def searched(table: np.ndarray, lead: np.ndarray, gray: np.ndarray) -> pa.RecordBatch:
+        def searched(table: np.ndarray, lead: np.ndarray, part: np.ndarray, gray: np.ndarray) -> pa.RecordBatch:
             ranks = np.unpackbits(gray, axis=1)
             codes = gray_codes(ranks)
             octets = np.packbits(codes, axis=1)
             words = np.ascontiguousarray(octets).view(np.uint64).reshape(len(codes), scheme.lanes)
-            new = np.concatenate(([True], (np.diff(table) != 0) | (np.diff(lead) != 0)))
-            pieces = _search(np.cumsum(new), words, scheme.radius)
+            pieces = _search(np.cumsum(_begins(table, lead, part)), words, scheme.radius)
             found = [pair for a, b in pieces for pair in zip(a.tolist(), b.tolist(), strict=True)]
             ends = sorted({i for pair in found for i in pair})
             names = {}
@@ -385,21 +418,21 @@ def links(prints: DataFrame, scheme: Scheme) -> DataFrame:
                 (
                     batch.column(0).to_numpy(),
                     batch.column(1).to_numpy(),
+                    batch.column(3).to_numpy(),
                     np.frombuffer(raw, dtype=np.uint8).reshape(-1, scheme.bits // 8),
                 )
             )
             if sum(len(x[0]) for x in held) >= SEARCH_ROWS:
-                table, lead, gray = together()
-                begin = np.flatnonzero((table != table[-1]) | (lead != lead[-1]))
-                cut = int(begin[-1]) + 1 if len(begin) else 0  # the last group may go on
-                held = [(table[cut:], lead[cut:], gray[cut:])]
+                table, lead, part, gray = together()
+                cut = int(np.flatnonzero(_begins(table, lead, part))[-1])  # the last part may go on
+                held = [(table[cut:], lead[cut:], part[cut:], gray[cut:])]
                 if cut:
-                    yield searched(table[:cut], lead[:cut], gray[:cut])
+                    yield searched(table[:cut], lead[:cut], part[:cut], gray[:cut])
         if held:
             yield searched(*together())
 
-    dealt = _dealt(prints, scheme).repartition("table_no", "lead").sortWithinPartitions("table_no", "gray")
-    return dealt.mapInArrow(run, "src string, dst string")
+    dealt = _dealt(prints, scheme)
+    return _placed(dealt, dealt, block_rows).mapInArrow(run, "src string, dst string")
 
 
 def near_duplicates(docs: DataFrame, scheme: Scheme | None = None, carry: list[str] | None = None) -> DataFrame:
@@ -466,7 +499,7 @@ def with_sets(docs: DataFrame, scheme: Scheme, row: str) -> DataFrame:
     return map_columns(own, ["text"], schema, start).drop("text")
 
 
-def candidates(sets: DataFrame, scheme: Scheme, least: float, label: str | None = None) -> DataFrame:
+def candidates(sets: DataFrame, scheme: Scheme, least: float, label: str | None = None, block_rows: int | None = None) -> DataFrame:
     """Pairs (src, dst) of rows (node, n_shingles, print) that agree in a table and within the radius.
 
     Without ``label`` some of them, which connect all such pairs; with it all whose labels differ.
@@ -490,10 +523,10 @@ def candidates(sets: DataFrame, scheme: Scheme, least: float, label: str | None
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def searched(held: pa.Table) -> Iterator[pa.RecordBatch]:
-            table, lead, node, size = (held[c].to_numpy() for c in ("table_no", "lead", "node", "n_shingles"))
+            table, lead, part, node, size = (held[c].to_numpy() for c in ("table_no", "lead", "part", "node", "n_shingles"))
             gray = np.frombuffer(b"".join(held["gray"].to_pylist()), dtype=np.uint8).reshape(-1, octets)
             codes = np.packbits(gray_codes(np.unpackbits(gray, axis=1)), axis=1).view(np.uint64)
-            groups = np.cumsum(np.concatenate(([True], (np.diff(table) != 0) | (np.diff(lead) != 0))))
+            groups = np.cumsum(_begins(table, lead, part))
             labels = held["label"].to_numpy() if label else None
             for a, b in _search(groups, codes, scheme.radius, labels, size, least):
                 low, high = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
@@ -506,9 +539,8 @@ def candidates(sets: DataFrame, scheme: Scheme, least: float, label: str | None
             held.append(batch)
             if sum(x.num_rows for x in held) >= SEARCH_ROWS:
                 whole = pa.Table.from_batches(held).combine_chunks()
-                table, lead = whole["table_no"].to_numpy(), whole["lead"].to_numpy()
-                begin = np.flatnonzero((table != table[-1]) | (lead != lead[-1]))
-                cut = int(begin[-1]) + 1 if len(begin) else 0  # the last group may go on
+                begins = _begins(*(whole[c].to_numpy() for c in ("table_no", "lead", "part")))
+                cut = int(np.flatnonzero(begins)[-1])  # the last part may go on
                 held = whole.slice(cut).to_batches()
                 if cut:
                     yield from searched(whole.slice(0, cut))
@@ -519,8 +551,7 @@ def candidates(sets: DataFrame, scheme: Scheme, least: float, label: str | None
     dealt = sets.select("print", *columns).mapInArrow(
         deal, f"table_no int, lead bigint, gray binary, node bigint, n_shingles bigint{more}"
     )
-    placed = dealt.repartition("table_no", "lead").sortWithinPartitions("table_no", "lead", "gray")
-    return placed.mapInArrow(search, "src bigint, dst bigint").distinct()
+    return _placed(dealt, dealt, block_rows).mapInArrow(search, "src bigint, dst bigint").distinct()
 
 
 def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:

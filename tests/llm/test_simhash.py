@@ -169,3 +169,26 @@ def test_only_texts_of_the_similarity_go(docs_frame):
     kept = {r["doc_id"] for r in simhash.one_of_each(docs_frame(rows)).collect()}
     assert {3 * g for g in range(groups)} | {3 * g + 2 for g in range(groups)} <= kept
     assert len(kept) <= 2 * groups + 1
+
+
+def test_large_groups_are_dealt_out_in_blocks_and_lose_nothing(spark):
+    rng = np.random.default_rng(8)
+    codes = {int(x) << 8 for x in rng.integers(0, 2**8, 100)} | {1 << int(a) | 1 << int(b) for a, b in rng.integers(0, 32, (120, 2))}
+    codes = sorted(codes)
+    prints = spark.createDataFrame([(f"{c:016x}",) for c in codes], "print string")
+    scheme = simhash.exact_scheme()
+    dealt = simhash._dealt(prints, scheme)
+    sizes = simhash._placed(dealt, dealt, 40).groupBy("table_no", "lead", "part").count()
+    assert sizes.agg({"count": "max"}).first()[0] <= 120 < len(codes)
+    want = brute_components(list(enumerate(codes)), scheme.radius)
+    label = list(range(len(codes)))
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for r in simhash.links(prints, scheme, 40).collect():
+        a, b = root(codes.index(int(r["src"], 16))), root(codes.index(int(r["dst"], 16)))
+        label[max(a, b)] = min(a, b)
+    assert {i: root(i) for i in range(len(codes))} == want
