@@ -95,9 +95,55 @@ select doc_id, count(*) as n_lines, count(last) filter (last <> doc_id) as n_dro
 from keyed left join repeated using (key) group by doc_id
 """
 
+OP11 = """
+with doc as (
+    select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+           regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w
+    from documents
+),
+mark as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+failed as (
+    select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+           case when len(w) < 200 then 'A' else '' end
+           || case when 100 * len(list_distinct(w)) < 50 * len(w) then 'B' else '' end
+           || case when 100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) then 'C' else '' end
+           || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+           || case when doc_id > min(doc_id) over (partition by t) then 'E' else '' end as fails
+    from doc left join mark using (doc_id)
+),
+letter as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (
+    select a.x || b.x || c.x || d.x || e.x as filter_order
+    from letter a, letter b, letter c, letter d, letter e
+    where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+steps as (
+    select filter_order, step, filter_order[step] as own, filter_order[1:step - 1] as earlier
+    from (select filter_order, unnest(range(1, 6))::int as step from orders)
+),
+kinds as (select part, good, toxic, fails, count(*) as n from failed group by all),
+met as (
+    select kinds.*, steps.*, contains(fails, own) as bad,
+           len(list_intersect(regexp_extract_all(fails, '.'), regexp_extract_all(earlier, '.'))) > 0 as gone
+    from kinds, steps
+),
+counted as (
+    select part, filter_order, step, own,
+           coalesce(sum(n) filter (not bad and not gone), 0)::bigint as kept,
+           coalesce(sum(n) filter (bad and not gone), 0)::bigint as removed,
+           coalesce(sum(n) filter (bad and gone), 0)::bigint as redundant,
+           coalesce(sum(n) filter (fails = own), 0)::bigint as unique_fails,
+           coalesce(sum(n) filter (bad and not gone and good), 0)::bigint as good_lost,
+           coalesce(sum(n) filter (bad and not gone and toxic), 0)::bigint as toxic_lost
+    from met group by all
+)
+select * exclude (own), (sum(removed) over (partition by part, own))::bigint as shapley from counted
+"""
+
 ORACLES = {
     "op1_benchmark_decontamination": OP1,
     "op4_chat_formatting": OP4,
     "op5_exact_topk": OP5,
     "op9_line_dedup": OP9,
+    "op11_filter_audit": OP11,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from folioflow.llm import (
     chat,
     decontaminate,
+    filter_audit,
     html_text,
     line_dedup,
     pieces,
@@ -124,6 +125,11 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs, simhash.exact_scheme(), carry=["doc_id"])
 
 
+def filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return filter_audit.audit(docs, _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": benchmark_decontamination,
     "op2_html_extraction": html_extraction,
@@ -135,4 +141,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": quality_classifier,
     "op9_line_dedup": line_deduplication,
     "op10_simhash_near_dedup": simhash_near_dedup,
+    "op11_filter_audit": filter_interaction_audit,
 }
