@@ -31,15 +31,17 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in drop])
 
 
-def map_columns(df: DataFrame, inputs: list[str], schema: str, start: Callable[[], Step]) -> DataFrame:
+def map_columns(
+    df: DataFrame, inputs: list[str], schema: str, start: Callable[[], Step], drop: tuple[str, ...] = ()
+) -> DataFrame:
     """Add columns computed per Arrow batch; a map without a shuffle.
 
     ``start`` runs once per task and returns the step; the step gets the input columns
     of a batch as lists and returns one Arrow array per column of ``schema``. Columns of
-    ``df`` that ``schema`` names too are replaced.
+    ``df`` that ``schema`` names too are replaced, those named by ``drop`` left out.
     """
     added = T._parse_datatype_string(schema).fields
-    new = {f.name.lower() for f in added}
+    new = {f.name.lower() for f in added} | {c.lower() for c in drop}
     kept = [f for f in df.schema.fields if f.name.lower() not in new]
     keep = [f.name for f in kept]
     names = [f.name for f in added]

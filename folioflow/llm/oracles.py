@@ -140,10 +140,46 @@ counted as (
 select * exclude (own), (sum(removed) over (partition by part, own))::bigint as shapley from counted
 """
 
+OP12 = f"""
+with piece as (
+    select coalesce(lang, 'und') as lang,
+           regexp_extract_all(unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') as w
+    from documents
+),
+found as (
+    select lang, size, array_to_string(w[i:i + size - 1], ' ') as phrase, count(*) as a
+    from (select lang, w, size, unnest(range(1, len(w) - size + 2)) as i from piece, (select unnest(range(1, 5)) as size) where len(w) >= size)
+    group by all
+),
+total as (select lang, sum(len(w))::bigint as n from piece group by lang),
+long as (select *, string_split(phrase, ' ') as words from found where size > 1 and a >= 30),
+cuts as (
+    select lang, phrase, a, k, array_to_string(words[1:k], ' ') as head, array_to_string(words[k + 1:], ' ') as tail
+    from (select *, unnest(range(1, size)) as k from long)
+),
+scored as (
+    select cuts.*, h.a as l, t.a as r, ((2000000::hugeint * cuts.a) // (h.a + t.a))::bigint as score
+    from cuts join found h on h.lang = cuts.lang and h.phrase = cuts.head join found t on t.lang = cuts.lang and t.phrase = cuts.tail
+),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+covered as (
+    select lang, array_to_string(words[i:i + m - 1], ' ') as phrase, max(a) as outer_a
+    from (select *, unnest(range(1, size - m + 2)) as i from (select *, unnest(range(2, size)) as m from long))
+    group by all
+),
+ranked as (
+    select best.*, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+    from best left join covered using (lang, phrase)
+    where outer_a is null or 100::hugeint * outer_a < 80::hugeint * a
+)
+select lang, rank, phrase, a, l, r, n, score from ranked join total using (lang) where rank <= 2000
+"""
+
 ORACLES = {
     "op1_benchmark_decontamination": OP1,
     "op4_chat_formatting": OP4,
     "op5_exact_topk": OP5,
     "op9_line_dedup": OP9,
     "op11_filter_audit": OP11,
+    "op12_phrase_collocations": OP12,
 }

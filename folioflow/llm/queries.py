@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from folioflow.llm import (
     chat,
+    collocations,
     decontaminate,
     filter_audit,
     html_text,
     line_dedup,
+    ngram_join,
     pieces,
     quality,
     secret_scan,
@@ -130,6 +132,15 @@ def filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(docs, _table(spark, sf_dir, "labels"))
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.similar_documents(docs, carry=["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": benchmark_decontamination,
     "op2_html_extraction": html_extraction,
@@ -142,4 +153,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": line_deduplication,
     "op10_simhash_near_dedup": simhash_near_dedup,
     "op11_filter_audit": filter_interaction_audit,
+    "op12_phrase_collocations": phrase_collocations,
+    "op13_ngram_jaccard_join": ngram_jaccard_join,
 }
