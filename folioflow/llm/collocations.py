@@ -148,18 +148,19 @@ def count_phrases(
     Phrases of two words and more count if the filter ``allowing`` has their first and their last part, and none of
     the filters ``counted`` has both. Size 0 stands for all words, phrase by phrase empty.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((allowing, counted))
+    filters = [f.bits for f in ((allowing, *counted) if allowing else counted)]
+    shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        allowing, counted = shared.value
+        filters = [Filter(bits) for bits in shared.value]
         for lang, texts in _chunks(batches):
             chunk = Chunk(texts, lang, max(sizes))
             for size in sizes:
                 if size == 0:
                     phrases, n = pa.array([""], pa.string()), np.array([len(chunk.ids)])
                 else:
-                    places = chunk.valid[1] if size == 1 else chunk.allowed(size, allowing)
-                    for earlier in counted if size > 1 else ():
+                    places = chunk.valid[1] if size == 1 else chunk.allowed(size, filters[0])
+                    for earlier in filters[1:] if size > 1 else ():
                         places = places & ~chunk.allowed(size, earlier)
                     phrases, n = chunk.count(size, places)
                 for k in range(0, len(n), OUT_ROWS):
@@ -203,12 +204,13 @@ def make_filter(phrases: DataFrame) -> Filter:
 
 def _outside(phrases: DataFrame, allowing: Filter) -> DataFrame:
     """Those of the phrases that the filter lacks."""
-    shared = phrases.sparkSession.sparkContext.broadcast(allowing)
+    shared = phrases.sparkSession.sparkContext.broadcast(allowing.bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        allowing = Filter(shared.value)
         for batch in batches:
             hashes = _hashes_of(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            yield batch.filter(pa.array(~shared.value.has(hashes)))
+            yield batch.filter(pa.array(~allowing.has(hashes)))
 
     return phrases.select("lang", "phrase").mapInArrow(run, "lang string, phrase string")
 
