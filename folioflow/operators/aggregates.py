@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions.content import content_hash, object_path
@@ -14,15 +14,26 @@ def _count_if(cond: Column) -> Column:
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
+TRANSFORM_STATS = ["total", "processed", "failed", "skipped"]
+
+
+def stat_columns() -> list[Column]:
+    """Counts of outcomes, for an aggregate or to be observed while the outcomes are written."""
+    outcome = F.col("outcome")
+    return [F.count(F.lit(1)).alias("total"), *[_count_if(outcome == x).alias(x) for x in TRANSFORM_STATS[1:]]]
+
+
 def transform_stats(outcomes: DataFrame) -> DataFrame:
     """One row: total, processed, failed, skipped."""
-    outcome = F.col("outcome")
-    return outcomes.agg(
-        F.count(F.lit(1)).alias("total"),
-        _count_if(outcome == "processed").alias("processed"),
-        _count_if(outcome == "failed").alias("failed"),
-        _count_if(outcome == "skipped").alias("skipped"),
-    )
+    return outcomes.agg(*stat_columns())
+
+
+def stats_row(spark: SparkSession, counts: dict, names: list[str]) -> DataFrame:
+    """Observed counts as one row; a write without any row observes nothing."""
+    return spark.createDataFrame([tuple(int(counts.get(n) or 0) for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
+INGEST_STATS = ["total_items", "items_stored", "files_downloaded", "errors"]
 
 
 def ingest_stats(outcomes: DataFrame) -> DataFrame:

@@ -45,13 +45,16 @@ def rejected(df: DataFrame) -> DataFrame:
     return df.where(F.col("reject_reason").isNotNull())
 
 
-def object_exists(keys: DataFrame, listing: DataFrame, key: str = "object_name") -> DataFrame:
-    """Add ``found``: is there an object of that name in the listing?"""
-    names = listing.select(F.col("object_name").alias("_name")).distinct()
+def object_exists(keys: DataFrame, listing: DataFrame, key: str = "object_name", zone: str = "zone") -> DataFrame:
+    """Add ``found``: is there an object of that zone and name in the listing?
+
+    A name that another zone holds is not found; a missing zone or name is not either.
+    """
+    names = listing.select(F.col("zone").alias("_zone"), F.col("object_name").alias("_name")).distinct()
     return (
-        keys.join(names, F.col(key) == F.col("_name"), "left")
+        keys.join(names, (F.col(zone) == F.col("_zone")) & (F.col(key) == F.col("_name")), "left")
         .withColumn("found", F.col("_name").isNotNull())
-        .drop("_name")
+        .drop("_zone", "_name")
     )
 
 

@@ -128,3 +128,30 @@ def assign_partition(
         offset = F.datediff(day, F.lit(_day(start)))
         begin = F.when(offset >= 0, F.date_sub(day, F.pmod(offset, F.lit(days))))
     return df.withColumn("partition_date", F.date_format(begin, "yyyy-MM-dd"))
+
+
+def assign_interval(
+    df: DataFrame, ts_col: str, grid: DataFrame, start: str = "interval_start", end: str = "interval_end"
+) -> DataFrame:
+    """Each row with every interval ``[start, end)`` of an arbitrary grid that its time falls into.
+
+    Intervals may be of any length, leave gaps and overlap; a row that none holds, or without a time, stays once with nulls. An interval
+    is cut into bins of the power of two at or above its length, so it touches two at most however uneven the
+    grid is; times look for their bin once per such length in the grid. Bins are joined by equality, and only
+    instants that occur take part, each once. Columns of ``grid`` must not be named like those of ``df``.
+    """
+    length = F.expr(f"unix_micros(CAST({end} AS TIMESTAMP)) - unix_micros(CAST({start} AS TIMESTAMP))")
+    level = F.when(length > 1, F.length(F.bin(length - 1))).otherwise(F.lit(0))
+    cut = grid.where(length > 0).withColumn("_level", level)
+    # One per power of two: 64 at most.
+    levels = [row[0] for row in cut.select("_level").distinct().collect()]
+    first, last = F.expr(f"shiftright(unix_micros(CAST({start} AS TIMESTAMP)), _level)"), F.expr(f"shiftright(unix_micros(CAST({end} AS TIMESTAMP)) - 1, _level)")
+    cut = cut.select("*", F.explode(F.sequence(first, last)).alias("_bin"))
+    instants = df.where(F.col(ts_col).isNotNull()).select(F.col(ts_col).alias("_instant")).distinct()
+    instants = instants.select("_instant", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")).alias("_its_level"))
+    instants = instants.withColumn("_its_bin", F.expr("shiftright(unix_micros(CAST(_instant AS TIMESTAMP)), _its_level)"))
+    same = (F.col("_its_level") == F.col("_level")) & (F.col("_its_bin") == F.col("_bin"))
+    inside = (F.col(start) <= F.col("_instant")) & (F.col("_instant") < F.col(end))
+    found = instants.join(cut, same & inside).drop("_its_level", "_its_bin", "_level", "_bin")
+    known = df.where(F.col(ts_col).isNotNull()).join(found, F.col(ts_col) == F.col("_instant"), "left").drop("_instant")
+    return known.unionByName(df.where(F.col(ts_col).isNull()), allowMissingColumns=True)

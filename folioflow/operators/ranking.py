@@ -5,20 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.scale import HOT_ROWS, numbered
+from folioflow.scale import numbered
 
 # Members per row of a group's member list.
 MEMBERS_PER_ROW = 1000
 
 
-def file_index(
-    records: DataFrame,
-    parent: str = "parent_id",
-    order: str = "file_seq",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def file_index(records: DataFrame, parent: str = "parent_id", order: str = "file_seq") -> DataFrame:
     """Add each file's zero-based ``file_index`` and its parent's ``total_files``."""
-    out = numbered(records, [parent], order, "_no", "total_files", hot_rows)
+    out = numbered(records, [parent], order, "_no", "total_files")
     return out.withColumn("file_index", F.col("_no") - 1).drop("_no")
 
 
@@ -27,10 +22,9 @@ def page_position(
     listing: str = "body",
     order: str = "item_seq",
     page_size: int = 10,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add the one-based ``page_no`` and ``position`` of each item and its listing's ``last_page``."""
-    out = numbered(items, [listing], order, "_no", "_total", hot_rows)
+    out = numbered(items, [listing], order, "_no", "_total")
     return out.withColumns(
         {
             "page_no": F.floor((F.col("_no") - 1) / page_size) + 1,
@@ -45,14 +39,13 @@ def group_members(
     parent: str = "parent_id",
     member: str = "identifier",
     per_row: int = MEMBERS_PER_ROW,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Sorted members of each parent, in rows of at most ``per_row`` members.
 
     ``part_no`` numbers a parent's rows from zero; read in that order they are the
     whole list, however long it is.
     """
-    listed = numbered(records.select(parent, member), [parent], member, "_no", "n_members", hot_rows)
+    listed = numbered(records.select(parent, member), [parent], member, "_no", "n_members")
     return (
         listed.withColumn("part_no", F.floor((F.col("_no") - 1) / per_row))
         .groupBy(parent, "part_no")

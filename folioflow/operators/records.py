@@ -20,8 +20,9 @@ from folioflow.functions.content import (
 )
 from folioflow.functions.html_nodes import parse_html, to_html
 from folioflow.functions.times import as_of_literal
-from folioflow.scale import broadcast_if_small
+from folioflow.scale import broadcast_if_small, row_hash
 from folioflow.schema import LANDING_ZONE
+from folioflow.sources.store import KeyTable, ObjectStore
 
 ITEM_ORDER = ["partition_date", "body_type", "page_no", "position"]
 
@@ -32,28 +33,32 @@ def first_wins(items: DataFrame, order_cols: list[str], key: str = "identifier")
     The rank filter is applied before the shuffle as well, so each task sends at
     most one row per identifier.
     """
-    first = W.partitionBy(key).orderBy(*order_cols)
+    first = W.partitionBy(key).orderBy(*order_cols, row_hash(items))
     return (
         items.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") == 1).drop("_rank")
     )
 
 
-def stored_keys(store: DataFrame, retry_errors: bool = False) -> DataFrame:
-    """Identifiers that block a new ingest; failed records block too unless retried."""
-    kept = store.where(~F.col("status").eqNullSafe("error")) if retry_errors else store
+def stored_keys(store: DataFrame | KeyTable, retry_errors: bool = False) -> DataFrame:
+    """Identifiers that block a new ingest; failed records block too unless retried.
+
+    Those of a key table come bucketed: items are shuffled to them and the store stays where it is.
+    """
+    keys = store.keys() if isinstance(store, KeyTable) else store
+    kept = keys.where(~F.col("status").eqNullSafe("error")) if retry_errors else keys
     return kept.select("identifier").distinct()
 
 
 def new_records(
     items: DataFrame,
-    store: DataFrame,
+    store: DataFrame | KeyTable,
     retry_errors: bool = False,
     order_cols: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Split items into new ones and duplicates.
 
     New is the first item of an identifier that is not stored, everything else is a
-    duplicate. Items that tie on the order columns are interchangeable: one of them is new.
+    duplicate. Of items that tie on the order columns the one with the smallest hash of its row comes first.
     """
     order_cols = order_cols or [c for c in ITEM_ORDER if c in items.columns]
     # First by identifier, so a task sends one row of each to the join however often it repeats.
@@ -65,10 +70,10 @@ def without(items: DataFrame, chosen: DataFrame, order_cols: list[str]) -> DataF
     """Items that are not among the chosen ones; each chosen row takes away one item.
 
     Joined on the order as well, so a much-repeated identifier spreads over all tasks; items that tie
-    on all of that are numbered, and the first one is the chosen one.
+    on all of that are numbered by the hash of their row, as ``first_wins`` takes them, so the chosen one comes first.
     """
     exact = ["identifier", *order_cols]
-    tied = W.partitionBy(*exact).orderBy(F.lit(0))
+    tied = W.partitionBy(*exact).orderBy(row_hash(items))
     numbered = items.withColumn("_tie", F.row_number().over(tied))
     names = chosen.groupBy(*exact).agg(F.count(F.lit(1)).alias("_taken"))
     names = names.select(*[F.col(c).alias(f"_{c}") for c in exact], "_taken")
@@ -103,10 +108,25 @@ def _with_document(rows: DataFrame, key: str, documents: DataFrame, *carried: st
     return found.unionByName(missing)
 
 
-def records_with_content(records: DataFrame, objects: DataFrame) -> DataFrame:
-    """Records with their object's ``content``; ``failure`` is set where there is no object."""
+def _with_stored(rows: DataFrame, store: ObjectStore) -> DataFrame:
+    """``rows`` with the documents of a store: joined with its names first, then with the documents, which stay in their buckets."""
+    names = store.newest().select(F.col("object_name").alias("_object"), "run")
+    met = rows.join(names, F.col("object_name") == F.col("_object"), "left")
+    found = store.with_content(met.where("run IS NOT NULL").drop("_object")).withColumn("has_document", F.lit(True))
+    missing = met.where("run IS NULL").drop("_object").withColumns({"content": F.lit(None).cast("binary"), "has_document": F.lit(False)})
+    return found.unionByName(missing).drop("run")
+
+
+def records_with_content(records: DataFrame, objects: DataFrame | ObjectStore) -> DataFrame:
+    """Records with their object's ``content``; ``failure`` is set where there is no object.
+
+    The documents of an ``ObjectStore`` are never moved, however many records there are.
+    """
     named = records.withColumn("object_name", object_name(F.col("file_path")))
-    joined = _with_document(named, "object_name", objects, "content")
+    if isinstance(objects, ObjectStore):
+        joined = _with_stored(named, objects)
+    else:
+        joined = _with_document(named, "object_name", objects, "content")
     missing = F.concat(F.lit("no object "), F.coalesce("object_name", F.lit("without a name")))
     return joined.withColumn("failure", F.when(~F.col("has_document"), missing)).drop("has_document")
 
@@ -226,6 +246,9 @@ def before_after(
         F.col("status").alias("old_status"),
         F.col("new_status"),
         (F.col("new_status") == "transformed").alias("status_ok"),
+        F.col("file_path").alias("old_path"),
+        "new_path",
+        F.col("file_hash").alias("old_hash"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from folioflow.functions.content import (
@@ -14,13 +14,12 @@ from folioflow.functions.content import (
 )
 from folioflow.functions.html_nodes import clean_html, parse_html
 from folioflow.functions.times import as_of_literal
-from folioflow.operators.aggregates import transform_stats
+from folioflow.operators.aggregates import TRANSFORM_STATS, stat_columns, stats_row
 from folioflow.operators.filters import records_by_range, required_fields
 from folioflow.operators.records import records_with_content
 from folioflow.scale import materialise, spread
 from folioflow.schema import LANDING_ZONE, PROCESSED_ZONE
-from folioflow.sources.objects import objects_store
-from folioflow.sources.tables import records_append
+from folioflow.sources.store import Collection, ObjectStore
 
 REQUIRED = ["identifier", "file_path", "mime_type"]
 
@@ -48,9 +47,23 @@ def process_files(files: DataFrame) -> DataFrame:
     )
 
 
+def routed(checked: DataFrame, objects: DataFrame | ObjectStore, zone: str = LANDING_ZONE) -> DataFrame:
+    """Every record with its route and new document, or with the ``failure`` that keeps it from having one.
+
+    ``checked`` has gone through ``required_fields``: records it rejects fail with that reason, the others if their object is
+    missing or cannot be read.
+    """
+    usable = checked.where(F.col("reject_reason").isNull())
+    unusable = checked.where(F.col("reject_reason").isNotNull()).withColumn("failure", F.col("reject_reason"))
+    documents = objects if isinstance(objects, ObjectStore) else spread(objects.where(F.col("zone") == zone))
+    done = process_files(records_with_content(usable, documents))
+    done = done.withColumn("failure", F.coalesce("failure", "error")).drop("error", "content", "object_name")
+    return done.unionByName(unusable, allowMissingColumns=True)
+
+
 def transform_job(
     records: DataFrame,
-    objects: DataFrame,
+    objects: DataFrame | ObjectStore,
     start: str,
     end: str,
     as_of,
@@ -63,7 +76,7 @@ def transform_job(
 
     Processed rows carry the new record columns, ``new_name`` and ``new_content``.
     With ``skip_existing`` records already in ``processed`` are not selected again;
-    by default a rerun processes them once more.
+    by default a rerun processes them once more. ``objects`` is a table of objects or the store of the zone.
     """
     selected = required_fields(records_by_range(records, start, end, "extracted"), REQUIRED)
     if skip_existing:
@@ -72,19 +85,14 @@ def transform_job(
         selected = selected.join(
             processed.select("identifier").distinct(), "identifier", "left_anti"
         )
-    usable = selected.where(F.col("reject_reason").isNull())
-    unusable = selected.where(F.col("reject_reason").isNotNull())
-
-    documents = spread(objects.where(F.col("zone") == zone))
-    done = process_files(records_with_content(usable.drop("reject_reason"), documents))
+    done = routed(selected, objects, zone)
+    skipped = F.col("reject_reason").isNotNull()
     ok = F.col("failure").isNull()
-    reason = F.coalesce("failure", "error")
     now = as_of_literal(as_of)
-    done = (
-        done.withColumn("failure", reason)
-        .withColumns(
+    return (
+        done.withColumns(
             {
-                "outcome": F.when(ok, "processed").otherwise("failed"),
+                "outcome": F.when(ok, "processed").when(skipped, "skipped").otherwise("failed"),
                 "reason": F.col("failure"),
                 "file_path": F.when(ok, object_path(new_zone, F.col("new_name"))).otherwise(
                     F.col("file_path")
@@ -99,10 +107,6 @@ def transform_job(
             *records.columns, "transformation_date", "outcome", "reason", "new_name", "new_content"
         )
     )
-    skipped = unusable.withColumns(
-        {"outcome": F.lit("skipped"), "reason": F.col("reject_reason")}
-    ).drop("reject_reason")
-    return done.unionByName(skipped, allowMissingColumns=True)
 
 
 def processed_records(outcomes: DataFrame) -> DataFrame:
@@ -123,14 +127,17 @@ def processed_objects(outcomes: DataFrame, new_zone: str = PROCESSED_ZONE) -> Da
     )
 
 
-def publish_transform(outcomes: DataFrame, records_path: str, objects_path: str) -> DataFrame:
-    """Write records and objects of a run and return its statistics.
+def publish_transform(outcomes: DataFrame, target: Collection) -> DataFrame:
+    """Publish the records and objects of a run together and return its statistics.
 
-    The outcomes are computed once, into scratch space; the writes and the counts
-    read from there. Objects replace those of the same zone and name, so a rerun leaves
-    one of each; records are appended.
+    The outcomes are computed and counted once, on their way into scratch space; records and objects are written from there.
+    Objects take the place of those of the same name, so a rerun leaves one of each; records are appended. Nothing is visible before all
+    of it is written.
     """
-    outcomes = materialise(outcomes, "outcomes")
-    objects_store(processed_objects(outcomes), objects_path)
-    records_append(processed_records(outcomes), records_path)
-    return transform_stats(outcomes)
+    counts = Observation("transform")
+    outcomes = materialise(outcomes.observe(counts, *stat_columns()), "outcomes")
+    run = target.log.begin()
+    target.objects.append(processed_objects(outcomes, target.objects.zone), run)
+    target.append_records(processed_records(outcomes), run)
+    target.log.commit(run, counts.get)
+    return stats_row(outcomes.sparkSession, counts.get, TRANSFORM_STATS)

@@ -1,12 +1,16 @@
-"""Helpers that keep jobs distributed: input spread, checked broadcasts, hot groups, scratch space."""
+"""Helpers that keep jobs distributed: input spread, checked broadcasts, scratch space, numbering."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,10 +18,6 @@ from pyspark.sql import Window as W
 
 # A side is broadcast only if its measured text size stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Values fetched to choose split points; fixed, whatever the table size.
-SPLIT_SAMPLE = 16_384
-# Groups above this many rows are split over several tasks.
-HOT_ROWS = 1_000_000
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -105,122 +105,84 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-# -- hot groups ----------------------------------------------------------------
+# -- numbering ---------------------------------------------------------------------
 
 
-def split_points(df: DataFrame, order: str, n_splits: int) -> list:
-    """Values of ``order`` that divide the table into about ``n_splits`` equal ranges.
-
-    The sample behind it is the rows with the smallest hashes: it is the same for
-    every run, its size is fixed, and it only steers balance, never the result.
-    """
-    sample = (
-        df.select(order)
-        .where(F.col(order).isNotNull())
-        .orderBy(F.xxhash64(order))
-        .limit(SPLIT_SAMPLE)
-        .toPandas()[order]
-        .drop_duplicates()
-        .sort_values()
-        .tolist()
-    )
-    return sorted({sample[i * len(sample) // n_splits] for i in range(1, n_splits)} if sample else set())
-
-
-def split_number(order: str, points: list) -> Column:
-    """Number of split points at or below ``order``, found by halving the list."""
-    if not points:
-        return F.lit(0)
-    splits = F.array(*[F.lit(p) for p in points])
-
-    def state(low, high):
-        return F.struct(low.alias("low"), high.alias("high"))
-
-    def halve(span: Column, _: Column) -> Column:
-        middle = F.shiftright(span["low"] + span["high"], 1)
-        above = F.get(splits, middle) <= F.col(order)
-        return (
-            F.when(span["low"] >= span["high"], span)
-            .when(above, state(middle + 1, span["high"]))
-            .otherwise(state(span["low"], middle))
-        )
-
-    steps = F.sequence(F.lit(0), F.lit(len(points).bit_length() - 1))
-    return F.aggregate(
-        steps, state(F.lit(0), F.lit(len(points))), halve, lambda span: span["low"]
-    )
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a whole row; it orders rows that tie alike in every run."""
+    plain = [F.to_json(f.name) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in df.schema.fields]
+    return F.xxhash64(*plain)
 
 
-def hot_groups(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    """Groups of more than ``rows`` rows; there are at most ``count / rows`` of them."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_group_rows")).where(F.col("_group_rows") > rows)
+def _counted(df: DataFrame, group: list[str], name: str) -> DataFrame:
+    """Number the rows of each run of equal ``group`` values within a partition; adds the partition and the place, too."""
+    added = [T.StructField(n, T.LongType()) for n in (name, f"{name}_part", f"{name}_at")]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at, last, n = TaskContext.get().partitionId(), 0, None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = np.stack([batch.column(batch.schema.get_field_index(g)).to_numpy() for g in group])
+            begins = np.ones(batch.num_rows, dtype=bool)
+            begins[1:] = (ids[:, 1:] != ids[:, :-1]).any(axis=0)
+            begins[0] = last is None or bool((ids[:, 0] != last).any())
+            place = np.arange(batch.num_rows)
+            # A group that goes on from the batch before counts on.
+            start = np.maximum.accumulate(np.where(begins, place, -n))
+            number = place - start + 1
+            last, n = ids[:, -1], int(number[-1])
+            columns = [number, np.full(batch.num_rows, part), place + at]
+            at += batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *[pa.array(c.astype(np.int64)) for c in columns]], names=[*batch.schema.names, *[f.name for f in added]]
+            )
 
-def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
-    for i, key in enumerate(keys):
-        df = df.withColumnRenamed(key, f"_key{i}")
-    return df
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *added]))
 
 
-def _same_keys(keys: list[str]) -> Column:
-    same = F.lit(True)
-    for i, key in enumerate(keys):
-        same = same & F.col(key).eqNullSafe(F.col(f"_key{i}"))
-    return same
+def _carried(edges: DataFrame, own: str, other: str, order: Column, name: str) -> DataFrame:
+    """For each partition, how many rows of its group ``own`` the partitions ahead in ``order`` hold as their ``other``."""
+    ask = edges.select("_part", F.col(f"{own}.g1").alias("g1"), F.col(f"{own}.g2").alias("g2"), F.lit(0).cast("long").alias("n"), F.lit(0).alias("tells"))
+    tell = edges.select("_part", f"{other}.g1", f"{other}.g2", f"{other}.n", F.lit(1).alias("tells"))
+    ahead = W.partitionBy("g1", "g2").orderBy(order, "tells").rowsBetween(W.unboundedPreceding, -1)
+    return ask.unionByName(tell).withColumn(name, F.coalesce(F.sum("n").over(ahead), F.lit(0))).where("tells = 0").drop("n", "tells")
 
 
-def numbered(
-    df: DataFrame,
-    keys: list[str],
-    order: str,
-    number: str = "row_no",
-    total: str | None = None,
-    hot_rows: int = HOT_ROWS,
-    n_splits: int = 1024,
-) -> DataFrame:
-    """Row number within ``keys`` by ``order`` (and the group's size), safe for hot groups.
+def numbered(df: DataFrame, keys: list[str], order: str, number: str = "row_no", total: str | None = None) -> DataFrame:
+    """Row number within ``keys`` by ``order``, and the group's size; a group may fill any number of tasks.
 
-    A plain window puts a whole group into one task. Groups above ``hot_rows`` are
-    cut into ranges of ``order``: their rows are numbered within a range and shifted
-    by the sizes of the group's earlier ranges, which come from a pre-aggregated
-    count. All rows are shuffled once, by group and range. ``order`` must be unique
-    within a group for the numbers to be the same in every run.
+    The rows are sorted by keys and order over all tasks, in ranges; a large group simply spans several. Each task
+    numbers its rows from both ends of their groups. Only the first group of a range can have begun, and only the last can
+    go on in others: one count per range tells how far. Rows that tie on ``order`` stand by the hash of the whole row, so numbers are
+    the same in every run and for every number of tasks; equal rows are interchangeable.
     """
-    hot = hot_groups(df, keys, hot_rows)
-    if hot.isEmpty():
-        group = W.partitionBy(*keys)
-        out = df.withColumn(number, F.row_number().over(group.orderBy(order)).cast("long"))
-        return out.withColumn(total, F.count(F.lit(1)).over(group)) if total else out
-
-    hot = broadcast_if_small(_renamed(cut_lineage(hot), keys))
-    points = split_points(df.join(hot, _same_keys(keys), "left_semi"), order, n_splits)
-    ranged = df.join(hot, _same_keys(keys), "left").withColumn(
-        "_range", F.when(F.col("_group_rows").isNotNull(), split_number(order, points)).otherwise(-1)
+    marked = df.withColumns(
+        {"_g1": F.xxhash64(F.lit(1), *keys), "_g2": F.xxhash64(F.lit(2), *keys), "_tie": row_hash(df)}
     )
-    ranged = ranged.drop(*[f"_key{i}" for i in range(len(keys))])
-
-    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    sizes = (
-        ranged.where(F.col("_range") >= 0)
-        .groupBy(*keys, "_range")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            *keys,
-            F.col("_range").alias("_size_range"),
-            F.sum("_n").over(earlier).alias("_before"),
-        )
+    by = [*keys, order, "_tie"]
+    ranged = _counted(marked.repartitionByRange(*by).sortWithinPartitions(*by), ["_g1", "_g2"], "_no")
+    back = ranged.sortWithinPartitions(*[F.desc(k) for k in keys], F.desc("_g1"), F.desc("_no"))
+    stored = materialise(_counted(back, ["_g1", "_g2"], "_back"), "numbered")
+
+    def group(n: str) -> Column:
+        return F.struct(F.col("_g1").alias("g1"), F.col("_g2").alias("g2"), F.col(n).alias("n"))
+
+    edges = stored.groupBy(F.col("_no_part").alias("_part")).agg(
+        F.min_by(group("_back"), "_no_at").alias("first"), F.max_by(group("_no"), "_no_at").alias("last")
     )
-    sizes = broadcast_if_small(_renamed(cut_lineage(sizes), keys))
-
-    part = W.partitionBy(*keys, "_range")
-    out = (
-        ranged.withColumn(number, F.row_number().over(part.orderBy(order)).cast("long"))
-        .withColumn("_rows", F.coalesce("_group_rows", F.count(F.lit(1)).over(part)))
-        .join(sizes, _same_keys(keys) & (F.col("_range") == F.col("_size_range")), "left")
-        .withColumn(number, F.col(number) + F.coalesce("_before", F.lit(0)))
+    edges = materialise(edges, "range-edges")
+    before = _carried(edges, "first", "last", F.col("_part"), "_before")
+    after = _carried(edges, "last", "first", F.desc("_part"), "_after")
+    # Two rows per range at most.
+    shift = before.join(after, ["_part", "g1", "g2"], "full").select(
+        F.col("_part").alias("_range"), F.col("g1").alias("_s1"), F.col("g2").alias("_s2"), "_before", "_after"
     )
+    same = (F.col("_no_part") == F.col("_range")) & (F.col("_g1") == F.col("_s1")) & (F.col("_g2") == F.col("_s2"))
+    out = stored.join(broadcast_if_small(shift), same, "left")
+    zero = F.lit(0).cast("long")
+    ahead, behind = F.coalesce("_before", zero), F.coalesce("_after", zero)
+    columns = [(F.col("_no") + ahead).alias(number)]
     if total:
-        out = out.withColumn(total, F.col("_rows"))
-    return out.drop(
-        "_range", "_rows", "_group_rows", "_size_range", "_before", *[f"_key{i}" for i in range(len(keys))]
-    )
+        columns.append((F.col("_no") + F.col("_back") - 1 + ahead + behind).alias(total))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns if c not in (number, total)], *columns)

@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from folioflow.scale import broadcast_if_small, materialise
+from folioflow.scale import broadcast_if_small
 from folioflow.schema import OBJECTS
-
-#: Directories of names per zone of a stored content table.
-OBJECT_BUCKETS = 64
+from folioflow.sources.object_files import ObjectFiles
 
 
 def objects_scan(spark: SparkSession, path: str, zone: str) -> DataFrame:
@@ -37,64 +33,21 @@ def objects_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(OBJECTS).parquet(path).select(*OBJECTS.names)
 
 
-def objects_append(objects: DataFrame, path: str) -> None:
-    """Add objects to a content table, one directory per zone."""
-    if not objects.isEmpty():
-        objects.write.mode("append").partitionBy("zone").parquet(path)
-
-
-def _bucketed(objects: DataFrame, buckets: int) -> DataFrame:
-    return objects.withColumn("bucket", F.pmod(F.xxhash64("object_name"), F.lit(buckets)).cast("int"))
-
-
-def objects_store(objects: DataFrame, path: str, buckets: int = OBJECT_BUCKETS) -> None:
-    """Put objects into a stored content table, in the place of those of the same zone and name.
+def objects_export(objects: DataFrame, path: str) -> None:
+    """Write every object as a file, named by its object name below the folder; a file of that name is replaced.
 
-    The table has a directory per zone and bucket of names; only those that the new
-    objects fall into are rewritten. Of several new objects of one name the one with the
-    smallest hash of its content is kept. The rewritten directories are complete in scratch space before the
-    table is touched, so the table is never read and replaced by one plan. Keep
-    ``buckets`` the same for a table, and use ``objects_append`` for other tables.
+    Of several objects of one name the one with the smallest hash is written.
     """
-    spark = objects.sparkSession
-    names = [*OBJECTS.names, "bucket"]
-    incoming = materialise(_bucketed(objects.select(*OBJECTS.names), buckets), "incoming")
-    # At most one row per zone and bucket.
-    touched = incoming.select("zone", "bucket").distinct().collect()
-    if not touched:
-        return
-    try:
-        stored = spark.read.schema(T.StructType([*OBJECTS.fields, T.StructField("bucket", T.IntegerType())])).parquet(path)
-        zones, numbers = {r.zone for r in touched}, {r.bucket for r in touched}
-        stored = stored.where(F.col("zone").isin(*zones) & F.col("bucket").isin(*numbers))
-        stored = stored.join(F.broadcast(incoming.select("zone", "bucket").distinct()), ["zone", "bucket"], "left_semi").select(*names)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        stored = spark.createDataFrame([], incoming.schema)
-    merged = materialise(objects_upsert(stored, incoming, [F.xxhash64("content"), "content_type"]), "merged")
-    (
-        merged.hint("rebalance", "zone", "bucket")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("zone", "bucket")
-        .parquet(path)
-    )
-
+    one = W.partitionBy("object_name").orderBy(F.xxhash64("content"))
+    rows = objects.select("object_name", "content").withColumn("_rank", F.row_number().over(one)).where("_rank = 1")
+    objects.sparkSession.dataSource.register(ObjectFiles)
+    rows.drop("_rank").write.format(ObjectFiles.name()).mode("append").option("path", path).save()
 
-def objects_save_bucketed(objects: DataFrame, table: str, buckets: int, path: str) -> DataFrame:
-    """Save a content table bucketed by object name, for joins with many records.
 
-    Records are then shuffled to the buckets while the documents stay where they are.
-    """
-    (
-        objects.write.mode("overwrite")
-        .option("path", path)
-        .bucketBy(buckets, "object_name")
-        .sortBy("object_name")
-        .saveAsTable(table)
-    )
-    return objects.sparkSession.table(table)
+def objects_append(objects: DataFrame, path: str) -> None:
+    """Add objects to a content table, one directory per zone."""
+    if not objects.isEmpty():
+        objects.write.mode("append").partitionBy("zone").parquet(path)
 
 
 def objects_upsert(

@@ -14,7 +14,7 @@ def pages_scan(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     Files are their own address; their ``page_id`` is a hash of it.
     """
     if fmt == "text":
-        files = spark.read.option("wholetext", "true").text(path).select(
+        files = spark.read.text(path, wholetext=True).select(
             F.input_file_name().alias("url"), F.col("value").alias("html")
         )
     elif fmt == "binaryFile":

@@ -6,19 +6,24 @@ a batch that is replayed after a failure leaves the tables as if it ran once.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from folioflow.plans.ingest import ingest_items
 from folioflow.plans.transform import processed_objects, processed_records, transform_job
-from folioflow.scale import materialise
+from folioflow.scale import materialise, row_hash
 
-BATCH = T.StructField("batch_id", T.LongType())
+#: What later batches look at of the records that earlier ones stored.
+_STORED = T.StructType(
+    [T.StructField("identifier", T.StringType()), T.StructField("status", T.StringType()), T.StructField("batch_id", T.LongType())]
+)
 
 
 def _replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -26,11 +31,11 @@ def _replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def _earlier_batches(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """Rows stored by earlier batches; a replay does not see its own first attempt."""
+    """(identifier, status, batch_id) stored by earlier batches; a replay does not see its own first attempt."""
     try:
-        stored = spark.read.parquet(path)
+        stored = spark.read.schema(_STORED).parquet(path)
     except AnalysisException as exc:
-        if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if exc.getCondition() != "PATH_NOT_FOUND":
             raise
         return None  # nothing has been written yet
     return stored.where(F.col("batch_id") < batch_id)
@@ -78,16 +83,64 @@ def stream_ingest(
 
 
 def stream_dedup(
-    stream: DataFrame, key: str = "identifier", watermark: tuple[str, str] | None = None
+    stream: DataFrame, key: str = "identifier", watermark: tuple[str, str] | None = None, unbounded: bool = False
 ) -> DataFrame:
-    """First row of each key within the stream.
+    """The row of each key that arrives first.
 
-    All keys are remembered, unless a ``(time column, delay)`` watermark limits how
-    far apart duplicates may arrive.
+    A ``(time column, delay)`` watermark limits how far apart duplicates may arrive, and with it the state; only
+    with ``unbounded`` all keys are remembered for ever. Use ``stream_first_wins`` where the first is to be the earliest.
     """
-    if watermark is None:
-        return stream.dropDuplicates([key])
-    return stream.withWatermark(*watermark).dropDuplicatesWithinWatermark([key])
+    if watermark is not None:
+        return stream.withWatermark(*watermark).dropDuplicatesWithinWatermark([key])
+    if not unbounded:
+        raise ValueError("give a watermark, or ask for unbounded state")
+    return stream.dropDuplicates([key])
+
+
+#: Times in rows that wait in the state, to the microsecond.
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def stream_first_wins(stream: DataFrame, time: str, delay: str, keep_ms: int, key: str = "identifier") -> DataFrame:
+    """The earliest row of each key by event time, whatever order rows arrive in.
+
+    A row waits until the watermark, ``delay`` behind the latest time, has passed it: an earlier one that arrives meanwhile
+    takes its place, one that arrives later still is too late for the stream. Then the winner is put out once, its row leaves the state,
+    and the key is remembered for ``keep_ms`` of event time to swallow duplicates; after that it is forgotten. So the state holds the
+    keys of a span of time, not of all time. Rows of equal time stand by the hash of the row. Rows without a time are left out.
+    """
+    rows = stream.where(F.col(time).isNotNull()).withWatermark(time, delay)
+    waiting = rows.select(
+        F.col(key).alias("key"), time, F.unix_micros(F.col(time)).alias("at"), row_hash(rows).alias("tie"),
+        F.to_json(F.struct(*[F.col(f"`{c}`") for c in stream.columns]), _JSON).alias("row"),
+    )
+
+    def earliest(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        def wake(ms: int) -> None:
+            state.setTimeoutTimestamp(max(ms, state.getCurrentWatermarkMs() + 1))
+
+        if state.hasTimedOut:
+            at, tie, row, told = state.get
+            if told:
+                state.remove()
+                return
+            state.update((at, tie, None, True))
+            wake(at // 1000 + keep_ms)
+            yield pd.DataFrame({"row": [row]})
+            return
+        best = tuple(state.get) if state.exists else None
+        for frame in frames:
+            own = frame.sort_values(["at", "tie"]).iloc[0]
+            mine = (int(own["at"]), int(own["tie"]), own["row"], False)
+            if best is None or (not best[3] and mine[:2] < best[:2]):
+                best = mine
+        state.update(best)
+        wake(best[0] // 1000 + (keep_ms if best[3] else 0))
+
+    won = waiting.groupBy("key").applyInPandasWithState(
+        earliest, "row string", "at bigint, tie bigint, row string, told boolean", "append", GroupStateTimeout.EventTimeTimeout
+    )
+    return won.select(F.from_json("row", stream.schema, _JSON).alias("row")).select("row.*")
 
 
 def stream_transform(

@@ -148,6 +148,44 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def search_pages(spark: SparkSession, sf_dir: str, seeds: DataFrame) -> DataFrame:
+    """The result pages behind planned searches: ten documents each, by body and month of the document.
+
+    ``seeds`` are (url, body, partition_date) of the searches; later pages have addresses of their own.
+    """
+    n = F.col("doc_id")
+    month = F.concat(F.lit("2024-0"), (n % 6 + 1).cast("string"), F.lit("-01"))
+    d = table(spark, sf_dir, "documents").select(
+        "doc_id", _nth(n % 4, ["WRC", "LC", "EAT", "ET"]).alias("body"), month.alias("partition_date")
+    )
+    task = F.concat("body", F.lit("/"), "partition_date")
+    items = page_position(d.withColumn("task", task), "task", "doc_id", PAGE_SIZE)
+    doc = n.cast("string")
+    block = F.concat(
+        F.lit(f'<div class="row"><h2 class="title"><a href="{SITE}/doc/'), doc, F.lit('.html">'), doc,
+        F.lit('</a></h2></div><div class="bottom-ref"><span class="refNO">'), doc, F.lit("</span></div>\n"),
+    )
+    pages = items.groupBy("body", "partition_date", "task", "page_no", "last_page").agg(
+        F.array_sort(F.collect_list(F.struct("position", block.alias("block")))).alias("entries")  # ten at most
+    )
+
+    def address(page_no) -> F.Column:
+        return F.concat(F.lit(f"{SITE}/results/"), "task", F.lit("?p="), page_no.cast("string"))
+
+    following = F.concat(F.lit('<a href="'), address(F.col("page_no") + 1), F.lit('">»</a>'))
+    first = seeds.select(F.col("url").alias("search"), "body", "partition_date")
+    return pages.join(first, ["body", "partition_date"]).select(
+        F.xxhash64("task", "page_no").alias("page_id"),
+        F.when(F.col("page_no") == 1, F.col("search")).otherwise(address(F.col("page_no"))).alias("url"),
+        F.concat(
+            F.lit("<html><body>"),
+            F.array_join(F.transform("entries", lambda e: e["block"]), ""),
+            F.when(F.col("page_no") < F.col("last_page"), following).otherwise(""),
+            F.lit("</body></html>"),
+        ).alias("html"),
+    )
+
+
 def listing_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first page of every source's listing."""
     sources = table(spark, sf_dir, "documents").select("source").distinct()

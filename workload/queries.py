@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from folioflow import scale
 from folioflow.functions import content as fc
@@ -12,16 +13,18 @@ from folioflow.functions.links import abs_link, search_url
 from folioflow.functions.times import iso_time
 from folioflow.operators import aggregates, filters, html, planning, ranking, records
 from folioflow.plans.audit import audit_job
-from folioflow.plans.ingest import crawl, ingest_items, ingest_job
+from folioflow.plans.ingest import crawl, ingest_items, ingest_job, ingest_range, search_seeds
 from folioflow.plans.transform import (
-    process_files,
+    REQUIRED,
     processed_objects,
     processed_records,
     publish_transform,
+    routed,
     transform_job,
 )
-from folioflow.schema import LANDING_ZONE, OBJECTS, PROCESSED_RECORDS, RECORDS
+from folioflow.schema import LANDING_ZONE, PROCESSED_RECORDS, PROCESSED_ZONE, RECORDS
 from folioflow.sources import feed, objects, pages, tables
+from folioflow.sources.store import Collection, KeyTable, ObjectStore
 from folioflow.streaming import incremental
 from workload import fixtures as fx
 
@@ -86,6 +89,30 @@ def assign_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("event_id", "month", "week", F.col("partition_date").alias("ten_days"))
 
 
+def assign_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uneven opening hours with gaps and overlaps, on the days that have events."""
+    events = fx.table(spark, sf_dir, "events").select("event_id", "ts")
+    day = F.to_timestamp(F.to_date("ts"))
+    days = events.where("event_id % 3 <> 0").select(day.alias("day"), F.dayofyear("ts").alias("n")).distinct()
+
+    def hours(n) -> F.Column:
+        return F.make_dt_interval(hours=n)
+
+    grid = days.select(
+        F.explode(
+            F.array(
+                F.struct(F.lit("early").alias("shift"), F.col("day").alias("a"), (F.col("day") + hours(F.col("n") % 5 * 2)).alias("b")),
+                F.struct(F.lit("late").alias("shift"), (F.col("day") + hours(F.lit(6))).alias("a"), (F.col("day") + hours(F.lit(7) + F.col("n") % 30)).alias("b")),
+            )
+        ).alias("x")
+    )
+    grid = grid.select("x.shift", F.col("x.a").alias("interval_start"), F.col("x.b").alias("interval_end"))
+    text = "yyyy-MM-dd HH:mm"
+    return planning.assign_interval(events, "ts", grid).select(
+        "event_id", "shift", F.date_format("interval_start", text).alias("opens"), F.date_format("interval_end", text).alias("closes")
+    )
+
+
 # -- sources and sinks -----------------------------------------------------------------
 
 
@@ -121,19 +148,38 @@ def records_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _page_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with every landing document as a file."""
+    path = scale.scratch_path(spark, "files")
+    objects.objects_export(fx.landing_objects(spark, sf_dir), path)
+    return path
+
+
 def objects_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scale.scratch_path(spark, "objects")
-    objects.objects_append(fx.landing_objects(spark, sf_dir), path)
-    return objects.objects_table(spark, path).select(
+    return objects.objects_scan(spark, _page_files(spark, sf_dir), LANDING_ZONE).select(
         "zone", "object_name", "length", fc.content_hash(F.col("content")).alias("content_hash")
     )
 
 
-def objects_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    existing = fx.landing_objects(spark, sf_dir)
+def objects_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs into one store, compacted in between: the newest object of each name counts."""
+    store = ObjectStore(spark, scale.scratch_path(spark, "store"), LANDING_ZONE, 4)
+    landing = fx.landing_objects(spark, sf_dir)
+    store.append(landing.withColumn("content_type", F.lit("text/plain")))
+    store.append(landing)
+    store.compact()
+    store.append(_events_as_objects(spark, sf_dir, last=True))
+    return store.objects().select(
+        "object_name", "content_type", "length", fc.content_hash(F.col("content")).alias("content_hash")
+    )
+
+
+def _events_as_objects(spark: SparkSession, sf_dir: str, last: bool = False) -> DataFrame:
+    """Users 0.. written over or added as documents, the latest event last."""
     events = fx.table(spark, sf_dir, "events")
-    # Users 0.. are written over or added as documents, the latest event last.
-    incoming = events.select(
+    if last:
+        events = events.groupBy("user_id").agg(F.max_by("props", "event_id").alias("props"), F.max("event_id").alias("event_id"))
+    return events.select(
         F.lit(LANDING_ZONE).alias("zone"),
         F.concat(F.lit("DOC-"), F.lpad(F.col("user_id").cast("string"), 8, "0"), F.lit(".html")).alias(
             "object_name"
@@ -143,7 +189,11 @@ def objects_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length("props").cast("long").alias("length"),
         "event_id",
     )
-    merged = objects.objects_upsert(existing, incoming, [F.desc("event_id")])
+
+
+def objects_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    existing = fx.landing_objects(spark, sf_dir)
+    merged = objects.objects_upsert(existing, _events_as_objects(spark, sf_dir), [F.desc("event_id")])
     return merged.select(
         "object_name", "content_type", "length", fc.content_hash(F.col("content")).alias("content_hash")
     )
@@ -152,14 +202,26 @@ def objects_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feed_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.scraped_items(spark, sf_dir)
     path = scale.scratch_path(spark, "feed")
-    feed.feed_export(rows, path, "json")
-    return spark.read.schema(rows.schema).json(path)
+    options = {"json": {}, "csv": {"header": "true", "escape": '"'}, "xml": {"rowTag": "item"}}
+    parts = []
+    for fmt, how in options.items():
+        feed.feed_export(rows, f"{path}/{fmt}", fmt)
+        back = spark.read.schema(rows.schema).format(fmt).options(**how).load(f"{path}/{fmt}")
+        parts.append(back.select(F.lit(fmt).alias("fmt"), "*"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def pages_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.pages_scan(spark, f"{sf_dir}/pages.parquet").select(
-        "page_id", "url", F.length("html").cast("long").alias("n_chars")
-    )
+    """The pages as a table and as files, read as text and as bytes."""
+    files = _page_files(spark, sf_dir)
+    name = F.regexp_extract("url", r"DOC-0*(\d+)\.html$", 1).cast("long")
+    parts = [
+        pages.pages_scan(spark, f"{sf_dir}/pages.parquet").select(F.lit("table").alias("read_as"), "page_id", "html"),
+        pages.pages_scan(spark, files, "text").select(F.lit("text").alias("read_as"), name.alias("page_id"), "html"),
+        pages.pages_scan(spark, files, "binaryFile").select(F.lit("bytes").alias("read_as"), name.alias("page_id"), "html"),
+    ]
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return every.select("read_as", "page_id", F.length("html").cast("long").alias("n_chars"), F.sha2("html", 256).alias("html_hash"))
 
 
 def zone_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,8 +252,12 @@ def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def object_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Every fifth record is looked for in another zone.
+    other = F.substring("identifier", -1, 1).isin("0", "5")
     named = fx.landing_records(spark, sf_dir).select(
-        "identifier", fc.object_name(F.col("file_path")).alias("name")
+        "identifier",
+        F.when(other, PROCESSED_ZONE).otherwise(F.substring_index("file_path", "/", 1)).alias("zone"),
+        fc.object_name(F.col("file_path")).alias("name"),
     )
     listing = objects.zone_listing(fx.landing_objects(spark, sf_dir), LANDING_ZONE)
     return filters.object_exists(named, listing, "name")
@@ -298,10 +364,10 @@ def decode_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = fx.landing_records(spark, sf_dir).where(F.col("mime_type").isNotNull())
-    o = fx.landing_objects(spark, sf_dir)
-    files = process_files(records.records_with_content(r.where(F.col("file_path").isNotNull()), o))
-    return files.where(F.col("failure").isNull()).select("identifier", "route", "new_name", "new_hash")
+    checked = filters.required_fields(fx.landing_records(spark, sf_dir), REQUIRED)
+    done = routed(checked, fx.landing_objects(spark, sf_dir))
+    ok = F.col("failure").isNull()
+    return done.select("identifier", "failure", *[F.when(ok, F.col(c)).alias(c) for c in ("route", "new_name", "new_hash")])
 
 
 def stamp_record(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,6 +421,18 @@ def new_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def new_records_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same against a key table that grew in two runs."""
+    items, store = fx.scraped_items(spark, sf_dir), fx.item_store(spark, sf_dir)
+    known = KeyTable(spark, scale.scratch_path(spark, "keys"), 4)
+    known.append(store.where("status = 'error'"))
+    known.append(store.where("status <> 'error'"))
+    new, duplicates = records.new_records(items, known, order_cols=fx.ITEM_ORDER)
+    return new.select("identifier", "event_id", F.lit(True).alias("is_new")).unionByName(
+        duplicates.select("identifier", "event_id", F.lit(False).alias("is_new"))
+    )
+
+
 def records_with_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = fx.landing_records(spark, sf_dir).where(F.col("file_path").isNotNull())
     joined = records.records_with_content(r, fx.landing_objects(spark, sf_dir))
@@ -584,9 +662,38 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earliest event of each user, though later ones arrive first: four files, the latest events in the first."""
+    out = scale.scratch_path(spark, "earliest")
+    events = fx.table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("identifier"), F.col("ts").cast("timestamp").alias("ts"), "event_id"
+    )
+    last = events.agg(F.max("ts").alias("last"))
+    # A row far behind all others ends the wait for them.
+    closing = last.select(F.lit(-1).cast("long").alias("identifier"), F.expr("last + INTERVAL 4000 DAYS").alias("ts"), F.lit(-1).cast("long").alias("event_id"))
+    quarter = F.ntile(4).over(W.partitionBy(F.lit(0)).orderBy("day"))
+    days = events.select(F.to_date("ts").alias("day")).distinct().withColumn("quarter", quarter)  # one row per day
+    dated = events.withColumn("day", F.to_date("ts")).join(days, "day").drop("day")
+    for k in (4, 3, 2, 1):
+        dated.where(F.col("quarter") == k).drop("quarter").coalesce(1).write.mode("append").parquet(f"{out}/in")
+    closing.coalesce(1).write.mode("append").parquet(f"{out}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+    won = incremental.stream_first_wins(stream, "ts", "1000 days", 86_400_000)
+    (
+        won.writeStream.format("parquet")
+        .option("path", f"{out}/rows")
+        .option("checkpointLocation", f"{out}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return spark.read.schema(events.schema).parquet(f"{out}/rows").select("identifier", text.alias("first_seen"))
+
+
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scale.scratch_path(spark, "dedup")
-    deduped = incremental.stream_dedup(_event_stream(spark, sf_dir)).select("identifier", "doc_link")
+    deduped = incremental.stream_dedup(_event_stream(spark, sf_dir), unbounded=True).select("identifier", "doc_link")
     (
         deduped.writeStream.format("parquet")
         .option("path", f"{out}/rows")
@@ -639,24 +746,57 @@ def transform_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transform_published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scale.scratch_path(spark, "published")
-    publish_transform(_transformed(spark, sf_dir), f"{out}/records", f"{out}/objects")
-    listing = objects.zone_listing(spark.read.schema(OBJECTS).parquet(f"{out}/objects"))
-    done = tables.records_scan(spark, f"{out}/records", PROCESSED_RECORDS)
+def _processed(spark: SparkSession, name: str) -> Collection:
+    return Collection(spark, scale.scratch_path(spark, name), PROCESSED_ZONE, PROCESSED_RECORDS, 4)
+
+
+def ingest_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a date range and bodies to the tables read back; a second run of the same range adds nothing."""
+    start, end, bodies = "2024-02-10", "2024-04-20", ["WRC", "EAT"]
+    target = Collection(spark, scale.scratch_path(spark, "collection"), buckets=4)
+    found = scale.materialise(fx.search_pages(spark, sf_dir, search_seeds(spark, start, end)), "pages")
+    for _ in range(2):
+        ingest_range(found, fx.document_responses(spark, sf_dir), target, start, end, fx.AS_OF, bodies)
+    listing = target.objects.listing().select(fc.object_path(F.col("zone"), F.col("object_name")).alias("file_path"), "length")
+    return target.records().join(listing, "file_path", "left").select(
+        "identifier", "body_type", "partition_date", "metadata.page", "metadata.position", "mime_type", "file_path",
+        "file_hash", "status", "length",
+    )
+
+
+def transform_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transform job over a stored zone, whose documents stay in their buckets."""
+    store = ObjectStore(spark, scale.scratch_path(spark, "landing"), LANDING_ZONE, 4)
+    store.append(fx.landing_objects(spark, sf_dir))
+    done = transform_job(fx.landing_records(spark, sf_dir), store, START, END, fx.AS_OF)
     return done.select(
+        "identifier", "outcome", "status", "file_path", "file_hash",
+        F.octet_length("new_content").cast("long").alias("n_bytes"),
+    )
+
+
+def publish_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics counted while the outcomes are written, next to those the log of runs holds."""
+    target = _processed(spark, "counted")
+    told = publish_transform(_transformed(spark, sf_dir), target).withColumn("told_by", F.lit("write"))
+    return told.unionByName(target.log.counts().drop("run").withColumn("told_by", F.lit("log")))
+
+
+def transform_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _processed(spark, "published")
+    publish_transform(_transformed(spark, sf_dir), target)
+    return target.records().select(
         "identifier", "partition_date", "file_path", fc.object_name(F.col("file_path")).alias("object_name")
-    ).join(listing.select("object_name", "length"), "object_name", "left")
+    ).join(target.objects.listing().select("object_name", "length"), "object_name", "left")
 
 
 def transform_republished(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects after publishing the same run twice: one of each name."""
-    out = scale.scratch_path(spark, "republished")
+    target = _processed(spark, "republished")
     outcomes = scale.materialise(_transformed(spark, sf_dir), "outcomes")
     for _ in range(2):
-        publish_transform(outcomes, f"{out}/records", f"{out}/objects")
-    stored = objects.objects_table(spark, f"{out}/objects")
-    return stored.select("zone", "object_name", "length", F.sha2("content", 256).alias("stored_hash"))
+        publish_transform(outcomes, target)
+    return target.objects.objects().select("zone", "object_name", "length", F.sha2("content", 256).alias("stored_hash"))
 
 
 def audit_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -673,11 +813,13 @@ QUERIES = {
     "search_tasks": search_tasks,
     "search_url": search_urls,
     "assign_partition": assign_partition,
+    "assign_interval": assign_interval,
     "records_scan": records_scan,
     "objects_scan": objects_scan,
     "records_append": records_append,
     "records_update": records_update,
     "objects_upsert": objects_upsert,
+    "objects_stored": objects_stored,
     "feed_export": feed_export,
     "pages_scan": pages_scan,
     "zone_listing": zone_listing,
@@ -702,6 +844,7 @@ QUERIES = {
     "iso_time": iso_times,
     "size_reduction": size_reduction,
     "new_records": new_records,
+    "new_records_stored": new_records_stored,
     "records_with_content": records_with_content,
     "ingest_attach": ingest_attach,
     "before_after": before_after,
@@ -734,11 +877,15 @@ QUERIES = {
     "feed_rows": feed_rows,
     "child_diff": child_diff,
     "stream_ingest": stream_ingest,
+    "stream_first_wins": stream_first_wins,
     "stream_dedup": stream_dedup,
     "stream_transform": stream_transform,
     "crawl_items": crawl_items,
     "ingest_job": ingest_run,
+    "ingest_published": ingest_published,
     "transform_job": transform_run,
+    "transform_stored": transform_stored,
+    "publish_stats": publish_stats,
     "transform_published": transform_published,
     "transform_republished": transform_republished,
     "audit_job": audit_run,
