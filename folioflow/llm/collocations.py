@@ -2,9 +2,9 @@
 
 A sample of the documents proposes phrases that are frequent at a lowered threshold. One
 full pass counts exactly the words, the proposed phrases and their negative border: the
-phrases that occur, were not proposed, but whose first and last parts all were. A border phrase that turns out
-frequent may have frequent extensions that nobody counted; then a further full
-pass counts what the phrases now known newly allow, and so on until nothing is new.
+phrases that occur, were not proposed, but whose first and last parts both were. A border phrase that turns out
+frequent may have frequent extensions that nobody counted; then an expansion pass counts what the phrases now known newly
+allow, together with what that may lead to, so that the border is closed behind it.
 
 What is proposed goes to the tasks as a bit filter of bounded size. Its false hits only let a task count more;
 all counting is by the phrases themselves, so counts are exact.
@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -27,8 +27,8 @@ from folioflow.scale import materialise
 
 #: Share of the documents that proposes phrases, and share of the expected count that suffices there.
 SAMPLE_SHARE, LOWERED = 1 / 8, 0.75
-#: Text of one language that a task counts together.
-CHUNK = 4 << 20
+#: Text of one language that a task counts together, and text of all languages that it holds.
+CHUNK, HELD = 6 << 20, 16 << 20
 #: Bits of the largest filter: 8 MB, whatever the corpus.
 MOST_BITS = 1 << 26
 #: Rows handed to Spark together.
@@ -75,11 +75,12 @@ class Filter:
 class Chunk:
     """The words of texts of one language, numbered, with the pieces they stand in."""
 
-    def __init__(self, texts: list[bytes], lang: str, longest: int):
+    def __init__(self, texts: list[bytes], lang: str):
         data = _LOWER[np.frombuffer(b"\n".join([*texts, b""]), dtype=np.uint8)]
         kind = _KIND[data]
         inside = kind == _WORD
-        edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0))
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        edges = np.concatenate(([0], edges)) if inside[:1].any() else edges
         begin, end = edges[::2], edges[1::2]  # the last byte is a break
         offsets = np.concatenate(([0], np.cumsum(end - begin)))
         words = pa.LargeBinaryArray.from_buffers(
@@ -88,23 +89,41 @@ class Chunk:
         coded = words.dictionary_encode()
         self.words = coded.dictionary
         self.ids = coded.indices.to_numpy().astype(np.int64)
-        piece = np.cumsum(kind == _BREAK, dtype=np.int64)[begin]
-        hashes = _word_hashes(self.words.to_pylist(), lang)[self.ids] if len(self.ids) else np.zeros(0, np.uint64)
-        # Per size, for each place: does a phrase begin there, and its hash.
-        self.valid, self.hashes = {1: np.ones(len(begin), dtype=bool)}, {1: hashes}
-        for size in range(2, longest + 1):
-            n = max(len(begin) - size + 1, 0)
-            self.valid[size] = piece[:n] == piece[size - 1 : size - 1 + n]
-            self.hashes[size] = _longer(self.hashes[size - 1][:n], hashes[size - 1 : size - 1 + n])
-
-    def allowed(self, size: int, allowing: Filter) -> np.ndarray:
-        """Places of phrases whose first and last parts are both in the filter."""
-        part = allowing.has(self.hashes[size - 1])
-        n = len(self.valid[size])
-        return self.valid[size] & part[:n] & part[1 : 1 + n]
-
-    def count(self, size: int, places: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        self.own = _word_hashes(self.words.to_pylist(), lang)
+        # Places where the next word stands in the same piece.
+        piece = np.cumsum(kind == _BREAK, dtype=np.int32)[begin]
+        self.goes_on = piece[1:] == piece[:-1]
+
+    def eligible(self, longest: int, filters: list[Filter]) -> dict[int, np.ndarray]:
+        """Per size, the places of the phrases that the pass with the last of the filters counts.
+
+        The first pass counts a phrase whose first and last part are in its filter. A later one leaves out what was counted before, and
+        there a part that nobody has counted yet may stand for one in the filter: so it leaves nothing to a further pass.
+        """
+        counted = {size: np.zeros(max(len(self.ids) - size + 1, 0), dtype=bool) for size in range(2, longest + 1)}
+        own: dict[int, np.ndarray] = {}
+        for k, allowing in enumerate(filters):
+            part, hashes = allowing.has(self.own)[self.ids], self.own[self.ids]
+            for size in range(2, longest + 1):
+                met = part[:-1] & part[1:]
+                if size == 2:
+                    met &= self.goes_on  # longer ones are within a piece if their parts are
+                own[size] = met & ~counted[size] if k else met
+                if size < longest:
+                    here = np.flatnonzero(met)
+                    part, longer = np.zeros(len(met), dtype=bool), np.zeros(len(met), dtype=np.uint64)
+                    longer[here] = _longer(hashes[here], self.own[self.ids[here + size - 1]])
+                    part[here] = allowing.has(longer[here])
+                    if k:
+                        part |= own[size]
+                    hashes = longer
+            counted = {size: counted[size] | own[size] for size in own}
+        return own
+
+    def count(self, size: int, places: np.ndarray | None) -> tuple[pa.Array, np.ndarray]:
         """Distinct phrases at these places, and how often each occurs."""
+        if size == 1:
+            return self.words.cast(pa.large_string()).cast(pa.string()), np.bincount(self.ids, minlength=len(self.words))
         at = np.flatnonzero(places)
         key = self.ids[at]
         for k in range(1, size):  # exact numbers of ever longer phrases
@@ -113,14 +132,14 @@ class Chunk:
             key = key * np.int64(len(self.words)) + self.ids[at + k]
         _, first, n = np.unique(key, return_index=True, return_counts=True)
         columns = [self.words.take(pa.array(self.ids[at[first] + k])) for k in range(size)]
-        text = columns[0] if size == 1 else pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary()))
+        text = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary()))
         return text.cast(pa.large_string()).cast(pa.string()), n
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
-    """Texts gathered by language; a longer text is cut behind the ends of pieces."""
+    """Texts gathered by language, all together up to ``HELD``; a longer text is cut behind the ends of pieces."""
     held: dict[str, list[bytes]] = {}
-    size = 0
+    sizes: dict[str, int] = {}
     for batch in batches:
         lang, text = (batch.column(batch.schema.get_field_index(c)) for c in ("lang", "text"))
         for name, value in zip(lang.to_pylist(), text.cast(pa.large_binary()), strict=True):
@@ -133,46 +152,44 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes
                 yield name, [rest[:cut]]
                 rest = rest[cut:]
             held.setdefault(name, []).append(rest)
-            size += len(rest)
-            if size >= CHUNK:
-                yield from held.items()
-                held, size = {}, 0
+            sizes[name] = sizes.get(name, 0) + len(rest) + 1
+            full = name if sizes[name] >= CHUNK else max(sizes, key=sizes.get) if sum(sizes.values()) >= HELD else None
+            if full is not None:
+                del sizes[full]
+                yield full, held.pop(full)
     yield from held.items()
 
 
-def count_phrases(
-    docs: DataFrame, sizes: list[int], allowing: Filter | None = None, counted: tuple[Filter, ...] = ()
-) -> DataFrame:
-    """(lang, size, phrase, a): exact counts of phrases of these sizes over (lang, text).
+def count_phrases(docs: DataFrame, sizes: list[int], filters: list[Filter]) -> DataFrame:
+    """(lang, phrase, a): exact counts of phrases of these sizes over (lang, text).
 
-    Phrases of two words and more count if the filter ``allowing`` has their first and their last part, and none of
-    the filters ``counted`` has both. Size 0 stands for all words, phrase by phrase empty.
+    Longer phrases than words count where the pass with the last of the filters counts them. Size 0 stands for all words, as the
+    empty phrase.
     """
-    filters = [f.bits for f in ((allowing, *counted) if allowing else counted)]
-    shared = docs.sparkSession.sparkContext.broadcast(filters)
+    shared = docs.sparkSession.sparkContext.broadcast([f.bits for f in filters])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = [Filter(bits) for bits in shared.value]
         for lang, texts in _chunks(batches):
-            chunk = Chunk(texts, lang, max(sizes))
+            chunk = Chunk(texts, lang)
+            places = chunk.eligible(max(sizes), filters)
             for size in sizes:
                 if size == 0:
                     phrases, n = pa.array([""], pa.string()), np.array([len(chunk.ids)])
                 else:
-                    places = chunk.valid[1] if size == 1 else chunk.allowed(size, filters[0])
-                    for earlier in filters[1:] if size > 1 else ():
-                        places = places & ~chunk.allowed(size, earlier)
-                    phrases, n = chunk.count(size, places)
+                    phrases, n = chunk.count(size, places.get(size))
                 for k in range(0, len(n), OUT_ROWS):
                     some, many = phrases[k : k + OUT_ROWS], n[k : k + OUT_ROWS]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(some), pa.string()), pa.array(np.full(len(some), size, np.int32)), some, pa.array(many)],
-                        names=["lang", "size", "phrase", "a"],
-                    )
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), some, pa.array(many)], names=["lang", "phrase", "a"])
 
-    rows = docs.select("lang", "text").mapInArrow(run, "lang string, size int, phrase string, a bigint")
+    rows = docs.select("lang", "text").mapInArrow(run, "lang string, phrase string, a bigint")
     # Counts of a chunk hardly repeat within a task: straight to the shuffle.
-    return rows.repartition("lang", "phrase").groupBy("lang", "size", "phrase").agg(F.sum("a").alias("a"))
+    return rows.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
+
+
+def _size(phrase: str = "phrase") -> Column:
+    """Words of a phrase; the empty one has none."""
+    return F.when(F.col(phrase) == "", 0).otherwise(F.size(F.split(phrase, " ")))
 
 
 def _hashes_of(lang: list[str], phrase: list[str]) -> np.ndarray:
@@ -217,36 +234,35 @@ def _outside(phrases: DataFrame, allowing: Filter) -> DataFrame:
 
 def propose(sample: DataFrame, least: int, longest: int) -> Filter:
     """The phrases of a sample that occur ``least`` times there, word by word longer."""
-    found = materialise(count_phrases(sample, [1]).where(F.col("a") >= least), "sampled-phrases")
-    parts, allowing = [found], make_filter(found)
-    for size in range(2, longest):
-        found = materialise(count_phrases(sample, [size], allowing).where(F.col("a") >= least), "sampled-phrases")
-        parts.append(found)
-        allowing = make_filter(reduce(DataFrame.unionByName, parts))
-    return allowing
+    parts: list[DataFrame] = []
+    filters: list[Filter] = []
+    for size in range(1, longest):
+        found = count_phrases(sample, [size], filters).where(F.col("a") >= least)
+        parts.append(materialise(found, "sampled-phrases"))
+        filters = [make_filter(reduce(DataFrame.unionByName, parts))]
+    return filters[0]
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = 30, longest: int = 4, share: float = SAMPLE_SHARE) -> DataFrame:
     """(lang, size, phrase, a) of all phrases of up to ``longest`` words that occur ``min_count`` times, exactly.
 
     Rows of size 0 hold the number of all words. ``docs`` has (lang, text) without nulls. ``share`` of
-    the rows, by a hash of them, are the sample; it decides how many passes are needed, never the result.
+    the rows, by a hash of them, are the sample; it decides whether a second pass is needed and what it costs, never the result.
     """
     part = F.pmod(F.xxhash64(*docs.columns), F.lit(1 << 20)) < int(share * (1 << 20))
     sample = materialise(docs.where(part).select("lang", "text"), "sampled-documents")
-    allowing = propose(sample, max(1, int(np.ceil(LOWERED * share * min_count))), longest)
+    filters = [propose(sample, max(1, int(np.ceil(LOWERED * share * min_count))), longest)]
 
-    sizes, counted, parts = list(range(longest + 1)), (), []
+    sizes, parts = list(range(longest + 1)), []
     while True:
-        kept = count_phrases(docs, sizes, allowing, counted).where((F.col("a") >= min_count) | (F.col("size") == 0))
-        found = materialise(kept, "counted-phrases")
-        parts.append(found)
-        failures = _outside(found.where(F.col("size").between(1, longest - 1)), allowing)
-        if failures.isEmpty():
-            return reduce(DataFrame.unionByName, parts)
-        counted, sizes = (*counted, allowing), list(range(2, longest + 1))
+        kept = count_phrases(docs, sizes, filters).where((F.col("a") >= min_count) | (F.col("phrase") == ""))
+        parts.append(materialise(kept.withColumn("size", _size()), "counted-phrases"))
         known = reduce(DataFrame.unionByName, parts)
-        allowing = make_filter(known.where(F.col("size").between(1, longest - 1)))
+        extendable = known.where(F.col("size").between(1, longest - 1))
+        # What an expansion pass finds, it has extended already: the border is closed.
+        if len(parts) > 1 or _outside(extendable, filters[-1]).isEmpty():
+            return known
+        sizes, filters = list(range(2, longest + 1)), [*filters, make_filter(extendable)]
 
 
 def collocations(

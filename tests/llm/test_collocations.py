@@ -60,14 +60,17 @@ def test_every_sample_gives_the_exact_result(spark, share):
 
 
 def test_a_failing_border_is_expanded(spark, monkeypatch):
-    """Nothing is proposed: words are counted first, then two, three and four words in passes of their own."""
+    """Nothing is proposed: words are counted first, and one more pass counts two, three and four of them."""
     passes = []
     count = co.count_phrases
     monkeypatch.setattr(co, "count_phrases", lambda *a: passes.append(a[1]) or count(*a))
     docs = spark.createDataFrame([("en", "one two three four five")] * 6, "lang string, text string")
     found = co.frequent_phrases(docs, 5, 4, share=0.0).where("size > 0").collect()
     assert len(found) == 5 + 4 + 3 + 2 and {r.a for r in found} == {6}
-    assert passes[3:] == [[0, 1, 2, 3, 4], [2, 3, 4], [2, 3, 4], [2, 3, 4]]
+    assert passes == [[1], [2], [3], [0, 1, 2, 3, 4], [2, 3, 4]]
+    passes.clear()
+    assert co.frequent_phrases(docs, 5, 4, share=1.0).where("size > 0").count() == 14
+    assert passes == [[1], [2], [3], [0, 1, 2, 3, 4]]
 
 
 def test_long_texts_are_cut_between_pieces(monkeypatch):
