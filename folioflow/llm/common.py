@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -31,6 +32,15 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in drop])
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: workers stay alive, idle, next to those of later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: it keeps its own counsel
+
+
 def map_columns(
     df: DataFrame, inputs: list[str], schema: str, start: Callable[[], Step], drop: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -54,6 +64,8 @@ def map_columns(
             arrays = step(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in inputs])
             old = [batch.column(batch.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays([*old, *arrays], names=[*keep, *names])
+        del step
+        release_memory()
 
     return df.mapInArrow(run, T.StructType([*kept, *added]))
 

@@ -21,14 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioflow.llm.common import without
+from folioflow.llm.common import free_names, without
+from folioflow.scale import materialise
 
 #: Words of a phrase; an item with fewer is one phrase as a whole.
 WINDOW = 10
 #: Text gathered for one index, in bytes.
 SHARD_BYTES = 8 << 20
 #: Benchmark text handed to the tasks in one pass; a larger benchmark takes several passes.
-BENCHMARK_BYTES = 16 << 20
+BENCHMARK_BYTES = 2 << 20
 #: One suffix position in so many is kept.
 SAMPLE = 8
 
@@ -226,7 +227,7 @@ RESULTS = (
     "n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, "
     "spans array<struct<start: bigint, end: bigint>>, clean_text string"
 )
-_FOUND = "found_words bigint, found_spans array<struct<start: bigint, end: bigint>>, found_items array<string>"
+_FOUND = {"found_words": "bigint", "found_spans": "array<struct<start: bigint, end: bigint>>", "found_items": "array<string>"}
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
@@ -276,20 +277,24 @@ def decontaminate(
     An empty table on either side is fine.
     """
     spark = docs.sparkSession
-    docs = without(docs, [f.name for f in T._parse_datatype_string(RESULTS + ", " + _FOUND).fields])
+    docs = without(docs, T._parse_datatype_string(RESULTS).names)
+    n_words, spans_so_far, items_so_far = own = free_names(docs, *_FOUND)
+    found_schema = ", ".join(f"{name} {kind}" for name, kind in zip(own, _FOUND.values(), strict=True))
     found = docs
     for n, items in enumerate(_benchmark_parts(benchmark, part_bytes)):
+        if n:  # each pass ends with a table, so that no task holds the phrases of two parts
+            found = materialise(found, "found-phrases")
         phrases = spark.sparkContext.broadcast(Phrases(items, window))
         plain = docs.schema.fields
-        schema = T.StructType([*plain, *T._parse_datatype_string(_FOUND).fields])
+        schema = T.StructType([*plain, *T._parse_datatype_string(found_schema).fields])
         names, again = schema.names, n > 0
 
         def run(batches, phrases=phrases, names=names, again=again, keep=len(plain)):
             for shard in _shards(batches, shard_bytes):
                 rows = find_in_shard(shard.column("text").to_pylist(), phrases.value)
                 if again:
-                    spans = [[(s["start"], s["end"]) for s in x] for x in shard.column("found_spans").to_pylist()]
-                    before = shard.column("found_items").to_pylist()
+                    spans = [[(s["start"], s["end"]) for s in x] for x in shard.column(spans_so_far).to_pylist()]
+                    before = shard.column(items_so_far).to_pylist()
                     rows = [(w, _merged(s + t), i + j) for (w, s, i), t, j in zip(rows, spans, before, strict=True)]
                 columns = [
                     pa.array([r[0] for r in rows], pa.int64()),
@@ -305,12 +310,12 @@ def decontaminate(
 
     def finish(batches, names=schema.names, keep=len(docs.columns)):
         for batch in batches:
-            spans = [[(s["start"], s["end"]) for s in x] for x in batch.column("found_spans").to_pylist()]
-            items = [sorted(set(x)) for x in batch.column("found_items").to_pylist()]
+            spans = [[(s["start"], s["end"]) for s in x] for x in batch.column(spans_so_far).to_pylist()]
+            items = [sorted(set(x)) for x in batch.column(items_so_far).to_pylist()]
             cuts = [_cut(t, s) for t, s in zip(batch.column("text").to_pylist(), spans, strict=True)]
             hits = [sum(e - b for b, e in s) for s in spans]
             columns = [
-                batch.column("found_words"),
+                batch.column(n_words),
                 pa.array(hits, pa.int64()),
                 pa.array([len(x) for x in items], pa.int64()),
                 pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),

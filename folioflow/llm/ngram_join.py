@@ -226,15 +226,10 @@ def _nearest(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np
 def candidates(nodes: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Pairs (src, dst) of nodes with different labels that share a token and may be similar.
 
-    ``nodes`` has (node, n_shingles, parity, tokens, label). With ``nearest`` only the nearest one of each node
+    ``nodes`` has (node, n_shingles, parity, tokens, lows, label). With ``nearest`` only the nearest one of each node
     and token, else all.
     """
-    low = F.slice(F.array_sort("tokens"), 1, LOWS)
-    # What fills a short list is a hash of the node's own: it must not count as shared.
-    own = F.transform(
-        F.sequence(F.lit(0), F.lit(LOWS - 1)), lambda i: F.coalesce(F.get(low, i), F.xxhash64(F.col("node"), i))
-    )
-    rows = nodes.select("node", "n_shingles", "parity", "label", own.alias("lows"), F.explode("tokens").alias("token"))
+    rows = nodes.select("node", "n_shingles", "parity", "label", "lows", F.explode("tokens").alias("token"))
     large = nodes.select(F.explode("tokens").alias("hot")).groupBy("hot").agg(F.count(F.lit(1)).alias("rows"))
     large = materialise(large.where(F.col("rows") > BLOCK_ROWS).select("hot", F.ceil(F.col("rows") / BLOCK_ROWS).alias("blocks")), "large-tokens")
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
@@ -358,9 +353,12 @@ def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85, carry:
     classes = materialise(classes.select("*", F.col("first.row").alias("node"), F.col("first.id").alias("its_doc")), "document-classes")
     shared = materialise(shared_tokens(filled), "shared-tokens")
     nodes = shared.join(classes.select("node", "n_shingles", "parity"), F.col("row") == F.col("node")).groupBy("node").agg(
-        F.first("n_shingles").alias("n_shingles"), F.first("parity").alias("parity"), F.collect_list("token").alias("tokens")
+        F.first("n_shingles").alias("n_shingles"), F.first("parity").alias("parity"), F.sort_array(F.collect_list("token")).alias("tokens")
     )
-    nodes = materialise(nodes, "token-nodes")
+    # What fills a short list of low tokens is a hash of the node's own: it must not count as shared.
+    low = F.slice("tokens", 1, LOWS)
+    fill = F.array(*[F.xxhash64("node", F.lit(i)) for i in range(LOWS)])
+    nodes = materialise(nodes.withColumn("lows", F.slice(F.concat(low, fill), 1, LOWS)), "token-nodes")
 
     some = materialise(candidates(nodes.withColumn("label", F.col("node")), percent, True), "nearest-candidates")
     sure = materialise(verified(some, docs, classes, words, percent, levels), "nearest-links")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioflow.llm.common import free_names, map_columns
+from folioflow.llm.common import map_columns, release_memory
 from folioflow.scale import scratch_path
 
 SPACE = "▁"
@@ -34,8 +34,8 @@ SPACE = "▁"
 SHARD_BYTES = 24 << 20
 #: Text of the chunks that a shard is made of; what a task holds unpacked.
 CHUNK_BYTES = 1 << 20
-#: A unit without any safe cut ends after so many code points; reading back is not affected.
-UNIT_CHARS = 512
+#: Units of more code points are encoded by themselves, in blocks of so many places.
+LONG_UNIT = 512
 #: What a character without a piece costs more than the worst piece, as the library has it.
 UNKNOWN_PENALTY = 10.0
 #: Units that a task packs for their shards at a time.
@@ -81,6 +81,8 @@ def load_model(path: str) -> Model:
     if any(SPACE in p.lstrip(SPACE) for p in texts):
         raise ValueError(f"{path}: pieces across words are not supported")
     joined = frozenset(p[i : i + 2] for p in texts for i in range(len(p) - 1))
+    if max(map(len, texts)) > 255 or len(pieces) >= _NO_PIECE:
+        raise ValueError(f"{path}: the model's pieces are too long or too many")
     by_byte = {int(p[3:5], 16): i for i, p in enumerate(pieces) if sp.is_byte(i)}
     return Model(
         pieces, [sp.get_score(i) for i in ids], plain, [by_byte.get(b, sp.unk_id()) for b in range(256)], sp.unk_id(), joined
@@ -113,10 +115,6 @@ class Cuts:
         to = np.cumsum([len(t) for t in texts])
         begins[np.append(0, to[:-1])[[len(t) > 0 for t in texts]]] = True
         at = np.flatnonzero(begins)
-        sizes = np.diff(np.append(at, len(points)))
-        more = [np.arange(at[i] + UNIT_CHARS, at[i] + sizes[i], UNIT_CHARS) for i in np.flatnonzero(sizes > UNIT_CHARS)]
-        if more:
-            at = np.sort(np.concatenate([at, *more]))
         widths = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
         octets = np.append(0, np.cumsum(widths))[np.append(at, len(points))]
         units = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(octets.astype(np.int64)), pa.py_buffer(text.encode()))
@@ -175,7 +173,8 @@ class _Shard:
         # Every text begins with a mark; an empty one has no units.
         self.texts.append(SPACE + text.replace(" ", SPACE) if text else "")
         digest = pa.array([xxhash.xxh64_intdigest((text or "").encode()) >> 1], pa.int64())
-        self.kept.append(pa.RecordBatch.from_arrays([*kept.columns, digest], names=[*kept.schema.names, "_digest"]))
+        # By number: the carried columns may have any names.
+        self.kept.append(pa.RecordBatch.from_arrays([*kept.columns, digest], names=[*map(str, range(kept.num_columns)), "digest"]))
         self.open_size += len(text or "")
         if self.open_size >= CHUNK_BYTES:
             self.close_chunk()
@@ -188,7 +187,7 @@ class _Shard:
         numbers = [units.setdefault(u, len(units)) for u in coded.dictionary.to_pylist()]
         codes = np.array(numbers, dtype=np.uint32)[coded.indices.to_numpy()]
         docs = pa.Table.from_batches(self.kept).combine_chunks()
-        docs = docs.append_column("_n_codes", pa.array(sizes, pa.int64())).to_batches()[0]
+        docs = docs.append_column("n_codes", pa.array(sizes, pa.int64())).to_batches()[0]
         self.chunks.append({"docs": _ipc(docs), "codes": zstandard.compress(_varint(codes), 3)})
         self.size += self.open_size
         self.open_size, self.texts, self.kept = 0, [], []
@@ -228,6 +227,8 @@ def _packed(docs: DataFrame, carry: list[str], joined: frozenset[str], shard_byt
                     number, shard = number + 1, _Shard(cuts)
         if shard.texts or shard.chunks:
             yield shard.row(number)
+        del cuts, shard
+        release_memory()
 
     columns = [F.col(f"`{c}`") for c in dict.fromkeys([*carry, "text"])]
     packed = docs.select(*columns).mapInArrow(
@@ -241,52 +242,78 @@ def _packed(docs: DataFrame, carry: list[str], joined: frozenset[str], shard_byt
 # -- lattice ---------------------------------------------------------------------
 
 
-def _edges(units: DataFrame, spark: SparkSession, model: Model) -> DataFrame:
-    """(unit, edge) for each substring that is a piece, and for each character that is none.
+#: Bits of an edge's place: its end, 255 less its length, its piece. Sorted by it, edges to one place begin with the longest.
+_END, _LENGTH, _PIECE = 28, 20, (1 << 20) - 1
+#: Stands for the piece of a character that has none.
+_NO_PIECE = _PIECE
+
+
+def _end(place: Column) -> Column:
+    return F.shiftright(place, _END).cast("int")
+
+
+def _begin(place: Column) -> Column:
+    return _end(place) - 255 + F.shiftright(place, _LENGTH).cast("int").bitwiseAND(0xFF)
+
 
-    An edge's ``place`` holds its end, begin and piece id in this order, as one number that sorts by them.
+def _edges(texts: DataFrame, key: str, most: int, spark: SparkSession, model: Model) -> DataFrame:
+    """(key, edge) for each substring that is a piece, and for each character that is none.
+
+    ``texts`` has (key, base, s): a text and the number of characters before it in its unit; substrings begin
+    with one of its first ``most`` characters.
     """
     # The piece table is as large as the vocabulary, whatever the corpus.
     rows = [(p, i, s) for i, (p, s, ok) in enumerate(zip(model.pieces, model.scores, model.plain, strict=True)) if ok]
     table = F.broadcast(spark.createDataFrame(rows, "piece string, piece_id int, score double"))
-    begins = units.select("unit", F.explode(F.sequence(F.lit(1), F.char_length("unit"))).alias("b"))
-    sizes = F.sequence(F.lit(1), F.least(F.lit(model.longest), F.char_length("unit") - F.col("b") + 1))
-    exploded = begins.select("unit", "b", F.explode(sizes).alias("n")).select(
-        "unit", "b", "n", F.substring(F.col("unit"), F.col("b"), F.col("n")).alias("s")
+    last = F.least(F.char_length("s"), F.lit(most))
+    begins = texts.select(key, "base", "s", F.explode(F.sequence(F.lit(1), last)).alias("b"))
+    sizes = F.sequence(F.lit(1), F.least(F.lit(model.longest), F.char_length("s") - F.col("b") + 1))
+    exploded = begins.select(key, "base", "s", "b", F.explode(sizes).alias("n")).select(
+        key, "base", "b", "n", F.substring(F.col("s"), F.col("b"), F.col("n")).alias("s")
     )
     known = F.col("piece_id").isNotNull()
-    begin, end = (F.col("b") - 1).cast("long"), (F.col("b") + F.col("n") - 1).cast("long")
-    place = F.shiftleft(end, 48).bitwiseOR(F.shiftleft(begin, 32)).bitwiseOR(F.coalesce("piece_id", F.lit(_NO_PIECE)).cast("long"))
+    end = (F.col("base") + F.col("b") + F.col("n") - 1).cast("long")
+    place = (
+        F.shiftleft(end, _END)
+        .bitwiseOR(F.shiftleft((255 - F.col("n")).cast("long"), _LENGTH))
+        .bitwiseOR(F.coalesce("piece_id", F.lit(_NO_PIECE)).cast("long"))
+    )
     return exploded.join(table, F.col("s") == F.col("piece"), "left").where(known | (F.col("n") == 1)).select(
-        "unit",
+        key,
         F.struct(place.alias("place"), F.coalesce("score", F.lit(model.unknown_score)).alias("score")).alias("edge"),
     )
 
 
-#: Stands for the piece of a character that has none.
-_NO_PIECE = (1 << 31) - 1
+_NODES = "array<struct<score: double, back: bigint>>"
+
+
+def _origin() -> Column:
+    return F.struct(F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("back"))
+
+
+def _through(edge: Column, before: Column) -> Column:
+    """A path that ends with this edge: its score, and the edge's place negated, so that of equal scores the longest piece is greatest."""
+    return F.struct((before + edge["score"]).alias("score"), F.negative(edge["place"]).alias("back"))
+
+
+def _taken(place: Column) -> Column:
+    """The piece of an edge; a character without a piece is the negative of its place."""
+    piece = place.bitwiseAND(_PIECE).cast("int")
+    return F.when(piece == _NO_PIECE, -_end(place)).otherwise(piece)
 
 
 def _viterbi(edges: Column) -> Column:
     """Piece ids of the best path over edges sorted by place; of equal paths the one whose last piece is longest.
 
-    A character without a piece is the negative of its place. The fold keeps, for each place, the score and the
-    last edge of the best path to it, as ``back``: the edge's place negated, so that of equal scores the longest piece is greatest.
-    A second fold, from the end, follows the edges back.
+    The fold keeps, for each place, the score and the last edge of the best path to it. A second fold, from the end, follows the edges back.
     """
-    nodes = "array<struct<score: double, back: bigint>>"
-    origin = F.struct(F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("back"))
-    start = F.struct(F.array().cast(nodes).alias("done"), origin.alias("best"))
-
-    def begin_of(place: Column) -> Column:
-        return F.shiftright(place, 32).cast("int").bitwiseAND(0xFFFF)
+    start = F.struct(F.array().cast(_NODES).alias("done"), _origin().alias("best"))
 
     def step(state: Column, edge: Column) -> Column:
-        done, best, begin = state["done"], state["best"], begin_of(edge["place"])
+        done, best, begin = state["done"], state["best"], _begin(edge["place"])
         # The first edge to a place settles the place before it.
-        first = F.size(done) < F.shiftright(edge["place"], 48)
-        before = F.when(begin == F.size(done), best["score"]).otherwise(F.get(done, begin)["score"])
-        path = F.struct((before + edge["score"]).alias("score"), F.negative(edge["place"]).alias("back"))
+        first = F.size(done) < _end(edge["place"])
+        path = _through(edge, F.when(begin == F.size(done), best["score"]).otherwise(F.get(done, begin)["score"]))
         return F.struct(
             F.when(first, F.array_append(done, best)).otherwise(done).alias("done"),
             F.when(first, path).otherwise(F.greatest(best, path)).alias("best"),
@@ -294,34 +321,102 @@ def _viterbi(edges: Column) -> Column:
 
     def follow(state: Column, node: Column) -> Column:
         place = F.negative(node["back"])
-        end, piece = F.shiftright(place, 48).cast("int"), place.bitwiseAND(0xFFFFFFFF).cast("int")
-        taken = F.struct(
-            begin_of(place).alias("at"),
-            F.array_append(state["ids"], F.when(piece == _NO_PIECE, -end).otherwise(piece)).alias("ids"),
-        )
-        return F.when((end == state["at"]) & (end > 0), taken).otherwise(state)
+        taken = F.struct(_begin(place).alias("at"), F.array_append(state["ids"], _taken(place)).alias("ids"))
+        return F.when((_end(place) == state["at"]) & (_end(place) > 0), taken).otherwise(state)
 
     settled = F.aggregate(edges, start, step, lambda s: F.reverse(F.array_append(s["done"], s["best"])))
-    last = F.struct(F.shiftright(F.element_at(edges, -1)["place"], 48).cast("int").alias("at"), F.array().cast("array<int>").alias("ids"))
+    last = F.struct(_end(F.element_at(edges, -1)["place"]).alias("at"), F.array().cast("array<int>").alias("ids"))
     return F.aggregate(settled, last, follow, lambda s: F.reverse(s["ids"]))
 
 
-def encode_units(units: DataFrame, model: Model) -> DataFrame:
-    """(unit, ids) for distinct units; characters without a piece become the pieces of their bytes."""
-    edges = _edges(units, units.sparkSession, model)
-    grouped = edges.groupBy("unit").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
-    paths = grouped.select("unit", _viterbi(F.col("edges")).alias("ids"))
+def _viterbi_in_blocks(edges: Column, block: int) -> Column:
+    """The same for long units: the fold holds the places of the last two blocks open, and files a full block away.
+
+    No piece reaches further back than a block, so each edge finds its begin among the open places.
+    """
+    filed = F.array().cast(f"array<{_NODES}>")
+    start = F.struct(filed.alias("filed"), F.array().cast(_NODES).alias("done"), _origin().alias("best"))
+
+    def step(state: Column, edge: Column) -> Column:
+        done, best = state["done"], state["best"]
+        gone = F.size(state["filed"]) * block
+        begin = _begin(edge["place"]) - gone
+        first = F.size(done) + gone < _end(edge["place"])
+        full = first & (F.size(done) == 2 * block - 1)
+        path = _through(edge, F.when(begin == F.size(done), best["score"]).otherwise(F.get(done, begin)["score"]))
+        kept = F.array_append(F.slice(done, block + 1, block), best)
+        return F.struct(
+            F.when(full, F.array_append(state["filed"], F.slice(done, 1, block))).otherwise(state["filed"]).alias("filed"),
+            F.when(full, kept).when(first, F.array_append(done, best)).otherwise(done).alias("done"),
+            F.when(first, path).otherwise(F.greatest(best, path)).alias("best"),
+        )
+
+    def follow(state: Column, node: Column) -> Column:
+        place, ids = F.negative(node["back"]), state["ids"]
+        full = F.size(ids) == block
+        more = F.when(full, F.array(_taken(place))).otherwise(F.array_append(ids, _taken(place)))
+        taken = F.struct(
+            F.when(full, F.array_append(state["filed"], ids)).otherwise(state["filed"]).alias("filed"),
+            more.alias("ids"),
+            _begin(place).alias("at"),
+        )
+        return F.when((_end(place) == state["at"]) & (_end(place) > 0), taken).otherwise(state)
+
+    settled = F.aggregate(
+        edges, start, step, lambda s: F.reverse(F.flatten(F.array_append(s["filed"], F.array_append(s["done"], s["best"]))))
+    )
+    none = F.array().cast("array<int>")
+    last = F.struct(
+        F.array().cast("array<array<int>>").alias("filed"), none.alias("ids"), _end(F.element_at(edges, -1)["place"]).alias("at")
+    )
+    return F.aggregate(settled, last, follow, lambda s: F.reverse(F.flatten(F.array_append(s["filed"], s["ids"]))))
+
+
+def _grouped(edges: DataFrame, key: str) -> DataFrame:
+    return edges.groupBy(key).agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+
+
+def _spelled(ids: Column, char_at, model: Model) -> Column:
+    """Piece ids with the pieces of the bytes in place of characters without a piece."""
     octets = F.array(*[F.lit(i) for i in model.byte_ids])
 
     def in_bytes(place: Column) -> Column:
-        char = F.encode(F.substring(F.col("unit"), -place, F.lit(1)), "UTF-8")
+        char = F.encode(char_at(place), "UTF-8")
         return F.transform(
             F.sequence(F.lit(1), F.octet_length(char)),
             lambda k: F.element_at(octets, F.conv(F.hex(F.substring(char, k, F.lit(1))), 16, 10).cast("int") + 1),
         )
 
-    spelled = F.flatten(F.transform("ids", lambda i: F.when(i < 0, in_bytes(i)).otherwise(F.array(i))))
-    return paths.select("unit", F.when(F.array_min("ids") < 0, spelled).otherwise(F.col("ids")).alias("ids"))
+    spelled = F.flatten(F.transform(ids, lambda i: F.when(i < 0, in_bytes(i)).otherwise(F.array(i))))
+    return F.when(F.array_min(ids) < 0, spelled).otherwise(ids)
+
+
+def encode_units(units: DataFrame, model: Model) -> DataFrame:
+    """(unit, ids) for distinct units of at most ``LONG_UNIT`` characters; those without a piece become the pieces of their bytes."""
+    texts = units.select("unit", F.lit(0).alias("base"), F.col("unit").alias("s"))
+    grouped = _grouped(_edges(texts, "unit", LONG_UNIT, units.sparkSession, model), "unit")
+    paths = grouped.select("unit", _viterbi(F.col("edges")).alias("ids"))
+    return paths.select("unit", _spelled(F.col("ids"), lambda i: F.substring(F.col("unit"), -i, F.lit(1)), model).alias("ids"))
+
+
+def encode_long_units(units: DataFrame, model: Model) -> DataFrame:
+    """The same for longer units, of any length: they go by a digest, their text in blocks that overlap by a piece.
+
+    All edges of a unit lie in one task: what that takes grows with the longest text without any safe cut.
+    """
+    marked = units.select("unit", F.md5("unit").alias("mark"))
+    first = F.sequence(F.lit(0), F.floor((F.char_length("unit") - 1) / LONG_UNIT).cast("int"))
+    blocks = F.transform(
+        first,
+        lambda k: F.struct(
+            (k * LONG_UNIT).alias("base"), F.substring(F.col("unit"), k * LONG_UNIT + 1, F.lit(LONG_UNIT + model.longest - 1)).alias("s")
+        ),
+    )
+    texts = marked.select("mark", F.explode(blocks).alias("block")).select("mark", "block.base", "block.s")
+    grouped = _grouped(_edges(texts, "mark", LONG_UNIT, units.sparkSession, model), "mark")
+    paths = grouped.select(F.col("mark").alias("path"), _viterbi_in_blocks(F.col("edges"), LONG_UNIT).alias("ids"))
+    met = marked.join(paths, F.col("mark") == F.col("path")).withColumn("chars", F.split("unit", ""))
+    return met.select("unit", _spelled(F.col("ids"), lambda i: F.element_at("chars", -i), model).alias("ids"))
 
 
 # -- dictionaries back to their shards --------------------------------------------
@@ -387,11 +482,12 @@ def _pieces_text(ids: list[int], pieces: list[str], byte_of: dict[int, int]) ->
 def encode(docs: DataFrame, model: Model, carry: list[str] | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Piece ids of whole texts, checked by reading them back.
 
-    Returns the columns ``carry`` (default: doc_id) with ``ids``, ``n_ids`` and ``round_trip``: whether decoding
+    Returns the columns ``carry`` (default: doc_id; those of the results' names are replaced) with ``ids``, ``n_ids`` and ``round_trip``: whether decoding
     gives the text again. That is so for every text without the mark U+2581 itself, which reads back as a space.
     Null and empty texts have no ids and read back empty. Each row is encoded, repeated ones alike. An empty table gives an empty table.
     """
-    spark, carry = docs.sparkSession, carry or ["doc_id"]
+    spark, results = docs.sparkSession, {"ids", "n_ids", "round_trip"}
+    carry = [c for c in carry or ["doc_id"] if c.lower() not in results]
     packed = _packed(docs, carry, model.joined, shard_bytes)
     entries = packed.select("shard", F.posexplode("units").alias("no", "unit"))
     # One exchange by unit serves the lattice and the way back: both read the same columns of it.
@@ -399,8 +495,13 @@ def encode(docs: DataFrame, model: Model, carry: list[str] | None = None, shard_
         int(spark.conf.get("spark.sql.shuffle.partitions")), "unit"
     )
     met = entries.groupBy("unit").agg(F.min("shard").alias("_shard"), F.min("no").alias("_no"))
-    encoded = encode_units(met.where("_shard >= 0 AND _no >= 0").select("unit"), model)
-    parts = _dictionary_parts(entries.join(encoded.hint("shuffle_hash"), "unit"))
+    units = met.where("_shard >= 0 AND _no >= 0").select("unit")
+    long = F.char_length("unit") > LONG_UNIT
+    encoded = encode_units(units.where(~long), model).hint("shuffle_hash")
+    parts = _dictionary_parts(entries.where(~long).join(encoded, "unit"))
+    # Units without a safe cut are rare, and may be of any length: they take a way of their own.
+    rare = encode_long_units(entries.where(long).select("unit").distinct(), model)
+    parts = parts.unionByName(_dictionary_parts(entries.where(long).join(rare, "unit")))
     dictionary = parts.groupBy(F.col("shard").alias("its_shard")).agg(F.collect_list("part").alias("parts"))
     # Left: a shard of texts without any unit has no dictionary.
     shards = packed.select("shard", "chunks").join(dictionary, F.col("shard") == F.col("its_shard"), "left")
@@ -417,8 +518,8 @@ def encode(docs: DataFrame, model: Model, carry: list[str] | None = None, shard_
                 for chunk in batch.column("chunks")[row]:
                     own = _read_ipc(chunk["docs"].as_py())
                     codes = _from_varint(zstandard.ZstdDecompressor().decompress(chunk["codes"].as_py()))
-                    ends = np.cumsum(own.column("_n_codes").to_numpy())
-                    digests = own.column("_digest").to_pylist()
+                    ends = np.cumsum(own.column("n_codes").to_numpy())
+                    digests = own.column("digest").to_pylist()
                     for at in range(0, own.num_rows, 128):
                         stop = min(at + 128, own.num_rows)
                         low = int(ends[at - 1]) if at else 0

@@ -160,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """Fit on at most ``rows`` labelled documents, chosen by the hash of their id.
 
     Only those rows' feature buckets reach the driver. Labels without an id or a rating are left
-    out, as are labels without a document; of rows that repeat an id one is taken.
+    out, as are labels without a document; of rows that repeat an id that with the smallest hash of its text is taken.
     """
     rated = labels.select(F.col("doc_id").alias("label_doc"), grade(F.col("quality"), F.col("toxic")).alias("grade"))
     chosen = (
@@ -177,10 +177,12 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
         return step
 
-    # The chosen labels are bounded by ``rows``.
-    own = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_doc")).select("label_doc", "grade", "text")
-    got = map_columns(own, ["text"], "buckets array<bigint>", start).select("label_doc", "grade", "buckets").toPandas()
-    got = got.drop_duplicates("label_doc").sort_values("label_doc")
+    # The chosen labels are bounded by ``rows``, and so are the documents that meet them: one of each id.
+    texts = docs.select(F.col("doc_id").alias("its_doc"), "text")
+    own = texts.join(F.broadcast(chosen), F.col("its_doc") == F.col("label_doc")).groupBy("label_doc").agg(
+        F.min("grade").alias("grade"), F.min_by("text", F.xxhash64("text")).alias("text")
+    )
+    got = map_columns(own, ["text"], "buckets array<bigint>", start, drop=("text",)).toPandas().sort_values("label_doc")
     return fit(list(got["buckets"]), got["grade"].to_numpy(dtype=np.int64))
 
 

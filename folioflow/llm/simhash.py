@@ -53,7 +53,6 @@ class Scheme:
     lanes: int
     radius: int
     tables: tuple[tuple[int, ...], ...]
-    compared: int | None = None  # lanes that the radius is held against (default: all)
 
     @property
     def bits(self) -> int:
@@ -70,24 +69,6 @@ def exact_scheme(shingle: int = 3, radius: int = 2, blocks: int = 4) -> Scheme:
     return Scheme(shingle, 1, radius, tuple(tables))
 
 
-def wide_scheme(
-    shingle: int = 5, similarity: float = 0.8, lanes: int = 4, width: int = 14, tables: int = 64, spread: float = 3.1
-) -> Scheme:
-    """Longer fingerprints whose hits are candidates for a Jaccard ``similarity``.
-
-    A bit differs with probability angle / pi, and two sets of that similarity have a cosine of
-    at least 2 s / (1 + s): 0.89 and a share of 0.15 at 0.8. The first ``lanes`` are compared; the radius
-    is that share and ``spread`` standard deviations. Each table leads with bits of its own from
-    further lanes, so that tables miss a pair independently of each other and of the radius.
-    """
-    bits = 64 * lanes
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    radius = int(np.ceil(share * bits + spread * np.sqrt(share * (1 - share) * bits)))
-    more = -(-width * tables // 64)
-    chosen = [tuple(range(bits + t * width, bits + (t + 1) * width)) for t in range(tables)]
-    return Scheme(shingle, lanes + more, radius, tuple(chosen), lanes)
-
-
 def _lane(hashes: np.ndarray, lane: int) -> np.ndarray:
     """Further 64-bit hashes of the same shingles; lane 0 is the hash itself."""
     if not lane:
@@ -446,8 +427,6 @@ def near_duplicates(docs: DataFrame, scheme: Scheme | None = None, carry: list[s
     component. An empty table gives an empty table.
     """
     scheme = scheme or exact_scheme()
-    if scheme.compared:
-        raise ValueError("hits of this scheme are candidates only: use one_of_each")
     docs = without(docs, ["fingerprint", "component_id"])
     own, key, low = free_names(docs, "own_id", "class_key", "class_lowest")
     columns = [F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]
@@ -471,147 +450,21 @@ def near_duplicates(docs: DataFrame, scheme: Scheme | None = None, carry: list[s
     )
 
 
-# -- candidates and their similarity ------------------------------------------------
-
-
-def with_sets(docs: DataFrame, scheme: Scheme, row: str) -> DataFrame:
-    """(row, doc_id, set_key, n_shingles, print, shingles) of each document's set of shingles.
-
-    The fingerprint is that of the set, each shingle counted once, as the Jaccard similarity does.
-    """
-
-    def start():
-        def step(texts):
-            sets = [shingle_set(t, scheme.shingle) for t in texts]
-            raw = [x.astype(">u8").tobytes() for x in sets]
-            prints = [_majority((x[i : i + BLOCK] for i in range(0, len(x), BLOCK)), scheme.lanes) for x in sets]
-            return [
-                pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in raw], pa.binary()),
-                pa.array([len(x) for x in sets], pa.int64()),
-                pa.array(prints, pa.binary()),
-                pa.array(raw, pa.binary()),
-            ]
-
-        return step
-
-    own = docs.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "set_key binary, n_shingles bigint, print binary, shingles binary"
-    return map_columns(own, ["text"], schema, start).drop("text")
-
-
-def candidates(sets: DataFrame, scheme: Scheme, least: float, label: str | None = None, block_rows: int | None = None) -> DataFrame:
-    """Pairs (src, dst) of rows (node, n_shingles, print) that agree in a table and within the radius.
-
-    Without ``label`` some of them, which connect all such pairs; with it all whose labels differ.
-    """
-    bits, octets = 64 * (scheme.compared or scheme.lanes), 8 * (scheme.compared or scheme.lanes)
-    columns = ["node", "n_shingles", *([label] if label else [])]
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            raw = b"".join(batch.column(0).to_pylist())
-            ones = np.unpackbits(np.frombuffer(raw, dtype=np.uint8).reshape(-1, scheme.bits // 8), axis=1)
-            gray = pa.array([x.tobytes() for x in np.packbits(gray_ranks(ones[:, :bits]), axis=1)], pa.binary())
-            for t, chosen in enumerate(scheme.tables):
-                lead = ones[:, list(chosen)].astype(np.int64) @ (1 << np.arange(len(chosen), dtype=np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ones), t, dtype=np.int32)), pa.array(lead), gray, *batch.columns[1:]],
-                    names=["table_no", "lead", "gray", "node", "n_shingles", "label"][: 3 + len(columns)],
-                )
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def searched(held: pa.Table) -> Iterator[pa.RecordBatch]:
-            table, lead, part, node, size = (held[c].to_numpy() for c in ("table_no", "lead", "part", "node", "n_shingles"))
-            gray = np.frombuffer(b"".join(held["gray"].to_pylist()), dtype=np.uint8).reshape(-1, octets)
-            codes = np.packbits(gray_codes(np.unpackbits(gray, axis=1)), axis=1).view(np.uint64)
-            groups = np.cumsum(_begins(table, lead, part))
-            labels = held["label"].to_numpy() if label else None
-            for a, b in _search(groups, codes, scheme.radius, labels, size, least):
-                low, high = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
-                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["src", "dst"])
-
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            if sum(x.num_rows for x in held) >= SEARCH_ROWS:
-                whole = pa.Table.from_batches(held).combine_chunks()
-                begins = _begins(*(whole[c].to_numpy() for c in ("table_no", "lead", "part")))
-                cut = int(np.flatnonzero(begins)[-1])  # the last part may go on
-                held = whole.slice(cut).to_batches()
-                if cut:
-                    yield from searched(whole.slice(0, cut))
-        if held:
-            yield from searched(pa.Table.from_batches(held))
-
-    more = ", label bigint" if label else ""
-    dealt = sets.select("print", *columns).mapInArrow(
-        deal, f"table_no int, lead bigint, gray binary, node bigint, n_shingles bigint{more}"
-    )
-    return _placed(dealt, dealt, block_rows).mapInArrow(search, "src bigint, dst bigint").distinct()
-
-
-def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """Those of the pairs (src, dst) whose whole shingle sets have a Jaccard similarity of at least ``least``."""
+def one_of_each(docs: DataFrame, scheme: Scheme | None = None) -> DataFrame:
+    """One row of each group of near-duplicates, the same groups as ``near_duplicates``: that of the smallest ``doc_id``.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = (np.frombuffer(v.as_py(), dtype=">u8").astype(np.uint64) for v in (x, y))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                # Two empty sets are equal.
-                keep.append(both >= least * (len(a) + len(b) - both) - 1e-9)
-            yield batch.select(["src", "dst"]).filter(pa.array(keep, pa.bool_()))
-
-    nodes = materialise(pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct(), "candidate-nodes")
-    own = sets.join(broadcast_if_small(nodes), sets["row"] == nodes["node"], "left_semi")
-    own = materialise(own.select("row", "shingles"), "candidate-sets")
-    left, right = (own.select(F.col("row").alias(f"row_{k}"), F.col("shingles").alias(f"set_{k}")) for k in "ab")
-    met = pairs.join(left, F.col("src") == F.col("row_a")).join(right, F.col("dst") == F.col("row_b"))
-    return met.select("src", "dst", "set_a", "set_b").mapInArrow(run, "src bigint, dst bigint")
-
-
-def similarity_links(sets: DataFrame, distinct: DataFrame, scheme: Scheme, least: float) -> DataFrame:
-    """Links (src, dst) between sets of at least this similarity that connect all such candidates.
-
-    First some candidates, which connect them all, are compared, and classes made of those that are similar;
-    then every further candidate pair of different classes. So members of one class are not compared all with all.
+    Rows without an id stand behind all others; of rows that repeat the smallest id, or of a group without any, one stays.
+    Columns stay as they are. An empty table gives an empty table.
     """
-    some = materialise(candidates(distinct, scheme, least), "some-candidates")
-    sure = materialise(similar(some, sets, least), "some-links")
-    classes = components(sure)
-    labelled = distinct.join(classes.withColumnRenamed("node", "class_node"), F.col("node") == F.col("class_node"), "left")
-    labelled = materialise(
-        labelled.select("node", "n_shingles", "print", F.coalesce("root", "node").alias("label")), "labelled-sets"
-    )
-    rest = candidates(labelled, scheme, least, "label").join(some, ["src", "dst"], "left_anti")
-    return sure.unionByName(materialise(similar(materialise(rest, "other-candidates"), sets, least), "other-links"))
-
-
-def one_of_each(docs: DataFrame, scheme: Scheme | None = None, similarity: float = 0.8) -> DataFrame:
-    """One row of each group of near-duplicates: that of the smallest ``doc_id``.
-
-    Two documents are linked if their fingerprints meet and the Jaccard similarity of their whole
-    sets of word shingles is at least ``similarity``; a group is all that links connect.
-    Rows without an id stand behind all others; of rows that repeat the smallest id one stays.
-    """
-    scheme = scheme or wide_scheme(similarity=similarity)
-    (row,) = free_names(docs, "row_no")
+    scheme = scheme or exact_scheme()
+    own, row, mark = free_names(docs, "own_id", "row_no", "print_mark")
+    numbered = docs.withColumns({own: F.col("doc_id").cast("long"), row: F.monotonically_increasing_id()})
     # The row number is stored with the row before anything refers to it.
-    marked = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-documents")
-    sets = materialise(with_sets(marked, scheme, row), "shingle-sets")
-    distinct = sets.groupBy("set_key").agg(
-        F.min("row").alias("node"), F.min("n_shingles").alias("n_shingles"), F.min("print").alias("print"),
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"),
-    )
-    distinct = materialise(distinct, "distinct-sets")
-    linked = similarity_links(sets, distinct.select("node", "n_shingles", "print"), scheme, similarity)
-    classes = components(linked).withColumnRenamed("node", "class_node")
-    grouped = distinct.join(classes, F.col("node") == F.col("class_node"), "left")
-    first = grouped.groupBy(F.coalesce("root", "node").alias("group")).agg(F.min("first")["row"].alias("kept_row"))
-    kept = materialise(first.select(F.col("kept_row").alias(row)), "kept-rows")
-    return marked.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    stored = materialise(with_fingerprints(numbered, scheme, mark), "fingerprints")
+    first = F.struct(F.col(own).isNull().alias("no_id"), F.col(own).alias("id"), F.col(row).alias("row"))
+    distinct = materialise(stored.groupBy(F.col(mark).alias("print")).agg(F.min(first).alias("first")), "distinct-fingerprints")
+    classes = components(materialise(links(distinct.select("print"), scheme), "fingerprint-links"))
+    grouped = distinct.join(classes, distinct["print"] == classes["node"], "left")
+    firsts = grouped.groupBy(F.coalesce("root", "print").alias("group")).agg(F.min("first")["row"].alias(row))
+    kept = materialise(firsts.select(row), "kept-rows")
+    return stored.join(broadcast_if_small(kept), row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from folioflow.llm.common import free_names, map_columns, without
 from folioflow.scale import materialise
 
-KINDS = ("email", "phone", "ip", "ssn", "card", "iban", "name")
+KINDS = ("email", "phone", "ip", "ipv6", "ssn", "card", "iban", "name")
 
 # Given names by script and gender, in natural order.
 GIVEN = {
@@ -39,40 +39,111 @@ LETTERS = {
     "cyrillic": ("аеиоуыэюя", "бвгджзклмнпрстфхцчш"),
     "greek": ("αεηιουω", "βγδζθκλμνξπρστφχψ"),
 }
+# What stands before a surname, with the gender it tells, and particles within surnames.
+TITLES = {
+    "m": "Mr Herr Herrn Monsieur Señor Sr Don Signor господин".split(),
+    "f": "Mrs Ms Miss Frau Madame Mme Señora Sra Doña Signora госпожа".split(),
+    "": "Dr Prof Professor Doctor Sir Dame".split(),
+}
+PARTICLES = "al bin da de del della den der des di do dos du el la le van von y zu".split()
 _OF_NAME = {name: key for key, names in GIVEN.items() for name in names}
+_OF_NAME |= {name.upper(): key for name, key in _OF_NAME.items()}
 
 _PATTERN = re.compile(
     r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"
+    r"|(?<![\w:.])(?P<ipv6>(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:]|\.\d)"
     r"|(?<![\d.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d))(?![\d]|\.\d)"
     r"|(?<![\w-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
     r"|(?<![\w+])(?P<card>\d(?:[ -]?\d){12,18})(?![\w])"
     r"|(?<![\w])(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w])"
     r"|(?<![\w])(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![\w])"
 )
-_NAME = re.compile(r"(?<!\w)(" + "|".join(sorted(_OF_NAME, key=len, reverse=True)) + r") ([^\W\d_]{2,})(?!\w)")
+# A word that begins like a name: an initial, or letters with hyphens and apostrophes; whether it has capitals is looked at later.
+_PIECE = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
+_BEGIN = "|".join(sorted((re.escape(x) for x in _OF_NAME), key=len, reverse=True))
+_TITLE = "|".join(sorted((re.escape(x) for t in TITLES.values() for x in t), key=len, reverse=True))
+_PARTICLE = "|".join(PARTICLES)
+_NAME = re.compile(
+    rf"(?<!\w)(?:(?P<title>{_TITLE})\.? +)?(?P<given>{_BEGIN})(?!\w)(?P<rest>(?: (?:(?:{_PARTICLE}) ){{0,2}}{_PIECE}(?!\w)){{1,3}})"
+    rf"|(?<!\w)(?:(?:{_TITLE})\.? +)+(?!(?:{_TITLE})(?!\w))(?P<last>(?:(?:{_PARTICLE}) ){{0,2}}{_PIECE}(?!\w))"
+)
+_TITLED = re.compile(rf"(?<!\w)(?:{_TITLE})(?!\w)")
 _DIGIT, _OTHER_DIGIT = re.compile(r"\d"), re.compile(r"[^\D0-9]")
 _PLAIN_DIGITS = {n: str(unicodedata.decimal(chr(n))) for n in range(128, 0x110000) if chr(n).isdecimal()}
 _WORD = re.compile(r"\w+")
 
 
+def _name_span(m: re.Match) -> tuple[int, int] | None:
+    """The name in a match, as far as its words are written like names; null if there is none."""
+    if m["last"]:
+        words = m["last"].split(" ")
+        return m.span("last") if words[-1][0].isupper() and len(words[-1]) > 1 else None
+    end = m.start("rest")
+    shout = m["given"].isupper() and len(m["given"]) > 1
+    words = m["rest"][1:].split(" ")
+    at = end
+    for k, word in enumerate(words):
+        at += 1 + len(word)
+        if word in PARTICLES:
+            continue
+        # A third name follows only a short second one's pattern: names, not the next sentence.
+        if not word[0].isupper() or (shout and not word.isupper()) or (len(word) < 2 and k == len(words) - 1):
+            break
+        end = at
+        if word not in _OF_NAME:
+            break  # a surname ends the name; given names may follow each other
+    return (m.start("given"), end) if end > m.start("rest") else None
+
+
 def find_entities(text: str | None) -> list[tuple[str, int, int]]:
-    """(kind, start, end) of the entities of a text, in order and without overlap."""
+    """(kind, start, end) of the entities of a text, in order and without overlap.
+
+    A name is a listed given name, in capitals or not, with further given names, particles and a surname, or a title's surname.
+    """
     if not text:
         return []
     out = []
-    if "@" in text or _DIGIT.search(text):
+    if "@" in text or ":" in text or _DIGIT.search(text):
         # Digits of any script are found alike; each is one code point, so the spans hold for the text.
         plain = text if text.isascii() or not _OTHER_DIGIT.search(text) else text.translate(_PLAIN_DIGITS)
         out = [(m.lastgroup, *m.span()) for m in _PATTERN.finditer(plain)]
-    if not _OF_NAME.keys().isdisjoint(_WORD.findall(text)):
+    if not _OF_NAME.keys().isdisjoint(_WORD.findall(text)) or _TITLED.search(text):
         taken = [(b, e) for _, b, e in out]
-        for m in _NAME.finditer(text):
-            if m[2][0].isupper() and not any(b < m.end() and m.start() < e for b, e in taken):
-                out.append(("name", *m.span()))
+        m = _NAME.search(text)
+        while m:
+            span = _name_span(m)
+            if span and not any(b < span[1] and span[0] < e for b, e in taken):
+                out.append(("name", *span))
+            # The words behind a name may begin the next one.
+            m = _NAME.search(text, span[1] if span else m.end("given") if m["given"] else m.end())
         out.sort(key=lambda x: x[1])
     return out
 
 
+def _parts_of(name: str) -> list[str]:
+    """The words of a name that stand for a person by themselves."""
+    return [w for w in name.split(" ") if len(w) > 1 and w not in PARTICLES]
+
+
+def find_parts(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, str]]:
+    """(start, end, name) of the parts of found names that stand alone elsewhere in the text."""
+    whole: dict[str, str] = {}
+    for kind, b, e in spans:
+        if kind == "name":
+            for part in _parts_of(text[b:e]):
+                whole.setdefault(part, text[b:e])
+    if not whole:
+        return []
+    alone = re.compile(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, whole), key=len, reverse=True)) + r")(?!\w)")
+    out, k = [], 0
+    for m in alone.finditer(text):
+        while k < len(spans) and spans[k][2] <= m.start():
+            k += 1
+        if k == len(spans) or m.end() <= spans[k][1]:
+            out.append((*m.span(), whole[m[0]]))
+    return out
+
+
 # -- permutation -----------------------------------------------------------------
 
 
@@ -163,6 +234,29 @@ def _mixed_ip(permute: Permutation, value: str) -> str:
     return ".".join(reversed(out))
 
 
+def _iban_check(iban: str) -> str:
+    """The check digits of an account number, whatever stands in their place."""
+    number = "".join(str(int(c, 36)) for c in iban[4:] + iban[:2] + "00")
+    return f"{98 - int(number) % 97:02}"
+
+
+def _name_part(permute: Permutation, word: str) -> str:
+    """The surrogate of one word of a name: a given name of the same gender and script, or letters of each letter's own kind."""
+    if word in PARTICLES:
+        return word
+    if word in _OF_NAME:
+        shout = word.isupper() and word.capitalize() != word
+        script, gender = _OF_NAME[word]
+        names = [x.upper() if shout else x for x in GIVEN[script, gender]]
+        if word in names:
+            return names[permute(f"given {script} {gender}", names.index(word), len(names))]
+    alphabets = []
+    for c in word:
+        fit = next((a for kinds in LETTERS.values() for a in kinds if c.lower() in a), None)
+        alphabets.append(fit.upper() if fit and c.isupper() else fit)
+    return _by_letters(permute, "last", word, alphabets)
+
+
 def surrogate(permute: Permutation, kind: str, value: str) -> str:
     """The surrogate of an entity: same kind, shape, script and gender; one-to-one for each kind."""
     if kind == "email":
@@ -184,15 +278,15 @@ def surrogate(permute: Permutation, kind: str, value: str) -> str:
             if usual(number) == wanted:
                 return ".".join(str(x) for x in number.to_bytes(4, "big")).translate(own)
     if kind == "name":
-        given, last = value.split(" ")
-        script, gender = _OF_NAME[given]
-        names = GIVEN[script, gender]
-        given = names[permute(f"given {script} {gender}", names.index(given), len(names))]
-        alphabets = []
-        for c in last:
-            fit = next((a for a in LETTERS[script] if c.lower() in a), None)
-            alphabets.append(fit.upper() if fit and c.isupper() else fit)
-        return f"{given} {_by_letters(permute, 'last ' + script, last, alphabets)}"
+        return " ".join(_name_part(permute, w) for w in value.split(" "))
+    if kind == "ipv6":
+        groups, hexes = value.split(":"), "0123456789abcdef"
+        hexes = hexes.upper() if value.upper() == value else hexes
+        if any(c not in hexes + ":" for c in value):
+            hexes = "0123456789abcdefABCDEF"
+        head = groups[0] + ":"  # the network that the address belongs to
+        rest = value[len(head) :]
+        return head + _by_letters(permute, "ipv6" + head, rest, [None if c == ":" else hexes for c in rest])
     alphabets = _alphabets(value)
     places = [i for i, c in enumerate(value) if c.isdecimal()]
     if kind == "card":
@@ -208,6 +302,11 @@ def surrogate(permute: Permutation, kind: str, value: str) -> str:
         alphabets[:end] = [None] * end  # the country
     if kind == "iban":
         alphabets[:2] = [None, None]
+        plain = value.replace(" ", "")
+        if _iban_check(plain) == plain[2:4] and value.isascii():
+            alphabets[2:4] = [None, None]  # the check digits follow from the rest
+            body = _by_letters(permute, "iban with check digits", value, alphabets)
+            return body[:2] + _iban_check(body.replace(" ", "")) + body[4:]
     return _by_letters(permute, kind, value, alphabets)
 
 
@@ -267,7 +366,8 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """Replace all personal data in whole texts by surrogates.
 
     Adds ``surrogate_text`` and ``entities`` (kind, start, end in code points of the old text, surrogate),
-    replacing columns of these names; every row stays. The same ``key`` gives the same
+    replacing columns of these names; every row stays. Where a part of a name found in a text stands alone in it, it
+    takes that part of the name's surrogate. The same ``key`` gives the same
     surrogates in any run and any table, but for those that clash with entities of this table. Null texts stay null,
     texts without entities stay as they are. Repeated rows are treated alike; rows without an id are replaced like others. An empty table gives an empty table.
     """
@@ -306,9 +406,17 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
             if not spans:
                 return text, []
             other = {(c["kind"], c["value"]): c["surrogate"] for c in clashes or []}
+
+            def new_of(k: str, value: str) -> str:
+                return other.get((k, value)) or surrogate(permute, k, value)
+
+            new = [(b, e, k, new_of(k, text[b:e])) for k, b, e in spans]
+            for b, e, name in find_parts(text, spans):
+                # A part of a name takes the same part of its surrogate: both have as many words.
+                words = dict(zip(name.split(" "), new_of("name", name).split(" "), strict=True))
+                new.append((b, e, "name", words[text[b:e]]))
             out, entities, done = [], [], 0
-            for k, b, e in spans:
-                new = other.get((k, text[b:e])) or surrogate(permute, k, text[b:e])
+            for b, e, k, new in sorted(new):
                 out += [text[done:b], new]
                 entities.append({"kind": k, "start": b, "end": e, "surrogate": new})
                 done = e

@@ -53,6 +53,16 @@ def test_matches_brute_force_in_one_and_in_several_passes(spark, docs_frame):
         assert [got[i] for i in range(len(texts))] == want, options
 
 
+def test_a_large_benchmark_takes_one_part_per_stage(spark, docs_frame):
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(12))) for i in range(60)]
+    docs = docs_frame([(i, f"before {text} after") for i, text in items] + [(99, "clean")])
+    df = dc.decontaminate(docs, spark.createDataFrame(items, "item_id bigint, text string"), part_bytes=150)
+    assert sum(1 for _ in dc._benchmark_parts(spark.createDataFrame(items, "item_id bigint, text string"), 150)) >= 20
+    # The last part's map and the one that cuts the spans out.
+    assert df._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 2
+    assert {r["doc_id"]: r["n_hit"] for r in df.collect()} == {i: 12 for i in range(60)} | {99: 0}
+
+
 def test_spans_cut_what_is_hit_and_nothing_else(spark, docs_frame):
     passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
     bench = spark.createDataFrame([(1, passage)], "item_id bigint, text string")
@@ -81,7 +91,10 @@ def test_index_finds_all_places():
 def test_edge_rows(spark, docs_frame):
     bench = spark.createDataFrame([(1, "one two"), (1, "one two"), (None, "x")], "item_id bigint, text string")
     rows = [(1, None, "a"), (None, "", "b"), (2, "ONE two three", "c"), (2, "ONE two three", "c")]
-    df = dc.decontaminate(docs_frame(rows, ", spans string"), bench)
+    # Columns of the operator's own names stay, those of its results are replaced.
+    df = docs_frame(rows, ", spans string").selectExpr("*", "1 AS found_words", "'y' AS found_spans", "2 AS found_items")
+    df = dc.decontaminate(df, bench)
+    assert {(r["found_words"], r["found_spans"], r["found_items"]) for r in df.collect()} == {(1, "y", 2)}
     got = sorted((r["doc_id"] or 0, r["n_words"], r["n_hit"], r["n_items"], r["clean_text"]) for r in df.where("text is not null").collect())
     assert got == [(0, 0, 0, 0, ""), (2, 3, 2, 1, " three"), (2, 3, 2, 1, " three")]
     assert dc.decontaminate(docs_frame([]), bench).collect() == []

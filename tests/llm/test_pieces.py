@@ -64,12 +64,28 @@ def test_cuts_cross_no_piece(model):
 
 def test_edge_rows(docs_frame, model):
     rows = [(1, None, 1), (2, "", 2), (None, "a b", 3), (2, "", 2), (4, "▁ mark", 4)]
-    df = pieces.encode(docs_frame(rows, ", ids int"), model, carry=["doc_id"])
+    df = docs_frame(rows, ", ids int").selectExpr("*", "1 AS digest", "2 AS _digest", "3 AS n_codes", "'x' AS unit")
+    df = pieces.encode(df, model, carry=["doc_id", "ids", "digest", "_digest", "n_codes", "unit"])
+    assert df.columns == ["doc_id", "digest", "_digest", "n_codes", "unit", "ids", "n_ids", "round_trip"]
     got = sorted((r["doc_id"] or 0, r["n_ids"] > 0, r["round_trip"]) for r in df.collect())
     assert got == [(0, True, True), (1, False, True), (2, False, True), (2, False, True), (4, True, False)]
     assert pieces.encode(docs_frame([]), model).collect() == []
 
 
+def test_long_runs_without_spaces_have_the_library_s_ids(docs_frame, unigram):
+    model, library = unigram
+    rng = random.Random(8)
+    rows = [
+        "ab" * 1500, "-" * 3000, "=" * 513, " " * 1200, "x" * 512, "y" * 511, "abcdefghij" * 2000, "🙂ꙮ" * 700, "日本語" * 600,
+        "".join(rng.choice("0123456789abcdef") for _ in range(20_000)), "".join(rng.choice("aeiounrst") for _ in range(6000)) + " end",
+        "a" * 100_000, "-" * 100_000,
+    ]
+    got = {r["doc_id"]: r for r in pieces.encode(docs_frame(list(enumerate(rows))), model).collect()}
+    for i, text in enumerate(rows):
+        assert list(got[i]["ids"]) == library.encode(text), text[:20]
+        assert got[i]["round_trip"]
+
+
 def test_long_texts(docs_frame, model):
     rows = [(1, "word " * 60_000), (2, "abcdefghij" * 300)]
     got = {r["doc_id"]: r for r in pieces.encode(docs_frame(rows), model).collect()}

@@ -44,9 +44,13 @@ def test_edge_rows(spark, docs_frame):
     rng = random.Random(0)
     rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(9)) + (" bad" if i % 3 == 0 else " fine"), "x") for i in range(60)]
     labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(60)] + [(None, 1, 0), (5, None, None), (99, 1, 0), (4, 1, 0)], "doc_id bigint, quality int, toxic int")
-    docs = docs_frame([*rows, (70, None, "n"), (None, "", None)], ", keep string")
+    docs = docs_frame([*rows, (70, None, "n"), (None, "", None)], ", keep string").selectExpr("*", "1 AS grade", "'y' AS label_doc")
     model = quality.train(docs, labels)
+    # Rows that repeat an id do not change the model, whatever their order.
+    again = quality.train(docs.unionByName(docs).repartition(5), labels)
+    assert np.array_equal(again.weights, model.weights) and np.array_equal(again.thresholds, model.thresholds)
     got = {r["doc_id"]: r for r in quality.rate(docs, model).collect()}
+    assert all((r["grade"], r["label_doc"]) == (1, "y") for r in got.values())
     assert len(got) == 62 and all(0 <= r["expected_grade"] <= 2 for r in got.values())
     assert sum(got[i]["keep"] == (i % 3 != 0) for i in range(60)) >= 57
     empty = quality.train(docs.limit(0), labels)

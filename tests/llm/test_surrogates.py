@@ -72,3 +72,100 @@ def test_digits_of_any_script_keep_their_script(docs_frame):
     assert len(image) == 2560 and all(s.find_entities(x) == [("ip", 0, len(x))] for x in image)
     rows = s.replace_entities(docs_frame([(1, "٤١١١١١١١١١١١١١١١")]), "k").collect()
     assert len(rows) == 1 and rows[0]["surrogate_text"] != "٤١١١١١١١١١١١١١١١"
+
+
+def names_in(text):
+    return [text[b:e] for k, b, e in s.find_entities(text) if k == "name"]
+
+
+def test_names_by_shape_and_context():
+    found = {
+        "ANNA SMITH was here": ["ANNA SMITH"],
+        "dear Mr. Smith, hello": ["Smith"],
+        "Frau Dr. von Braun came": ["von Braun"],
+        "Herr von Braun came": ["von Braun"],
+        "Anna O'Brien and Anna Maria Smith left": ["Anna O'Brien", "Anna Maria Smith"],
+        "José García-López, María": ["José García-López"],
+        "Carlos de la Vega spoke": ["Carlos de la Vega"],
+        "Анна Smith or Maria Петрова": ["Анна Smith", "Maria Петрова"],
+        "Anna went home": [],
+        "Maria said. Then Smith": [],
+        "Mr. and more": [],
+        "ANNA went": [],
+        "Anna B. Smith": [],
+    }
+    assert {t: names_in(t) for t in found} == found
+
+
+def test_parts_of_a_found_name_are_replaced_alike(docs_frame):
+    text = "Anna Maria Smith-Jones met Peter Brown. Later Smith-Jones told Anna that Brown left; the brown Annapolis and Browning stay."
+    row = s.replace_entities(docs_frame([(1, text)]), "k").first()
+    new = row["surrogate_text"]
+    whole, other = [e["surrogate"] for e in row["entities"]][:2]
+    first, _, last = whole.split(" ")
+    assert f"Later {last} told {first} that {other.split(' ')[1]} left; the brown Annapolis and Browning stay." in new
+    for part in ("Anna Maria", "Smith", "Jones", "Peter", "Brown "):
+        assert part not in new
+
+
+def test_every_letter_keeps_its_script():
+    permute = s.Permutation("k")
+    for name in ("Анна Smith", "Maria Петрова", "ANNA SMITH", "Γεώργιος Παππας", "Anna O'Brien", "Carlos de la Vega"):
+        new = s.surrogate(permute, "name", name)
+        assert len(new.split(" ")) == len(name.split(" ")) and new != name
+        for a, b in zip(name.split(" "), new.split(" "), strict=True):
+            assert a == b if a in s.PARTICLES else a != b
+            assert a.isupper() == b.isupper() and ("а" <= a[-1].lower() <= "я") == ("а" <= b[-1].lower() <= "я")
+
+
+def test_account_numbers_keep_valid_check_digits_and_stay_distinct():
+    permute = s.Permutation("k")
+    good = "DE89 3704 0044 0532 0130 00"
+    assert s._iban_check(good.replace(" ", "")) == "89"
+    images = set()
+    for n in range(500):
+        body = f"DE00{370400440532013000 + n:018d}"
+        iban = body[:2] + s._iban_check(body) + body[4:]
+        new = s.surrogate(permute, "iban", iban)
+        assert new != iban and new[2:4] == s._iban_check(new) and new[:2] == "DE" and len(new) == len(iban)
+        images.add(new)
+    assert len(images) == 500
+    assert [x[0] for x in s.find_entities(good)] == ["iban"] and s.surrogate(permute, "iban", good)[4] == " "
+
+
+def test_addresses_of_the_longer_kind():
+    permute = s.Permutation("k")
+    for value in ("2001:db8:85a3:0:0:8a2e:370:7334", "fe80::1ff:fe23:4567:890a", "2001:DB8::1"):
+        assert s.find_entities(f"at {value}, see") == [("ipv6", 3, 3 + len(value))]
+        new = s.surrogate(permute, "ipv6", value)
+        assert new != value and s.find_entities(new) == [("ipv6", 0, len(new))] and new.split(":")[0] == value.split(":")[0]
+    for text in ("std::vector", "12:30:45", "a::b::c", "10:20"):
+        assert [k for k, _, _ in s.find_entities(text)] == []
+
+
+def test_nothing_found_survives_in_any_document(docs_frame):
+    """Over a table: no found value, and no part of a found name, is left; different values stay different."""
+    import random
+
+    rng = random.Random(2)
+    given = [n for names in s.GIVEN.values() for n in names]
+    people = [f"{rng.choice(given)} {rng.choice(['Lopez', 'Braun', 'Смирнов', 'Keller', 'Vega-Ruiz'])}{rng.choice(['', 'a', 'en'])}" for _ in range(60)]
+    values = people + [f"u{i}@mail{i % 7}.example.org" for i in range(40)] + [f"{100 + i}-{10 + i % 80}-{1000 + i}" for i in range(40)]
+    rows = [(rng.choice([None, i]), " and ".join(rng.choice(values) for _ in range(8)) + ".") for i in range(120)]
+    rows = [(i, t + " Later " + t.split(" ")[1] + " came") for i, t in rows]
+    got = s.replace_entities(docs_frame(rows), "k").collect()
+    pairs = {}
+    for r in got:
+        old, new = r["text"], r["surrogate_text"]
+        for e in r["entities"]:
+            value = old[e["start"] : e["end"]]
+            assert e["surrogate"] != value
+            pairs.setdefault((e["kind"], value), set()).add(e["surrogate"])
+            words = new.replace(".", " ").split()
+            if e["kind"] != "name":
+                assert value not in new.split()
+            elif not any(w in x["surrogate"].split() for x in r["entities"] for w in value.split()):
+                assert not set(value.split()) & set(words)
+    whole = {k: v for k, v in pairs.items() if k[0] != "name" or " " in k[1]}
+    assert all(len(v) == 1 for v in whole.values())
+    assert len({(k[0], *v) for k, v in whole.items()}) == len(whole)
