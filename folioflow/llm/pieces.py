@@ -329,47 +329,49 @@ def _viterbi(edges: Column) -> Column:
     return F.aggregate(settled, last, follow, lambda s: F.reverse(s["ids"]))
 
 
-def _viterbi_in_blocks(edges: Column, block: int) -> Column:
-    """The same for long units: the fold holds the places of the last two blocks open, and files a full block away.
+def _viterbi_in_blocks(blocks: Column) -> Column:
+    """The same for long units, over their edges in blocks of places.
 
-    No piece reaches further back than a block, so each edge finds its begin among the open places.
+    A fold copies its state at every step. So the fold over a block's edges holds the places of that block and the one before
+    (no piece reaches further back), and only the fold over the blocks holds all places.
     """
-    filed = F.array().cast(f"array<{_NODES}>")
-    start = F.struct(filed.alias("filed"), F.array().cast(_NODES).alias("done"), _origin().alias("best"))
+    start = F.struct(F.array().cast(f"array<{_NODES}>").alias("filed"), F.array().cast(_NODES).alias("done"), _origin().alias("best"))
+
+    def settle(held: Column, block: Column) -> Column:
+        before = F.size(held["done"])
+        gone = F.size(held["filed"]) * LONG_UNIT - before
+
+        def step(state: Column, edge: Column) -> Column:
+            done, best, begin = state["done"], state["best"], _begin(edge["place"]) - gone
+            first = F.size(done) + gone < _end(edge["place"])
+            path = _through(edge, F.when(begin == F.size(done), best["score"]).otherwise(F.get(done, begin)["score"]))
+            return F.struct(
+                F.when(first, F.array_append(done, best)).otherwise(done).alias("done"),
+                F.when(first, path).otherwise(F.greatest(best, path)).alias("best"),
+            )
 
-    def step(state: Column, edge: Column) -> Column:
-        done, best = state["done"], state["best"]
-        gone = F.size(state["filed"]) * block
-        begin = _begin(edge["place"]) - gone
-        first = F.size(done) + gone < _end(edge["place"])
-        full = first & (F.size(done) == 2 * block - 1)
-        path = _through(edge, F.when(begin == F.size(done), best["score"]).otherwise(F.get(done, begin)["score"]))
-        kept = F.array_append(F.slice(done, block + 1, block), best)
-        return F.struct(
-            F.when(full, F.array_append(state["filed"], F.slice(done, 1, block))).otherwise(state["filed"]).alias("filed"),
-            F.when(full, kept).when(first, F.array_append(done, best)).otherwise(done).alias("done"),
-            F.when(first, path).otherwise(F.greatest(best, path)).alias("best"),
-        )
+        def file(state: Column) -> Column:
+            own = F.slice(state["done"], before + 1, F.size(state["done"]) - before)
+            return F.struct(F.array_append(held["filed"], own).alias("filed"), own.alias("done"), state["best"].alias("best"))
+
+        return F.aggregate(block["edges"], F.struct(held["done"].alias("done"), held["best"].alias("best")), step, file)
 
     def follow(state: Column, node: Column) -> Column:
-        place, ids = F.negative(node["back"]), state["ids"]
-        full = F.size(ids) == block
-        more = F.when(full, F.array(_taken(place))).otherwise(F.array_append(ids, _taken(place)))
-        taken = F.struct(
-            F.when(full, F.array_append(state["filed"], ids)).otherwise(state["filed"]).alias("filed"),
-            more.alias("ids"),
-            _begin(place).alias("at"),
-        )
+        place = F.negative(node["back"])
+        taken = F.struct(_begin(place).alias("at"), F.array_append(state["ids"], _taken(place)).alias("ids"))
         return F.when((_end(place) == state["at"]) & (_end(place) > 0), taken).otherwise(state)
 
-    settled = F.aggregate(
-        edges, start, step, lambda s: F.reverse(F.flatten(F.array_append(s["filed"], F.array_append(s["done"], s["best"]))))
-    )
-    none = F.array().cast("array<int>")
-    last = F.struct(
-        F.array().cast("array<array<int>>").alias("filed"), none.alias("ids"), _end(F.element_at(edges, -1)["place"]).alias("at")
-    )
-    return F.aggregate(settled, last, follow, lambda s: F.reverse(F.flatten(F.array_append(s["filed"], s["ids"]))))
+    def follow_block(held: Column, nodes: Column) -> Column:
+        empty = F.struct(held["at"].alias("at"), F.array().cast("array<int>").alias("ids"))
+        return F.aggregate(
+            F.reverse(nodes), empty, follow,
+            lambda s: F.struct(s["at"].alias("at"), F.array_append(held["parts"], s["ids"]).alias("parts")),
+        )
+
+    settled = F.aggregate(blocks, start, settle, lambda s: F.reverse(F.array_append(s["filed"], F.array(s["best"]))))
+    end = _end(F.element_at(F.element_at(blocks, -1)["edges"], -1)["place"])
+    last = F.struct(end.alias("at"), F.array().cast("array<array<int>>").alias("parts"))
+    return F.aggregate(settled, last, follow_block, lambda s: F.reverse(F.flatten(s["parts"])))
 
 
 def _grouped(edges: DataFrame, key: str) -> DataFrame:
@@ -413,8 +415,11 @@ def encode_long_units(units: DataFrame, model: Model) -> DataFrame:
         ),
     )
     texts = marked.select("mark", F.explode(blocks).alias("block")).select("mark", "block.base", "block.s")
-    grouped = _grouped(_edges(texts, "mark", LONG_UNIT, units.sparkSession, model), "mark")
-    paths = grouped.select(F.col("mark").alias("path"), _viterbi_in_blocks(F.col("edges"), LONG_UNIT).alias("ids"))
+    edges = _edges(texts, "mark", LONG_UNIT, units.sparkSession, model)
+    block = F.floor((_end(F.col("edge.place")) - 1) / LONG_UNIT).cast("int")
+    filed = edges.groupBy("mark", block.alias("block")).agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+    grouped = filed.groupBy("mark").agg(F.array_sort(F.collect_list(F.struct("block", "edges")), lambda x, y: x["block"] - y["block"]).alias("blocks"))
+    paths = grouped.select(F.col("mark").alias("path"), _viterbi_in_blocks(F.col("blocks")).alias("ids"))
     met = marked.join(paths, F.col("mark") == F.col("path")).withColumn("chars", F.split("unit", ""))
     return met.select("unit", _spelled(F.col("ids"), lambda i: F.element_at("chars", -i), model).alias("ids"))
 

@@ -120,7 +120,7 @@ def test_edge_rows(docs_frame):
 
 
 def test_one_of_each_group_stays(docs_frame):
-    rows = list(enumerate(texts(250, seed=5))) + [(3, "again, the id of another text")] * 2 + [(None, "w1 w2 nobody's"), (None, "w1 w2 nobody's")]
+    rows = list(enumerate(texts(250, seed=5))) + [(400, "a row that stands here twice")] * 2 + [(None, "w1 w2 nobody's"), (None, "w1 w2 nobody's")]
     random.Random(1).shuffle(rows)
     df = docs_frame(rows)
     groups = {}
