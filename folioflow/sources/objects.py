@@ -12,7 +12,10 @@ from folioflow.sources.object_files import ObjectFiles
 
 
 def objects_scan(spark: SparkSession, path: str, zone: str) -> DataFrame:
-    """Files below a folder as objects of a zone, named by their path within the folder."""
+    """Files below a folder as objects of a zone, named by their path within the folder.
+
+    Spark's reader leaves out files without a byte.
+    """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     )

@@ -15,8 +15,8 @@ from folioflow.plans.transform import (
     transform_job,
 )
 from folioflow.scale import scratch_path
-from folioflow.schema import PROCESSED_RECORDS
-from folioflow.sources import objects, tables
+from folioflow.schema import PROCESSED_RECORDS, PROCESSED_ZONE
+from folioflow.sources.store import Collection
 from folioflow.streaming import incremental
 from tests.test_records import content, rec, record_rows
 from workload import fixtures as fx
@@ -36,6 +36,10 @@ def test_process_files(spark):
     assert [bytes(r.new_content) == page for r in got] == [False, True, True, True, False, True, False]
 
 
+def processed_collection(spark):
+    return Collection(spark, scratch_path(spark, "t"), PROCESSED_ZONE, PROCESSED_RECORDS, 2)
+
+
 def small_zone(spark):
     r = record_rows(
         spark, rec("a", mime_type="text/html", file_path="landing-zone/a.html", file_hash="0"), rec("b"), rec("gone"), rec("x", mime_type=None),
@@ -68,21 +72,23 @@ def test_transform_keeps_extra_columns(spark):
 
 def test_nothing_selected(spark):
     r, o = small_zone(spark)
-    path = scratch_path(spark, "t")
-    stats = publish_transform(transform_job(r, o, "2020-01-01", "2020-01-31", AS_OF), f"{path}/r", f"{path}/o")
+    target = processed_collection(spark)
+    stats = publish_transform(transform_job(r, o, "2020-01-01", "2020-01-31", AS_OF), target)
     assert tuple(stats.collect()[0]) == (0, 0, 0, 0)
+    assert target.records().count() == target.objects.objects().count() == 0
 
 
 def test_reruns_append_unless_existing_are_skipped(spark):
     r, o = small_zone(spark)
-    path = scratch_path(spark, "t")
+    target = processed_collection(spark)
     run = lambda **kw: transform_job(r, o, "2024-01-01", "2024-12-31", AS_OF, **kw)
     for _ in range(2):
-        stats = publish_transform(run(), f"{path}/r", f"{path}/o").collect()[0]
+        stats = publish_transform(run(), target).collect()[0]
         assert tuple(stats) == (6, 2, 2, 2)
-    done = tables.records_scan(spark, f"{path}/r", PROCESSED_RECORDS)
+    assert [tuple(x)[1:] for x in target.log.counts().select("run", *stats.__fields__).collect()] == [(6, 2, 2, 2)] * 2
+    done = target.records()
     assert sorted(x.identifier for x in done.collect()) == ["a", "a", "b", "b"]
-    stored = objects.objects_table(spark, f"{path}/o").select("zone", "object_name").collect()
+    stored = target.objects.listing().select("zone", "object_name").collect()
     assert len(stored) == len(set(stored)) == 2
     again = run(processed=done, skip_existing=True)
     assert {x.identifier for x in again.collect()} == {"gone", "broken", "x", ""}
@@ -125,14 +131,47 @@ def test_audit(spark):
     r, o = small_zone(spark)
     out = transform_job(r, o, "2024-01-01", "2024-12-31", AS_OF)
     done, new = processed_records(out), processed_objects(out)
-    report = {x.check_name: (x.n_checked, x.n_failed, x.passed) for x in audit_job(r, done, o.unionByName(new)).collect()}
+    zones = o.unionByName(new)
+    report = {x.check_name: (x.n_checked, x.n_failed, x.passed) for x in audit_job(r, done, zones).collect()}
     assert report["processed"] == (8, 6, False) and report["object_present"] == (2, 0, True)
     assert report["html_changed"] == (1, 0, True) and report["children_complete"] == (0, 0, True)
+    assert report["quality_gate"] == (7, 5, False) and report["processed_hash"] == (2, 0, True)
+    assert report["html_clean"] == (1, 0, True) and report["html_shrunk"] == (1, 0, True)
+    # Five records have a document on file; only that of "a" has a recorded hash, and that is another one.
+    assert report["landing_hash"] == (5, 1, False)
+    lenient = audit_job(r, done, zones, quality=2 / 7).where("check_name = 'quality_gate'").collect()[0]
+    assert lenient.passed
+    spoiled = new.withColumn("content", F.concat("content", F.lit(b"<nav>")))
+    bad = {x.check_name: x.n_failed for x in audit_job(r, done, o.unionByName(spoiled)).collect()}
+    assert bad["processed_hash"] == 2 and bad["html_clean"] == 1
     lost = audit_job(r, done, o).where("check_name = 'object_present'").collect()[0]
     assert (lost.n_failed, lost.passed) == (2, False)
     assert {x.zone: x.n_objects for x in zone_report(o).collect()} == {"landing-zone": 4}
 
 
+def test_audit_reads_each_input_once(spark, monkeypatch):
+    from folioflow.plans import audit
+
+    r, o = small_zone(spark)
+    out = transform_job(r, o, "2024-01-01", "2024-12-31", AS_OF)
+    inputs = {}
+    for name, df in {"r": r, "p": processed_records(out), "o": o.unionByName(processed_objects(out))}.items():
+        inputs[name] = scratch_path(spark, name)
+        df.write.parquet(inputs[name])
+    plans = []
+    write = audit.materialise
+    monkeypatch.setattr(audit, "materialise", lambda df, name: plans.append(plan_of(df)) or write(df, name))
+    tables = [spark.read.parquet(p) for p in inputs.values()]
+    plans.append(plan_of(audit.audit_job(*tables)))
+    for path in inputs.values():
+        assert sum(plan.count(path.split("/")[-1]) for plan in plans) == 1
+    assert "ArrowEvalPython" not in "".join(plans)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 # -- incremental ---------------------------------------------------------------------------
 
 
@@ -166,12 +205,45 @@ def test_stream_dedup(spark):
     path = scratch_path(spark, "s")
     items = fx.scraped_items(spark, SF).withColumn("ts", F.col("partition_date").cast("timestamp"))
     stream = write_files(items, f"{path}/in", 3)
-    for i, kept in enumerate([incremental.stream_dedup(stream), incremental.stream_dedup(stream, "identifier", ("ts", "400 days"))]):
+    for i, kept in enumerate([incremental.stream_dedup(stream, unbounded=True), incremental.stream_dedup(stream, "identifier", ("ts", "400 days"))]):
         kept.writeStream.format("parquet").option("path", f"{path}/out{i}").option("checkpointLocation", f"{path}/c{i}").trigger(
             availableNow=True
         ).start().awaitTermination()
         got = [r.identifier for r in spark.read.parquet(f"{path}/out{i}").collect()]
         assert sorted(got) == sorted({r.identifier for r in items.collect()})
+    with pytest.raises(ValueError):
+        incremental.stream_dedup(stream)
+
+
+def test_the_earliest_row_wins_though_it_arrives_later(spark):
+    path = scratch_path(spark, "s")
+    schema = "identifier string, ts timestamp, n int"
+    hour = lambda h, m=0: datetime(2024, 1, 1, h, m)
+    files = [
+        [("a", hour(5), 1), ("b", hour(6), 2), ("n", None, 0)],
+        [("a", hour(4), 3), ("a", hour(4, 30), 4)],  # the earlier one arrives later
+        [("c", hour(12), 5)],  # the watermark passes a and b
+        [("a", hour(9), 6), ("d", hour(13), 7)],  # a duplicate of a winner that is still remembered
+        [("e", hour(23), 8)],  # everything before is settled, and a to d forgotten
+        [("z", datetime(2024, 1, 9), 9)],
+        [("y", datetime(2024, 1, 20), 10)],
+    ]
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+        won = incremental.stream_first_wins(stream, "ts", "3 hours", 5 * 3_600_000)
+        query = won.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/c")
+        query = query.trigger(availableNow=True).start()
+        query.awaitTermination()
+        return [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+
+    sizes = []
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        sizes += run()
+    got = sorted((r.identifier, r.ts, r.n) for r in spark.read.schema(schema).parquet(f"{path}/out").collect())
+    assert got == [("a", hour(4), 3), ("b", hour(6), 2), ("c", hour(12), 5), ("d", hour(13), 7), ("e", hour(23), 8), ("z", datetime(2024, 1, 9), 9)]
+    assert max(sizes) >= 3 and sizes[-1] <= 2
 
 
 def test_stream_transform_equals_batch(spark):
@@ -186,9 +258,9 @@ def test_stream_transform_equals_batch(spark):
 
 def test_objects_written_by_publish(spark):
     r, o = small_zone(spark)
-    path = scratch_path(spark, "t")
-    publish_transform(transform_job(r, o, "2024-01-01", "2024-12-31", AS_OF), f"{path}/r", f"{path}/o")
-    got = objects.objects_table(spark, f"{path}/o").orderBy("object_name").collect()
+    target = processed_collection(spark)
+    publish_transform(transform_job(r, o, "2024-01-01", "2024-12-31", AS_OF), target)
+    got = target.objects.objects().orderBy("object_name").collect()
     assert [(x.zone, x.object_name, bytes(x.content), x.content_type, x.length) for x in got] == [
         ("processed", "a.html", b"<main>x</main>", "text/html", 14), ("processed", "b.pdf", b"B", "application/pdf", 1),
     ]

@@ -1,6 +1,7 @@
 """Partitions and search tasks."""
 
-from datetime import date, timedelta
+import random
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,3 +88,35 @@ def test_ranges_in_a_table(spark):
     )
     got = sorted((r.k, r.partition_date) for r in planning.partitions_of(df, "s", "e").collect())
     assert got == [("a", date(2024, 1, 1)), ("a", date(2024, 2, 1))]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_assign_interval(spark):
+    """Uneven intervals, gaps, overlaps, bounds, times before 1970, rows without a time."""
+    rng = random.Random(3)
+    base = datetime(1969, 12, 20)
+    grid = [(f"g{i}", base + timedelta(minutes=rng.randrange(60_000)), rng.choice([0, 1, 7, 90, 4000, 50_000])) for i in range(60)]
+    grid = [(g, a, a + timedelta(minutes=m)) for g, a, m in grid] + [("us", base, base + timedelta(microseconds=1)), ("back", base, base - timedelta(days=9))]
+    times = [g[1] for g in grid] + [g[2] for g in grid] + [base + timedelta(seconds=rng.randrange(4_000_000)) for _ in range(200)]
+    rows = [(i, t) for i, t in enumerate(times + times[:20] + [None, None])]
+    got = planning.assign_interval(
+        spark.createDataFrame(rows, "id int, ts timestamp").repartition(3), "ts",
+        spark.createDataFrame(grid, "g string, a timestamp, b timestamp"), "a", "b",
+    )
+    want = []
+    for i, t in rows:
+        held = [g for g, a, b in grid if t is not None and a <= t < b]
+        want += [(i, g) for g in held] or [(i, None)]
+    assert sorted((r.id, str(r.g)) for r in got.collect()) == sorted((i, str(g)) for i, g in want)
+    plan = plan_of(got)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert [c for c in got.columns if c.startswith("_")] == []
+
+
+def test_assign_interval_to_an_empty_grid(spark):
+    rows = spark.createDataFrame([(1, datetime(2024, 1, 1))], "id int, ts timestamp")
+    none = spark.createDataFrame([], "g string, a timestamp, b timestamp")
+    assert [(r.id, r.g) for r in planning.assign_interval(rows, "ts", none, "a", "b").collect()] == [(1, None)]

@@ -61,10 +61,10 @@ def test_required_fields(spark):
 
 
 def test_object_exists(spark):
-    listing = spark.createDataFrame([("z", "a"), ("z", "a")], "zone string, object_name string")
-    keys = spark.createDataFrame([("a",), ("b",), (None,)], "object_name string")
-    got = {r.object_name: r.found for r in filters.object_exists(keys, listing).collect()}
-    assert got == {"a": True, "b": False, None: False}
+    listing = spark.createDataFrame([("z", "a"), ("z", "a"), ("y", "b")], "zone string, object_name string")
+    keys = spark.createDataFrame([("z", "a"), ("z", "b"), ("y", "b"), ("z", None), (None, "a")], "zone string, object_name string")
+    got = {(r.zone, r.object_name): r.found for r in filters.object_exists(keys, listing).collect()}
+    assert got == {("z", "a"): True, ("z", "b"): False, ("y", "b"): True, ("z", None): False, (None, "a"): False}
 
 
 ITEMS = [("a", 3), ("a", 1), ("b", 2), ("c", 4), ("c", 5), ("d", 6)]
@@ -89,6 +89,16 @@ def test_new_records(spark, retry, new):
     assert sorted(got + rest) == sorted(ITEMS)
 
 
+def test_items_that_tie_are_new_or_duplicate_once(spark):
+    items = spark.createDataFrame([("a", 1, f"x{i}") for i in range(40)], "identifier string, n int, extra string")
+    for parts in (1, 6):
+        new, rest = records.new_records(items.repartition(parts), spark.createDataFrame([], "identifier string, status string"), order_cols=["n"])
+        got = [r.extra for r in new.collect()] + [r.extra for r in rest.collect()]
+        assert sorted(got) == sorted(f"x{i}" for i in range(40))
+        first = got[0] if parts == 1 else first
+        assert got[0] == first
+
+
 def test_feed_rows(spark):
     new = spark.createDataFrame([("a", "extracted", "p"), ("b", "error", None)], "identifier string, status string, file_path string")
     old = spark.createDataFrame([("c",)], "identifier string")
@@ -253,6 +263,22 @@ def test_update_first_match(spark):
     assert [f for f in spark.read.parquet(path).inputFiles() if "2024-03-01" in f] == untouched
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_update_chooses_by_keys_and_joins_once(spark):
+    path = scratch_path(spark, "t")
+    hot = [rec("hot", created_at=datetime(2024, 1, 1 + i % 28), doc_link=f"http://x.test/{i}", file_path=f"z/{i:03d}") for i in range(200)]
+    tables.records_append(record_rows(spark, *hot, rec("b")), path)
+    updates = spark.createDataFrame([("hot", "error"), ("b", "error")], "identifier string, status string")
+    out = tables.records_update(tables.records_scan(spark, path), updates, AS_OF)
+    plan = plan_of(out)
+    assert plan.count("Scan ") <= 3 and plan.count("Exchange ") <= 3
+    changed = sorted((r.identifier, r.file_path) for r in out.where("was_updated").collect())
+    assert changed == [("b", "landing-zone/b.pdf"), ("hot", "z/000")] and out.count() == 201
+
+
 def test_objects_upsert(spark):
     old = content(spark, ("a", b"1"), ("b", b"2"))
     new = content(spark, ("b", b"33"), ("b", b"4"), ("c", b"5"))
@@ -272,6 +298,12 @@ def test_object_files(spark, tmp_path):
         assert [(r.url.endswith("/sub/b.html"), r.html) for r in got] == [(True, "<p>b")]
 
 
+def test_pages_of_several_lines_stay_whole(spark, tmp_path):
+    (tmp_path / "a.html").write_bytes(b"<p>\n\r\n<p>b\n")
+    for fmt in ("text", "binaryFile"):
+        assert [r.html for r in pages.pages_scan(spark, str(tmp_path), fmt).collect()] == ["<p>\n\r\n<p>b\n"]
+
+
 @pytest.mark.parametrize("fmt", ["json", "csv", "xml"])
 def test_feed_export(spark, fmt):
     rows = spark.createDataFrame([("a", "x,\"y\"\nz", 1), ("b", None, 2)], "identifier string, description string, page_no long")
