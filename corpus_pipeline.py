@@ -37,9 +37,9 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: sets of five-word shingles with a Jaccard similarity of 0.8 or more."""
+    """One document of each group that fingerprints of three-word shingles with two differing bits or fewer connect."""
     tune(spark)
-    return simhash.one_of_each(docs, simhash.wide_scheme(shingle=5, similarity=0.8))
+    return simhash.one_of_each(docs, simhash.exact_scheme(shingle=3, radius=2))
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ STAGES = [
     ("sentencepiece", encode_pieces),
 ]
 
-#: A fitted classifier and hashed shingles are beyond SQL; tests hold the stages against brute force.
+#: A fitted classifier and majority fingerprints are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
