@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The field names of METADATA and RECORDS are the data contract.
 METADATA = T.StructType(
     [
         T.StructField("page", T.IntegerType()),
