@@ -4,8 +4,8 @@ Two sets of similarity t or more share a token among the first few of each, what
 order the tokens stand in. Here the orders put tokens of rare buckets first and
 break ties by hashes of their own. The first order finds the candidates: its prefix tokens are
 dealt out, tokens that stand alone are left behind, and those that meet are compared by size and by parity
-bits of the whole sets, whose difference never exceeds that of the sets. Before a pair is verified
-it must share prefix tokens in the other orders, too.
+bits of the whole sets, whose difference never exceeds that of the sets: first some, then as many as the sets have
+tokens. Before what is left is verified it must share prefix tokens in the other orders, too.
 
 Equal sets are one class from the start. First each class is verified with its nearest
 candidates only; then all candidates that those links left in different components. So copies of one text never
@@ -26,7 +26,6 @@ from pyspark.sql import types as T
 
 from folioflow.llm.common import map_columns, without
 from folioflow.llm.components import components
-from folioflow.llm.simhash import shingle_set
 from folioflow.scale import broadcast_if_small, materialise
 
 #: Buckets whose loads tell rare tokens from frequent ones; a byte each goes to the tasks, at any size.
@@ -35,7 +34,7 @@ BUCKETS = 1 << 20
 LOAD_PARTS = 16
 #: Orders beyond the first that a pair must pass.
 MORE_ORDERS = (1, 2)
-#: Parity bits of a set.
+#: Parity bits of a set that travel with its tokens; the sieve has as many as the set has tokens, at least these.
 PARITY = 512
 #: Shared prefix tokens of a set that decide where a pair is reported.
 LOWS = 8
@@ -49,6 +48,57 @@ SEARCH_ROWS = 1 << 14
 
 # -- sets and orders ------------------------------------------------------------------
 
+_WHITE = np.zeros(256, dtype=bool)
+_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_MASKS = np.array([0] + [(1 << 8 * k) - 1 for k in range(1, 9)], dtype=np.uint64)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _joined(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hashes of phrases with one more word each."""
+    h = (phrase ^ (phrase >> np.uint64(31))) * _ODD + word
+    return h ^ (h >> np.uint64(29))
+
+
+def _word_hashes(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of words of ``data``, eight bytes at a time; it ends with eight bytes more than its words."""
+    window = np.ndarray((max(len(data) - 7, 0),), dtype="<u8", buffer=data, strides=(1,))
+    h = size.astype(np.uint64)
+    live, k = np.arange(len(begin)), 0
+    while len(live):
+        part = window[begin[live] + k] & _MASKS[np.minimum(size[live] - k, 8)]
+        h[live] = _joined(h[live], part * _ODD)
+        k += 8
+        live = live[size[live] > k]
+    return h
+
+
+def token_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
+    """The hashes of each text's different shingles, in order; of a text with fewer words, that of all of them."""
+    raw = [(t or "").encode() for t in texts]
+    data = _LOWER[np.frombuffer(b" ".join([*raw, b" " * 8]), dtype=np.uint8)]
+    inside = ~_WHITE[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    edges = np.concatenate(([0], edges)) if inside[:1].any() else edges
+    begin, end = edges[::2], edges[1::2]
+    own = _word_hashes(data, begin, end - begin)
+    grams = own
+    for k in range(1, words):
+        grams = _joined(grams[: max(len(own) - k, 0)], own[k:])
+    cuts = np.searchsorted(begin, np.cumsum([0, *[len(r) + 1 for r in raw]]))
+    out = []
+    for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        if high - low >= words:
+            out.append(np.unique(grams[low : high - words + 1]))
+        else:
+            whole = own[low : low + 1]
+            for k in range(low + 1, high):
+                whole = _joined(whole, own[k : k + 1])
+            out.append(whole[: high - low])
+    return out
+
 
 def _mixed(tokens: np.ndarray, order: int) -> np.ndarray:
     x = tokens + np.uint64((0x9E3779B97F4A7C15 * (order + 1)) & 0xFFFFFFFFFFFFFFFF)
@@ -68,9 +118,18 @@ def prefix(tokens: np.ndarray, order: int, levels: np.ndarray, percent: int) ->
 
 
 def parity(tokens: np.ndarray) -> bytes:
-    """Whether an odd number of tokens falls on each of the bits."""
-    places = (_mixed(tokens, 99) % np.uint64(PARITY)).astype(np.int64)
-    return np.packbits(np.bincount(places, minlength=PARITY) & 1 == 1).tobytes()
+    """Whether an odd number of tokens falls on each of the bits: at least as many bits as tokens, a power of two."""
+    bits = max(PARITY, 1 << int(len(tokens)).bit_length())
+    places = (_mixed(tokens, 99) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=bits) & 1 == 1).tobytes()
+
+
+def folded(bits: bytes, octets: int) -> np.ndarray:
+    """Parity in fewer bits: the halves laid over each other."""
+    out = np.frombuffer(bits, dtype=np.uint8)
+    while len(out) > octets:
+        out = out[: len(out) // 2] ^ out[len(out) // 2 :]
+    return out
 
 
 def token_levels(docs: DataFrame, words: int) -> np.ndarray:
@@ -80,7 +139,7 @@ def token_levels(docs: DataFrame, words: int) -> np.ndarray:
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loads = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
-            sets = [shingle_set(t, words) for t in batch.column(0).to_pylist()]
+            sets = token_sets(batch.column(0).to_pylist(), words)
             tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             loads += np.bincount((tokens & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
         parts = [zstandard.compress(x.tobytes(), 3) for x in loads.reshape(LOAD_PARTS, width)]
@@ -107,25 +166,27 @@ def _key(tokens: np.ndarray) -> bytes:
 
 
 def with_prefixes(docs: DataFrame, words: int, percent: int, levels) -> DataFrame:
-    """Add set_key, n_shingles, parity and the prefix of the first order."""
+    """Add set_key, n_shingles, parity (some bits), sieve (all) and the prefix of the first order."""
 
     def start():
         table = levels.value
 
         def step(texts):
-            sets = [shingle_set(t, words) for t in texts]
+            sets = token_sets(texts, words)
+            sieves = [parity(x) for x in sets]
             firsts = [prefix(x, 0, table, percent).view(np.int64) for x in sets]
             ends = np.concatenate(([0], np.cumsum([len(x) for x in firsts])))
             return [
                 pa.array([_key(x) for x in sets], pa.binary()),
                 pa.array([len(x) for x in sets], pa.int64()),
-                pa.array([parity(x) for x in sets], pa.binary()),
+                pa.array([folded(x, PARITY // 8).tobytes() for x in sieves], pa.binary()),
+                pa.array(sieves, pa.binary()),
                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(firsts), pa.int64())),
             ]
 
         return step
 
-    schema = "set_key binary, n_shingles bigint, parity binary, prefix array<bigint>"
+    schema = "set_key binary, n_shingles bigint, parity binary, sieve binary, prefix array<bigint>"
     return map_columns(docs, ["text"], schema, start, drop=("text",))
 
 
@@ -279,8 +340,29 @@ def candidates(nodes: DataFrame, percent: int, nearest: bool) -> DataFrame:
 # -- verification ---------------------------------------------------------------------
 
 
+def sieved(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (src, dst) whose parity differs in no more bits than similar sets may differ in tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for m, n, x, y in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True):
+                octets = min(len(x), len(y))
+                differ = int(np.bitwise_count(folded(x, octets) ^ folded(y, octets)).sum(dtype=np.int64))
+                keep.append((100 + percent) * differ <= (100 - percent) * (m + n))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    sides = {
+        k: classes.select(F.col("node").alias(f"node_{k}"), F.col("n_shingles").alias(f"n_{k}"), F.col("sieve").alias(f"sieve_{k}"))
+        for k in "ab"
+    }
+    met = pairs.join(sides["a"], F.col("src") == F.col("node_a")).join(sides["b"], F.col("dst") == F.col("node_b"))
+    return met.select("src", "dst", "n_a", "n_b", "sieve_a", "sieve_b").mapInArrow(run, "src bigint, dst bigint")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int, levels) -> DataFrame:
     """Those of the pairs (src, dst) that share prefix tokens in the further orders and are similar by their whole sets."""
+    pairs = materialise(sieved(pairs, classes, percent), "sieved-candidates")
     nodes = materialise(pairs.select(F.explode(F.array("src", "dst")).alias("wanted")).distinct(), "wanted-sets")
     wanted = materialise(
         classes.join(nodes, F.col("node") == F.col("wanted")).select("node", F.col("set_key").alias("key"), F.col("its_doc").alias("wanted_doc")),
@@ -293,15 +375,18 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
 
     def start():
         def step(values):
-            sets = [shingle_set(t, words) for t in values]
+            sets = token_sets(values, words)
             return [pa.array([_key(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())]
 
         return step
 
     sets = map_columns(texts.select("text"), ["text"], "set_key binary, tokens binary", start, drop=("text",))
-    # Rows without an id, or of a repeated one, may bring further sets, or one several times.
-    own = sets.join(wanted, F.col("set_key") == F.col("key")).groupBy("node").agg(F.first("tokens").alias("tokens"))
-    own = materialise(own, "wanted-tokens")
+    keys = broadcast_if_small(wanted.select("node", "key"))
+    met = sets.join(keys, F.col("set_key") == F.col("key")).select("node", "tokens", F.monotonically_increasing_id().alias("copy"))
+    met = materialise(met, "wanted-tokens")
+    # Rows without an id, or of a repeated one, may bring a set several times: one of them stays.
+    one = met.groupBy("node").agg(F.min("copy").alias("first_copy"))
+    own = met.join(broadcast_if_small(one.select("first_copy")), F.col("copy") == F.col("first_copy"), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, held = levels.value, {}
@@ -348,7 +433,7 @@ def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85, carry:
     filled = sets.where("n_shingles > 0")
     classes = filled.groupBy("set_key").agg(
         F.min(F.struct("row", "id")).alias("first"), F.min("id").alias("smallest"),
-        F.first("n_shingles").alias("n_shingles"), F.first("parity").alias("parity"),
+        F.first("n_shingles").alias("n_shingles"), F.first("parity").alias("parity"), F.first("sieve").alias("sieve"),
     )
     classes = materialise(classes.select("*", F.col("first.row").alias("node"), F.col("first.id").alias("its_doc")), "document-classes")
     shared = materialise(shared_tokens(filled), "shared-tokens")
