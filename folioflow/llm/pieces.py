@@ -40,6 +40,8 @@ LONG_UNIT = 512
 UNKNOWN_PENALTY = 10.0
 #: Units that a task packs for their shards at a time.
 PACK_ROWS = 1 << 15
+#: Units of all shards that a task of the lattice gets, about; bounds what it sorts and hashes.
+TASK_UNITS = 1 << 15
 
 
 @dataclass(frozen=True)
@@ -199,8 +201,9 @@ class _Shard:
             pa.array([number], pa.int64()),
             pa.array([self.chunks], pa.list_(chunk)),
             pa.array([list(self.units)], pa.list_(pa.string())),
+            pa.array([len(self.units)], pa.int64()),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["shard", "chunks", "units"])
+        return pa.RecordBatch.from_arrays(columns, names=["shard", "chunks", "units", "n_units"])
 
 
 def _spans(first: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
@@ -232,7 +235,7 @@ def _packed(docs: DataFrame, carry: list[str], joined: frozenset[str], shard_byt
 
     columns = [F.col(f"`{c}`") for c in dict.fromkeys([*carry, "text"])]
     packed = docs.select(*columns).mapInArrow(
-        run, "shard bigint, chunks array<struct<docs: binary, codes: binary>>, units array<string>"
+        run, "shard bigint, chunks array<struct<docs: binary, codes: binary>>, units array<string>, n_units bigint"
     )
     name, buckets = f"packed_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed.write.bucketBy(buckets, "shard").option("compression", "zstd").option("path", scratch_path(spark, name)).saveAsTable(name)
@@ -496,9 +499,9 @@ def encode(docs: DataFrame, model: Model, carry: list[str] | None = None, shard_
     packed = _packed(docs, carry, model.joined, shard_bytes)
     entries = packed.select("shard", F.posexplode("units").alias("no", "unit"))
     # One exchange by unit serves the lattice and the way back: both read the same columns of it.
-    entries = entries.withColumn("unit", F.coalesce("unit", F.lit(""))).repartition(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), "unit"
-    )
+    n_units = packed.agg(F.sum("n_units")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_units // TASK_UNITS))
+    entries = entries.withColumn("unit", F.coalesce("unit", F.lit(""))).repartition(tasks, "unit")
     met = entries.groupBy("unit").agg(F.min("shard").alias("_shard"), F.min("no").alias("_no"))
     units = met.where("_shard >= 0 AND _no >= 0").select("unit")
     long = F.char_length("unit") > LONG_UNIT
