@@ -20,7 +20,7 @@ from folioflow.functions.content import (
 )
 from folioflow.functions.html_nodes import parse_html, to_html
 from folioflow.functions.times import as_of_literal
-from folioflow.scale import broadcast_if_small, row_hash
+from folioflow.scale import broadcast_if_small, materialise, row_hash
 from folioflow.schema import LANDING_ZONE
 from folioflow.sources.store import KeyTable, ObjectStore
 
@@ -141,7 +141,9 @@ def one_per_url(responses: DataFrame) -> DataFrame:
     )
     key = F.struct("_empty", "content_type", "_hash")
     best = narrow.groupBy("url").agg(F.min(key).alias("_best"), F.count(F.lit(1)).alias("_n"))
-    repeated = best.where("_n > 1").select(F.col("url").alias("_url"), "_best")
+    # Found once; a side that is small by measure leaves the responses where they are.
+    repeated = materialise(best.where("_n > 1").select(F.col("url").alias("_url"), "_best"), "repeated-urls")
+    repeated = broadcast_if_small(repeated)
     single = responses.join(repeated, F.col("url") == F.col("_url"), "left_anti")
     several = responses.join(repeated, F.col("url") == F.col("_url")).where(
         F.struct(F.col("content").isNull().alias("_empty"), "content_type", F.xxhash64("content").alias("_hash")).eqNullSafe(F.col("_best"))

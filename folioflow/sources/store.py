@@ -32,6 +32,11 @@ def _folder(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, folder = _folder(spark, path)
+    return system.exists(folder)
+
+
 def _matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths below a folder that match a pattern; none if the folder is not there."""
     system, folder = _folder(spark, pattern)
@@ -223,7 +228,7 @@ class Collection:
 
     def _read(self, part: str, schema: T.StructType, fmt: str) -> DataFrame:
         paths = [f"{self.path}/{part}/run={run}" for run in self.log.committed()]
-        paths = [p for p in paths if _matching(self.spark, p)]
+        paths = [p for p in paths if exists(self.spark, p)]
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", f"{self.path}/{part}").format(fmt).load(paths)

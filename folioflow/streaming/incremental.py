@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +18,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from folioflow.plans.ingest import ingest_items
 from folioflow.plans.transform import processed_objects, processed_records, transform_job
 from folioflow.scale import materialise, row_hash
+from folioflow.sources.store import exists
 
 #: What later batches look at of the records that earlier ones stored.
 _STORED = T.StructType(
@@ -32,13 +32,9 @@ def _replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 def _earlier_batches(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     """(identifier, status, batch_id) stored by earlier batches; a replay does not see its own first attempt."""
-    try:
-        stored = spark.read.schema(_STORED).parquet(path)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, path):
         return None  # nothing has been written yet
-    return stored.where(F.col("batch_id") < batch_id)
+    return spark.read.schema(_STORED).parquet(path).where(F.col("batch_id") < batch_id)
 
 
 def _start(stream: DataFrame, run: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
