@@ -80,9 +80,10 @@ class RunTable:
         self.spark, self.schema, self.buckets = spark, schema, buckets
         self.name = f"runs_{hashlib.sha256(f'{path} {by} {buckets}'.encode()).hexdigest()[:24]}"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        place = path.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}, run STRING) USING parquet "
-            f"PARTITIONED BY (run) CLUSTERED BY ({by}) INTO {buckets} BUCKETS LOCATION '{path}'"
+            f"PARTITIONED BY (run) CLUSTERED BY ({by}) INTO {buckets} BUCKETS LOCATION '{place}'"
         )
 
     def append(self, rows: DataFrame, run: str) -> None:
