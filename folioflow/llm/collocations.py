@@ -21,9 +21,8 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from folioflow.scale import materialise
+from folioflow.scale import materialise, numbered
 
 #: Share of the documents that proposes phrases, and share of the expected count that suffices there.
 SAMPLE_SHARE, LOWERED = 1 / 8, 0.75
@@ -307,8 +306,8 @@ def collocations(
     )
     covered = F.expr(f"CAST(outer_a AS DECIMAL(20, 0)) * 100 >= CAST(a AS DECIMAL(20, 0)) * {cover}")
     kept = best.join(outer, ["lang", "phrase"], "left").where(~F.coalesce(covered, F.lit(False)))
-    order = W.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    return ranked.join(totals, "lang").select(
-        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "cut.l", "cut.r", "n", F.col("cut.score").alias("score")
-    )
+    # Ranked in ranges over all tasks: a language may hold nearly all candidates.
+    best_first = F.struct(F.negative("cut.score").alias("score"), F.negative("a").alias("a"), "phrase")
+    listed = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score", best_first.alias("best_first"))
+    ranked = numbered(listed, ["lang"], "best_first", "rank").where(F.col("rank") <= top)
+    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
