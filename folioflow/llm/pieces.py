@@ -41,7 +41,7 @@ UNKNOWN_PENALTY = 10.0
 #: Units that a task packs for their shards at a time.
 PACK_ROWS = 1 << 15
 #: Units of all shards that a task of the lattice gets, about; bounds what it sorts and hashes.
-TASK_UNITS = 1 << 15
+TASK_UNITS = 1 << 16
 
 
 @dataclass(frozen=True)
