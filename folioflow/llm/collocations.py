@@ -22,12 +22,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioflow.llm.common import release_memory
 from folioflow.scale import materialise, numbered
 
 #: Share of the documents that proposes phrases, and share of the expected count that suffices there.
 SAMPLE_SHARE, LOWERED = 1 / 8, 0.75
 #: Text of one language that a task counts together, and text of all languages that it holds.
-CHUNK, HELD = 6 << 20, 16 << 20
+CHUNK, HELD = 4 << 20, 12 << 20
 #: Bits of the largest filter: 8 MB, whatever the corpus.
 MOST_BITS = 1 << 26
 #: Rows handed to Spark together.
@@ -180,6 +181,8 @@ def count_phrases(docs: DataFrame, sizes: list[int], filters: list[Filter]) -> D
                 for k in range(0, len(n), OUT_ROWS):
                     some, many = phrases[k : k + OUT_ROWS], n[k : k + OUT_ROWS]
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), some, pa.array(many)], names=["lang", "phrase", "a"])
+            del chunk, places
+        release_memory()
 
     rows = docs.select("lang", "text").mapInArrow(run, "lang string, phrase string, a bigint")
     # Counts of a chunk hardly repeat within a task: straight to the shuffle.
