@@ -6,6 +6,10 @@ phrases that occur, were not proposed, but whose first and last parts both were.
 frequent may have frequent extensions that nobody counted; then an expansion pass counts what the phrases now known newly
 allow, together with what that may lead to, so that the border is closed behind it.
 
+Most of the border is rare. So before a pass, phrases that were not proposed are sieved: their occurrences are added up by
+44 bits of their hash, a few bytes each instead of their text. Phrases that share these bits only make a sum too large, so one below the
+threshold proves that none of them is frequent; the pass then counts the others by their text.
+
 What is proposed goes to the tasks as a bit filter of bounded size. Its false hits only let a task count more;
 all counting is by the phrases themselves, so counts are exact.
 """
@@ -33,6 +37,8 @@ CHUNK, HELD = 4 << 20, 12 << 20
 MOST_BITS = 1 << 26
 #: Rows handed to Spark together.
 OUT_ROWS = 1 << 16
+#: Bits of a hash that the sieve leaves out, and those that tell apart the phrases of one bucket.
+LEFT_OUT, IN_BUCKET = np.uint64(20), np.uint64(32)
 
 _WHITE, _BREAK, _WORD = range(3)
 _KIND = np.full(256, _WORD, dtype=np.uint8)
@@ -54,6 +60,11 @@ def _longer(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _sieve_key(hashes: np.ndarray) -> np.ndarray:
+    """What the filter of a sieve knows of hashes."""
+    return (hashes >> LEFT_OUT) * _ODD
+
+
 class Filter:
     """A set of phrases as bits, two for each; it never misses a member."""
 
@@ -120,11 +131,17 @@ class Chunk:
             counted = {size: counted[size] | own[size] for size in own}
         return own
 
-    def count(self, size: int, places: np.ndarray | None) -> tuple[pa.Array, np.ndarray]:
-        """Distinct phrases at these places, and how often each occurs."""
+    def hashes(self, size: int, at: np.ndarray) -> np.ndarray:
+        """Hashes of the phrases that begin there."""
+        found = self.own[self.ids[at]]
+        for k in range(1, size):
+            found = _longer(found, self.own[self.ids[at + k]])
+        return found
+
+    def count(self, size: int, at: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """Distinct phrases that begin there, and how often each does; of single words, all."""
         if size == 1:
             return self.words.cast(pa.large_string()).cast(pa.string()), np.bincount(self.ids, minlength=len(self.words))
-        at = np.flatnonzero(places)
         key = self.ids[at]
         for k in range(1, size):  # exact numbers of ever longer phrases
             if k > 1:
@@ -160,16 +177,80 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes
     yield from held.items()
 
 
-def count_phrases(docs: DataFrame, sizes: list[int], filters: list[Filter]) -> DataFrame:
-    """(lang, phrase, a): exact counts of phrases of these sizes over (lang, text).
+def sieve(docs: DataFrame, sizes: list[int], filters: list[Filter], least: int) -> Filter:
+    """Of the phrases of these sizes that the pass counts and its filter lacks, those that may occur ``least`` times.
 
-    Longer phrases than words count where the pass with the last of the filters counts them. Size 0 stands for all words, as the
-    empty phrase.
+    Each chunk of text hands on the sums of its phrases as arrays, one for each of 4,096 buckets; a task holds one bucket at a time.
     """
     shared = docs.sparkSession.sparkContext.broadcast([f.bits for f in filters])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = [Filter(bits) for bits in shared.value]
+        for lang, texts in _chunks(batches):
+            chunk = Chunk(texts, lang)
+            places = chunk.eligible(max(sizes), filters)
+            hashes = np.concatenate([chunk.hashes(size, np.flatnonzero(places[size])) for size in sizes])
+            keys, n = np.unique(hashes[~filters[-1].has(hashes)] >> LEFT_OUT, return_counts=True)
+            bucket = keys >> IN_BUCKET
+            order = np.lexsort((n, bucket))  # equal numbers side by side take hardly any room
+            keys, n, bucket = keys[order], n[order], bucket[order]
+            starts = np.flatnonzero(np.diff(bucket, prepend=np.uint64(1 << 63)))
+            ends = pa.array(np.append(starts, len(keys)).astype(np.int32))
+            columns = [
+                pa.array(bucket[starts].astype(np.int32)),
+                pa.ListArray.from_arrays(ends, pa.array(keys.astype(np.uint32).view(np.int32))),
+                pa.ListArray.from_arrays(ends, pa.array(n.astype(np.int32))),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "keys", "n"])
+            del chunk, places, hashes
+        release_memory()
+
+    def often(keys: list[np.ndarray], n: list[np.ndarray]) -> pa.RecordBatch:
+        key, many = np.concatenate(keys), np.concatenate(n).astype(np.int64)
+        order = np.argsort(key)
+        key = key[order]
+        starts = np.flatnonzero(np.diff(key, prepend=np.uint64(1 << 63)))
+        sums = np.add.reduceat(many[order], starts) if len(starts) else many
+        found = key[starts][sums >= least] * _ODD
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["h"])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, n, last = [], [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bucket, own = batch.column(0).to_numpy(), batch.column(1)
+            each = np.repeat(bucket.astype(np.uint64), own.value_lengths().to_numpy())
+            key = each << IN_BUCKET | own.flatten().to_numpy().view(np.uint32)
+            many = batch.column(2).flatten().to_numpy()
+            if last is not None and bucket[-1] != last:
+                done = int(np.searchsorted(each, np.uint64(bucket[-1])))  # buckets come in order
+                yield often([*keys, key[:done]], [*n, many[:done]])
+                keys, n, key, many = [], [], key[done:], many[done:]
+            keys.append(key)
+            n.append(many)
+            last = bucket[-1]
+        if keys:
+            yield often(keys, n)
+        release_memory()
+
+    sums = docs.select("lang", "text").mapInArrow(run, "bucket int, keys array<int>, n array<int>")
+    found = sums.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(total, "h bigint")
+    found = materialise(found, "sieved-phrases")
+    return _filter_of(found, found.count())
+
+
+def count_phrases(docs: DataFrame, sizes: list[int], filters: list[Filter], sieved: Filter | None = None) -> DataFrame:
+    """(lang, phrase, a): exact counts of phrases of these sizes over (lang, text).
+
+    Longer phrases than words count where the pass with the last of the filters counts them and, after a sieve, only those that this
+    filter holds or the sieve has left. Size 0 stands for all words, as the empty phrase.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast([[f.bits for f in filters], None if sieved is None else sieved.bits])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters, left = [Filter(bits) for bits in shared.value[0]], shared.value[1]
+        left = None if left is None else Filter(left)
         for lang, texts in _chunks(batches):
             chunk = Chunk(texts, lang)
             places = chunk.eligible(max(sizes), filters)
@@ -177,7 +258,11 @@ def count_phrases(docs: DataFrame, sizes: list[int], filters: list[Filter]) -> D
                 if size == 0:
                     phrases, n = pa.array([""], pa.string()), np.array([len(chunk.ids)])
                 else:
-                    phrases, n = chunk.count(size, places.get(size))
+                    at = np.flatnonzero(places.get(size, []))
+                    if left is not None and size > 1:
+                        hashes = chunk.hashes(size, at)
+                        at = at[filters[-1].has(hashes) | left.has(_sieve_key(hashes))]
+                    phrases, n = chunk.count(size, at)
                 for k in range(0, len(n), OUT_ROWS):
                     some, many = phrases[k : k + OUT_ROWS], n[k : k + OUT_ROWS]
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), some, pa.array(many)], names=["lang", "phrase", "a"])
@@ -202,25 +287,36 @@ def _hashes_of(lang: list[str], phrase: list[str]) -> np.ndarray:
     return out
 
 
-def make_filter(phrases: DataFrame) -> Filter:
-    """The filter of phrases (lang, phrase); only its words of 64 bits come to the driver, ``MOST_BITS / 64`` at most."""
-    n_bits = min(MOST_BITS, 1 << max(16, (16 * phrases.count()).bit_length()))
+def _filter_of(hashes: DataFrame, n: int) -> Filter:
+    """The filter of ``n`` hashes (h); only its words of 64 bits come to the driver, ``MOST_BITS / 64`` at most."""
+    n_bits = min(MOST_BITS, 1 << max(16, (16 * n).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = _hashes_of(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            hashes = batch.column(0).to_numpy().view(np.uint64)
             for slot in Filter.slots(hashes, n_bits):
                 bits = np.uint64(1) << (slot & np.uint64(63))
                 columns = [pa.array((slot >> np.uint64(6)).astype(np.int64)), pa.array(bits.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, names=["slot", "bits"])
 
-    words = phrases.select("lang", "phrase").mapInArrow(run, "slot bigint, bits bigint")
+    words = hashes.mapInArrow(run, "slot bigint, bits bigint")
     words = words.groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     bits = np.zeros(n_bits // 64, dtype=np.uint64)
     bits[words["slot"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return Filter(bits)
 
 
+def make_filter(phrases: DataFrame) -> Filter:
+    """The filter of phrases (lang, phrase)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = _hashes_of(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["h"])
+
+    return _filter_of(phrases.select("lang", "phrase").mapInArrow(run, "h bigint"), phrases.count())
+
+
 def _outside(phrases: DataFrame, allowing: Filter) -> DataFrame:
     """Those of the phrases that the filter lacks."""
     shared = phrases.sparkSession.sparkContext.broadcast(allowing.bits)
@@ -239,7 +335,8 @@ def propose(sample: DataFrame, least: int, longest: int) -> Filter:
     parts: list[DataFrame] = []
     filters: list[Filter] = []
     for size in range(1, longest):
-        found = count_phrases(sample, [size], filters).where(F.col("a") >= least)
+        left = [sieve(sample, [size], filters, least)] if filters else []
+        found = count_phrases(sample, [size], filters, *left).where(F.col("a") >= least)
         parts.append(materialise(found, "sampled-phrases"))
         filters = [make_filter(reduce(DataFrame.unionByName, parts))]
     return filters[0]
@@ -256,15 +353,16 @@ def frequent_phrases(docs: DataFrame, min_count: int = 30, longest: int = 4, sha
     filters = [propose(sample, max(1, int(np.ceil(LOWERED * share * min_count))), longest)]
 
     sizes, parts = list(range(longest + 1)), []
+    left = [sieve(docs, sizes[2:], filters, min_count)] if longest > 1 else []
     while True:
-        kept = count_phrases(docs, sizes, filters).where((F.col("a") >= min_count) | (F.col("phrase") == ""))
+        kept = count_phrases(docs, sizes, filters, *left).where((F.col("a") >= min_count) | (F.col("phrase") == ""))
         parts.append(materialise(kept.withColumn("size", _size()), "counted-phrases"))
         known = reduce(DataFrame.unionByName, parts)
         extendable = known.where(F.col("size").between(1, longest - 1))
         # What an expansion pass finds, it has extended already: the border is closed.
         if len(parts) > 1 or _outside(extendable, filters[-1]).isEmpty():
             return known
-        sizes, filters = list(range(2, longest + 1)), [*filters, make_filter(extendable)]
+        sizes, filters, left = list(range(2, longest + 1)), [*filters, make_filter(extendable)], []
 
 
 def collocations(

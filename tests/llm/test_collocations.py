@@ -73,6 +73,21 @@ def test_a_failing_border_is_expanded(spark, monkeypatch):
     assert passes == [[1], [2], [3], [0, 1, 2, 3, 4]]
 
 
+def test_rare_phrases_of_frequent_words_are_not_counted_by_their_text(spark, monkeypatch):
+    counted = []
+    count = co.count_phrases
+    monkeypatch.setattr(co, "count_phrases", lambda *a: counted.append(count(*a)) or counted[-1])
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(60)}" for _ in range(40)) + ". in the city" for _ in range(100)]
+    docs = spark.createDataFrame([("en", t) for t in texts], "lang string, text string").repartition(4)
+    found = co.frequent_phrases(docs, 20, 4, share=1.0)
+    words = Counter(w for t in texts for w in re.findall(r"\w+", t))
+    assert {r.phrase: r.a for r in found.where("size = 1").collect()} == {w: n for w, n in words.items() if n >= 20}
+    assert {r.phrase for r in found.where("size > 1").collect()} == {"in the", "the city", "in the city"}
+    passed = counted[-1].where("phrase LIKE '% %'").count()
+    assert passed < 20  # of more than two thousand pairs; a few may share bits with others
+
+
 def test_long_texts_are_cut_between_pieces(monkeypatch):
     monkeypatch.setattr(co, "CHUNK", 10)
     import pyarrow as pa
