@@ -275,8 +275,10 @@ def family_pairs(records: DataFrame) -> DataFrame:
         F.lit(0).alias("declared"),
         F.lit(1).alias("present"),
     )
+    # A pair hardly repeats within a task: straight to the shuffle, whose partitions bound what a task holds.
     return (
         declared.unionByName(present)
+        .repartition("parent", "child")
         .groupBy("parent", "child")
         .agg(F.max("declared").alias("declared"), F.max("present").alias("present"))
     )

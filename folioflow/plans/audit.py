@@ -28,6 +28,14 @@ def object_facts(objects: DataFrame) -> DataFrame:
     )
 
 
+def looked_up(df: DataFrame, facts: DataFrame, path: str, prefix: str) -> DataFrame:
+    """Compared records with the hash and length of the object at a path, NULL without one."""
+    own = facts.select(F.col("path").alias(f"{prefix}_path"), *[F.col(c).alias(f"{prefix}_{c}") for c in ("hash", "length")])
+    # Most records have no path: a key of their own spreads them over all tasks.
+    key = F.coalesce(path, F.concat(F.lit("\0"), F.xxhash64("identifier", "old_hash").cast("string")))
+    return df.join(own, (key == F.col(f"{prefix}_path")) & F.col(path).isNotNull(), "left")
+
+
 def _report(df: DataFrame, checks: dict[str, tuple[Column, Column]], least: dict[str, float]) -> DataFrame:
     """All checks (rows looked at, rows that fail) over one aggregate, one row each."""
 
@@ -57,11 +65,7 @@ def audit_job(records: DataFrame, processed: DataFrame, objects: DataFrame, qual
     )
     facts = materialise(object_facts(objects), "object-facts")
 
-    def looked_up(df: DataFrame, path: str, prefix: str) -> DataFrame:
-        own = facts.select(F.col("path").alias(f"{prefix}_path"), *[F.col(c).alias(f"{prefix}_{c}") for c in ("hash", "length")])
-        return df.join(own, F.col(path) == F.col(f"{prefix}_path"), "left")
-
-    compared = looked_up(looked_up(before_after(source, done), "old_path", "before"), "new_path", "after")
+    compared = looked_up(looked_up(before_after(source, done), facts, "old_path", "before"), facts, "new_path", "after")
     html = F.lower("mime_type").startswith("text/html")
     found, extracted = F.col("processed"), F.col("old_status") == "extracted"
     both = F.col("before_length").isNotNull() & F.col("after_length").isNotNull()

@@ -1,11 +1,12 @@
 """Whole jobs, batch and incremental."""
 
+from collections import Counter
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from folioflow.plans.audit import audit_job, zone_report
+from folioflow.plans.audit import audit_job, looked_up, zone_report
 from folioflow.plans.ingest import ingest_items, ingest_job
 from folioflow.plans.transform import (
     process_files,
@@ -264,3 +265,22 @@ def test_objects_written_by_publish(spark):
     assert [(x.zone, x.object_name, bytes(x.content), x.content_type, x.length) for x in got] == [
         ("processed", "a.html", b"<main>x</main>", "text/html", 14), ("processed", "b.pdf", b"B", "application/pdf", 1),
     ]
+
+
+def test_records_without_a_path_spread_over_the_tasks(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in conf}
+    rows = [(f"O-{i}", None, None) for i in range(400)] + [("a", "z/a.html", "h"), ("b", "z/b.html", "h"), (None, None, None)]
+    compared = spark.createDataFrame(rows, "identifier string, old_path string, old_hash string")
+    facts = spark.createDataFrame([("z/a.html", "x", 1), (None, "y", 2), ("\0", "y", 3)], "path string, hash string, length long")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        found = looked_up(compared, facts, "old_path", "before").withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(found) == 403
+    assert [(r.identifier, r.before_hash, r.before_length) for r in found if r.before_path] == [("a", "x", 1)]
+    sizes = Counter(r.part for r in found)
+    assert len(sizes) == 8 and max(sizes.values()) < 120
