@@ -6,6 +6,7 @@ a batch that is replayed after a failure leaves the tables as if it ran once.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -97,44 +98,58 @@ def stream_dedup(
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def stream_first_wins(stream: DataFrame, time: str, delay: str, keep_ms: int, key: str = "identifier") -> DataFrame:
+def stream_first_wins(
+    stream: DataFrame, time: str, delay: str, keep_ms: int, key: str = "identifier", buckets: int = 4096
+) -> DataFrame:
     """The earliest row of each key by event time, whatever order rows arrive in.
 
     A row waits until the watermark, ``delay`` behind the latest time, has passed it: an earlier one that arrives meanwhile
     takes its place, one that arrives later still is too late for the stream. Then the winner is put out once, its row leaves the state,
     and the key is remembered for ``keep_ms`` of event time to swallow duplicates; after that it is forgotten. So the state holds the
     keys of a span of time, not of all time. Rows of equal time stand by the hash of the row. Rows without a time are left out.
+
+    Calling Python costs milliseconds, so keys are kept together in ``buckets`` by their hash and one call serves all of a bucket. A bucket is
+    written anew when one of its keys changes: take more of them where batches are small beside the keys that are held.
     """
     rows = stream.where(F.col(time).isNotNull()).withWatermark(time, delay)
     waiting = rows.select(
-        F.col(key).alias("key"), time, F.unix_micros(F.col(time)).alias("at"), row_hash(rows).alias("tie"),
+        F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).alias("bucket"), F.to_json(F.struct(F.col(key).alias("key")), _JSON).alias("key"),
+        time, F.unix_micros(F.col(time)).alias("at"), row_hash(rows).alias("tie"),
         F.to_json(F.struct(*[F.col(f"`{c}`") for c in stream.columns]), _JSON).alias("row"),
     )
 
     def earliest(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        def wake(ms: int) -> None:
-            state.setTimeoutTimestamp(max(ms, state.getCurrentWatermarkMs() + 1))
-
-        if state.hasTimedOut:
-            at, tie, row, told = state.get
-            if told:
-                state.remove()
-                return
-            state.update((at, tie, None, True))
-            wake(at // 1000 + keep_ms)
-            yield pd.DataFrame({"row": [row]})
-            return
-        best = tuple(state.get) if state.exists else None
-        for frame in frames:
-            own = frame.sort_values(["at", "tie"]).iloc[0]
-            mine = (int(own["at"]), int(own["tie"]), own["row"], False)
-            if best is None or (not best[3] and mine[:2] < best[:2]):
-                best = mine
-        state.update(best)
-        wake(best[0] // 1000 + (keep_ms if best[3] else 0))
-
-    won = waiting.groupBy("key").applyInPandasWithState(
-        earliest, "row string", "at bigint, tie bigint, row string, told boolean", "append", GroupStateTimeout.EventTimeTimeout
+        # Per key: time and tie of the best row, the row until it is told, whether it is, and what the watermark has to pass next.
+        held = json.loads(state.get[0]) if state.exists else {}
+        now, met = state.getCurrentWatermarkMs(), set()
+
+        def wake(at: int, told: bool) -> int:
+            return max(at // 1000 + (keep_ms if told else 0), now + 1)
+
+        for frame in () if state.hasTimedOut else frames:
+            first = frame.sort_values(["at", "tie"]).drop_duplicates("key")
+            for name, at, tie, row in zip(*[first[c].tolist() for c in ("key", "at", "tie", "row")], strict=True):
+                best = held.get(name)
+                if best is None or (not best[3] and [at, tie] < best[:2]):
+                    best = [at, tie, row, False]
+                held[name] = [*best[:4], wake(best[0], best[3])]
+                met.add(name)
+        won = []
+        for name in [n for n, best in held.items() if best[4] < now and n not in met]:
+            at, tie, row, told, _ = held.pop(name)
+            if not told:
+                won.append(row)
+                held[name] = [at, tie, None, True, wake(at, True)]
+        if held:
+            state.update((json.dumps(held),))
+            state.setTimeoutTimestamp(max(min(best[4] for best in held.values()), now + 1))
+        elif state.exists:
+            state.remove()
+        if won:
+            yield pd.DataFrame({"row": won})
+
+    won = waiting.groupBy("bucket").applyInPandasWithState(
+        earliest, "row string", "held string", "append", GroupStateTimeout.EventTimeTimeout
     )
     return won.select(F.from_json("row", stream.schema, _JSON).alias("row")).select("row.*")
 

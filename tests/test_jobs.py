@@ -247,6 +247,22 @@ def test_the_earliest_row_wins_though_it_arrives_later(spark):
     assert max(sizes) >= 3 and sizes[-1] <= 2
 
 
+def test_keys_of_a_bucket_share_one_state(spark):
+    path = scratch_path(spark, "s")
+    rows = [(k, datetime(2024, 1, 1, h), 10 * h + n) for n, k in enumerate(["a", "b", "c", "d", "e", "f", None, ""]) for h in (5, 3, 7)]
+    schema = "identifier string, ts timestamp, n int"
+    for some in (rows, [("z", datetime(2024, 2, 1), 1)]):
+        spark.createDataFrame(some, schema).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    won = incremental.stream_first_wins(stream, "ts", "3 hours", 86_400_000, buckets=2)
+    query = won.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/c")
+    query = query.trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = {(r.identifier, r.ts, r.n) for r in spark.read.schema(schema).parquet(f"{path}/out").collect()}
+    assert got == {(k, t, n) for k, t, n in rows if t.hour == 3}
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators) <= 2
+
+
 def test_stream_transform_equals_batch(spark):
     path = scratch_path(spark, "s")
     r, o = fx.landing_records(spark, SF), fx.landing_objects(spark, SF)
